@@ -18,11 +18,8 @@ from bandwatch.streaming import jobs
 _CLOSED = "recordTime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 25 MINUTE"
 
 
-def stream_source(spark, folder: str, layout, pattern: str = "*.parquet", files: int | None = None):
-    reader = spark.readStream.schema(layout).option("pathGlobFilter", pattern)
-    if files:
-        reader = reader.option("maxFilesPerTrigger", files)
-    return reader.parquet(folder)
+def stream_source(spark, folder: str, layout, pattern: str = "*.parquet"):
+    return spark.readStream.schema(layout).option("pathGlobFilter", pattern).parquet(folder)
 
 
 def as_readings(events):
@@ -101,17 +98,22 @@ def stream_dedup(spark, sf):
     return table
 
 
-@register("stream_late_data", query(f"""SELECT kpiId, count(*) AS slots, sum(late) AS dropped FROM (
-      SELECT resId, kpiId, recordTime, 0 AS late FROM readings WHERE kpiId <> 'error'
-        AND recordTime + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 25 MINUTE GROUP BY ALL)
-    GROUP BY kpiId"""))
+_ONTIME = "(SELECT max(ts) - INTERVAL 25 MINUTE FROM events WHERE event_type <> 'error')"
+
+
+@register("stream_late_data", query(f"""SELECT kpiId, count(*) AS slots, true AS someDropped FROM (
+      SELECT DISTINCT resId, kpiId, recordTime FROM readings WHERE {_CLOSED}
+        AND (kpiId <> 'error' OR recordTime + INTERVAL 1 HOUR > {_ONTIME})) GROUP BY kpiId"""))
 def stream_late_data(spark, sf):
-    """Error events arrive in a second file, behind the watermark of the first."""
-    source = work_dir(spark, "arrivals")
+    """Error events are delivered after the stream has passed the month, and the stream resumes."""
+    root = work_dir(spark, "late")
     events = fx.events(spark, sf)
+    dropped = 0
     for late in (False, True):
-        part = events.where((F.col("event_type") == "error") == late)
-        part.coalesce(1).write.mode("append").parquet(source)
-    stream = jobs.slot_stream(as_readings(stream_source(spark, source, events.schema, files=1)), fx.STEP)
-    table, progress = run(spark, "late", stream.withColumn("minId", jobs.slot_time()).drop("slot"))
-    return table.groupBy("kpiId").agg(F.count(F.lit(1)).alias("slots"), F.lit(jobs.late_rows(progress)).alias("dropped"))
+        events.where((F.col("event_type") == "error") == late).write.mode("append").parquet(f"{root}/source")
+        stream = jobs.slot_stream(as_readings(stream_source(spark, f"{root}/source", events.schema)), fx.STEP)
+        table, progress = jobs.drain(
+            spark, stream.withColumn("minId", jobs.slot_time()).drop("slot"), f"{root}/table", f"{root}/state"
+        )
+        dropped += jobs.late_rows(progress)
+    return table.groupBy("kpiId").agg(F.count(F.lit(1)).alias("slots"), F.lit(dropped > 0).alias("someDropped"))

@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwatch.functions.values import clamp, is_number, round2
-from bandwatch.operators.skew import SPLIT_ROWS, copy_to_pieces, group_median, hot_groups, split_groups
+from bandwatch.operators.skew import LARGE_GROUP, group_median
 
 SLOT_KPI = ["recordTime", "kpiId"]
-CENTRE_FIELDS = ["medGt", "medLe", "medLt", "medDefault"]
+CENTRE_FIELDS = ["medGt", "medLe", "medLt"]
 
 
 def clamp_bounds(df: DataFrame) -> DataFrame:
@@ -50,43 +50,36 @@ def _with_centre_input(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
         forecast.where(is_number(f))
         .join(rules, "kpiId")
         .withColumn("_typical", F.when(typical, f))
-        .drop("medGt", "medLe", "medLt", "medDefault")
+        .drop(*CENTRE_FIELDS)
     )
 
 
-def robust_center(forecast: DataFrame, kpi_rules: DataFrame, hot: DataFrame | None = None,
-                  split_rows: int = SPLIT_ROWS) -> DataFrame:
+def robust_center(forecast: DataFrame, kpi_rules: DataFrame, large: int = LARGE_GROUP) -> DataFrame:
     """Median of the typical forecasts of each slot and KPI over all elements, or the rule's default."""
     rows = _with_centre_input(forecast, kpi_rules)
-    if hot is None:
-        hot = hot_groups(rows, SLOT_KPI, split_rows)
     defaults = kpi_rules.select("kpiId", "medDefault")
     return (
-        group_median(rows, SLOT_KPI, F.col("_typical"), "center", hot)
+        group_median(rows, SLOT_KPI, F.col("_typical"), "center", large)
         .join(defaults, "kpiId")
         .select(*SLOT_KPI, F.coalesce("center", "medDefault").alias("center"))
     )
 
 
-def reband(forecast: DataFrame, kpi_rules: DataFrame, split_rows: int = SPLIT_ROWS) -> DataFrame:
+def reband(forecast: DataFrame, kpi_rules: DataFrame, large: int = LARGE_GROUP) -> DataFrame:
     """Bands for scoring, each forecast judged against all elements in its slot and KPI.
 
     Rows far on the wrong side of the centre are abnormal and get the range of the
-    normal ones. Hot (slot, KPI) groups are dealt over pieces once; both joins of
-    group statistics run on that one exchange.
+    normal ones. The statistics hold one row per slot and KPI: while they are small
+    Spark broadcasts them and the forecasts stay where they are, beyond that the
+    joins shuffle and hot groups are split by the skew-join settings.
     """
     f = F.col("forecastValue")
-    rows = _with_centre_input(forecast, kpi_rules)
-    hot = hot_groups(rows, SLOT_KPI, split_rows)
-    centre = robust_center(forecast, kpi_rules, hot)
-
-    on = [*SLOT_KPI, "_piece"]
-    pieces = split_groups(rows.drop("_typical"), SLOT_KPI, hot, ["resId", "itemPara"])
-    thresholds = kpi_rules.select("kpiId", "side", "thr", "eps")
+    thresholds = kpi_rules.where(F.col("bandRule").isNotNull()).select("kpiId", "side", "thr", "eps")
     far = F.abs(f - F.col("center")) / (F.col("center") + F.col("eps")) > F.col("thr")
     wrong_side = F.when(F.col("side") == "below", f < F.col("center")).otherwise(f > F.col("center"))
     judged = (
-        pieces.join(copy_to_pieces(centre, SLOT_KPI, hot), on)
+        forecast.where(is_number(f))
+        .join(robust_center(forecast, kpi_rules, large), SLOT_KPI)
         .join(thresholds, "kpiId")
         .withColumn("abnormal", far & wrong_side)
         .drop("side", "thr", "eps", "center")
@@ -115,7 +108,7 @@ def reband(forecast: DataFrame, kpi_rules: DataFrame, split_rows: int = SPLIT_RO
     lower = F.when(F.col("abnormal"), abnormal_lower).otherwise(F.col("lowerFactor") * f)
     upper = F.when(F.col("abnormal"), abnormal_upper).otherwise(normal_upper)
     return (
-        judged.join(copy_to_pieces(normal, SLOT_KPI, hot), on, "left")
+        judged.join(normal, SLOT_KPI, "left")
         .join(bands, "kpiId")
         .select(
             "resId", "itemPara", "recordTime", "createTime", "kpiId",

@@ -1,50 +1,17 @@
-"""Splitting of hot groups, and exact group medians that need no whole group in one task."""
+"""Exact group medians and top-k without a whole group in one task."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# a group above this many rows is split
-SPLIT_ROWS = 1_000_000
-# upper bound of the broadcast list of hot groups; a group left out of it is
-# smaller than every listed one and is merely not split
-MAX_HOT_GROUPS = 100_000
-
-
-def hot_groups(df: DataFrame, keys: Sequence[str], split_rows: int = SPLIT_ROWS) -> DataFrame:
-    """Groups of more than ``split_rows`` rows, at most ``MAX_HOT_GROUPS`` of them.
-
-    The row bound is what makes the result safe to broadcast.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > split_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_GROUPS)
-        .select(*keys, F.ceil(F.col("_rows") / F.lit(split_rows)).cast("int").alias("_pieces"))
-    )
-
-
-def split_groups(df: DataFrame, keys: Sequence[str], hot: DataFrame, spread: Sequence[str]) -> DataFrame:
-    """Add ``_piece``: rows of a hot group are dealt over its pieces by ``spread``."""
-    piece = F.when(
-        F.col("_pieces").isNotNull(), F.pmod(F.xxhash64(*spread), F.col("_pieces").cast("long")).cast("int")
-    ).otherwise(F.lit(0))
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn("_piece", piece).drop("_pieces")
-
-
-def copy_to_pieces(stats: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Repeat one-row-per-group statistics for every piece of a hot group."""
-    last = F.coalesce(F.col("_pieces"), F.lit(1)) - 1
-    return (
-        stats.join(F.broadcast(hot), list(keys), "left")
-        .withColumn("_piece", F.explode(F.sequence(F.lit(0), last)))
-        .drop("_pieces")
-    )
+# a group above this many values is narrowed before its median is taken
+LARGE_GROUP = 1_000_000
+# rows of the broadcast list of large groups; a group beyond it is smaller than
+# every listed one and takes the plain exact median
+MAX_LARGE_GROUPS = 100_000
 
 
 def group_median(
@@ -52,27 +19,29 @@ def group_median(
     keys: Sequence[str],
     value: Column,
     name: str,
-    hot: DataFrame | None = None,
+    large: int = LARGE_GROUP,
     accuracy: int = 10_000,
 ) -> DataFrame:
     """Exact median of ``value`` per group, null for groups without values.
 
-    The built-in median keeps every distinct value of a group. For hot groups a
+    The built-in median keeps every distinct value of a group. For large groups a
     quantile sketch first gives a narrow interval that must hold the median, and
-    values outside it are moved to its ends, which leaves the median as it is:
-    the second aggregate then keeps about ``4 / accuracy`` of the distinct values.
-    Both aggregates combine before the shuffle. The rank check turns a broken
-    interval into an error instead of a wrong median.
+    values outside it are moved to its ends, which leaves the median as it is: the
+    second aggregate then keeps about ``4 / accuracy`` of the distinct values. Both
+    aggregates combine before their shuffle, so the rows themselves never move.
+    A rank check turns a wrong interval into an error instead of a wrong median.
     """
     keys = list(keys)
     facts = df.select(*keys, value.alias("_v"))
-    if hot is None:
-        return facts.groupBy(*keys).agg(F.median("_v").alias(name))
     margin = 2.0 / accuracy
     interval = (
-        facts.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-        .groupBy(*keys)
-        .agg(F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_in"))
+        facts.groupBy(*keys)
+        .agg(F.count("_v").alias("_n"),
+             F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_in"))
+        .where(F.col("_n") > large)
+        .orderBy(F.desc("_n"))
+        .limit(MAX_LARGE_GROUPS)
+        .drop("_n")
     )
     low, high = F.get("_in", F.lit(0)), F.get("_in", F.lit(1))
     v = F.col("_v")
@@ -95,8 +64,6 @@ def group_median(
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
                     spread: Sequence[str], pieces: int = 64) -> DataFrame:
     """First ``k`` rows of every group; each piece keeps its own best before they meet."""
-    from pyspark.sql import Window
-
     group = list(group)
     dealt = df.withColumn("_piece", F.pmod(F.xxhash64(*spread), F.lit(pieces)))
     local = Window.partitionBy(*group, "_piece").orderBy(*order)

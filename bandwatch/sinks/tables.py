@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,13 +44,9 @@ def latest_per_id(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
-def _stored(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def upsert(df: DataFrame, path: str, key: Sequence[str], partition: Column, order: Sequence[Column] = (),
@@ -65,25 +60,32 @@ def upsert(df: DataFrame, path: str, key: Sequence[str], partition: Column, orde
     spark = df.sparkSession
     order = list(order) or [F.struct(*df.columns)]
     fresh = latest_per_id(with_record_id(df, key), order).withColumn(partition_name, partition)
+    # written out first: a stream batch is computed once, and a partition is never
+    # read and overwritten by the same job
     staged = work_dir(spark, "upsert")
-    stored = _stored(spark, path)
-    if stored is not None:
+    fresh.write.parquet(f"{staged}/fresh")
+    fresh = spark.read.schema(fresh.schema).parquet(f"{staged}/fresh")
+    if not _exists(spark, path):
+        _overwrite_parts(fresh, path, partition_name)
+    elif not fresh.isEmpty():
+        stored = spark.read.schema(fresh.schema).parquet(path)
         touched = fresh.select(partition_name).distinct()
         kept = stored.join(touched, partition_name, "left_semi").join(
             fresh.select(partition_name, "_id"), [partition_name, "_id"], "left_anti"
         )
-        fresh = kept.unionByName(fresh)
-    # written out first: a partition is never read and overwritten by the same job
-    fresh.write.parquet(staged)
+        kept.unionByName(fresh).write.parquet(f"{staged}/merged")
+        _overwrite_parts(spark.read.schema(fresh.schema).parquet(f"{staged}/merged"), path, partition_name)
+    return spark.read.schema(fresh.schema).parquet(path) if _exists(spark, path) else fresh
+
+
+def _overwrite_parts(df: DataFrame, path: str, partition_name: str) -> None:
     (
-        spark.read.parquet(staged)
-        .hint("rebalance", partition_name)
+        df.hint("rebalance", partition_name)
         .write.partitionBy(partition_name)
         .mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .parquet(path)
     )
-    return spark.read.parquet(path)
 
 
 def write_history(history: DataFrame, root: str, version: int) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from bandwatch.functions.values import level_of
+from bandwatch.operators.cleaning import cap_percentages, valid_readings
 from bandwatch.operators.scoring import deviation_score
 from bandwatch.operators.windows import flags
 from bandwatch.schemas import ELEMENT_DIMS
@@ -49,7 +50,8 @@ def element_stream(cells: DataFrame, bands: DataFrame, kpi_rules: DataFrame, wei
         F.col("kpiValue"), F.col("forecastValueLower"), F.col("forecastValueUpper"), F.col("direction")
     )
     return (
-        cells.withColumn("_slot", slot_time())
+        cap_percentages(valid_readings(cells), kpi_rules)
+        .withColumn("_slot", slot_time())
         .join(band, ["resId", "itemPara", "kpiId", "_slot"])
         .join(kpi_rules.select("kpiId", "direction"), "kpiId", "left")
         .join(weights.select("resourceType", "kpiId", "abnScoreWeight"), ["resourceType", "kpiId"], "left")
@@ -61,7 +63,6 @@ def element_stream(cells: DataFrame, bands: DataFrame, kpi_rules: DataFrame, wei
 def window_stream(elements: DataFrame, step: int = 300) -> DataFrame:
     """Sum over three slots, sliding by one; windows without a row in their last slot are left out."""
     span = F.window(F.window_time("slot"), seconds(3 * step), seconds(step))
-    last = F.col("slot.start") == F.col("span.end") - F.expr(f"interval {step} seconds")
     return (
         elements.withColumn("_start", F.col("slot.start"))
         .groupBy(span.alias("span"), *ELEMENT_DIMS)
