@@ -10,6 +10,7 @@ from bandwatch.operators import scoring as sc
 from bandwatch.operators.bands import reband
 from bandwatch.operators.cleaning import cap_percentages, latest_forecast, valid_readings
 from bandwatch.operators.windows import window_alarm
+from bandwatch.session import work_dir
 
 
 def clean_actuals(actual: DataFrame, kpi_rules: DataFrame) -> DataFrame:
@@ -22,10 +23,18 @@ def rebanded(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
 
 def kpi_score_table(actual: DataFrame, forecast: DataFrame, kpi_rules: DataFrame,
                     run_time: dt.datetime) -> DataFrame:
+    """Every reading with a forecast, scored."""
     joined = sc.forecast_actual_join(rebanded(forecast, kpi_rules), clean_actuals(actual, kpi_rules))
     return sc.kpi_scores(joined, kpi_rules, run_time)
 
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """A written copy, which later passes and retries read instead of recomputing."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def score(
     actual: DataFrame,
     forecast: DataFrame,
@@ -33,8 +42,18 @@ def score(
     weights: DataFrame,
     run_time: dt.datetime,
     step: int = 300,
+    staged: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """KPI result table and element window table."""
+    """KPI result table and element window table.
+
+    ``staged`` writes the newest forecasts and the KPI results to the shared folder
+    first: re-banding passes over the forecasts four times, and both results build
+    on the KPI table.
+    """
+    if staged:
+        forecast = stage(latest_forecast(forecast), "forecasts")
     kpis = kpi_score_table(actual, forecast, kpi_rules, run_time)
+    if staged:
+        kpis = stage(kpis, "scores")
     elements = sc.element_scores(sc.weighted_scores(kpis, weights), run_time)
     return kpis, window_alarm(elements, run_time, step)
