@@ -13,7 +13,6 @@ from bandwatch.catalog.sql import query, r6, text
 from bandwatch.operators import series as ts
 from bandwatch.plans import forecasting as plan
 from bandwatch.rules import MODEL_DEFAULTS
-from bandwatch.session import parallelism
 from bandwatch.sources.readings import history_scan
 
 
@@ -28,7 +27,7 @@ def rnn_forecast(spark, sf):
 @register("rnn_holdout_metrics")
 def rnn_holdout_metrics(spark, sf):
     """First and last training loss and the hold-out loss of each element's model."""
-    series = plan.prepare_series(cells(spark, sf), fx.STEP, parallelism(spark))
+    series = plan.prepare_series(cells(spark, sf), fx.STEP)
     return plan.holdout_metrics(plan.fit_forecast(plan.model_blocks(series, 72), MODEL_DEFAULTS))
 
 
@@ -41,8 +40,8 @@ _AHEAD = """SELECT t.resId, t.itemPara, t.kpiId, t.forecastValue, e.maxTime + t.
 @register("forecast_assemble", query(f"""SELECT a.resId, a.itemPara, {text('a.recordTime')} AS recordTime,
     '2024-02-01 00:00:00' AS createTime, kpiId, {r6(_limit('forecastValue'))} AS forecastValue,
     {r6(_limit(_UPPER))} AS forecastValueUpper, {r6(_limit(_LOWER))} AS forecastValueLower, {r6('kpiStd')} AS kpiStd,
-    w.nodeCode, w.deviceSet, 'T0' AS resourceType
-    FROM ahead a JOIN (SELECT DISTINCT resId, nodeCode, deviceSet FROM cells) w ON a.resId = w.resId""", ahead=_AHEAD))
+    w.nodeCode, w.deviceSet, w.resourceType
+    FROM ahead a JOIN (SELECT DISTINCT resId, nodeCode, deviceSet, resourceType FROM actual) w ON a.resId = w.resId""", ahead=_AHEAD))
 def forecast_assemble(spark, sf):
     """The last 72 slots repeated as the forecast of the next 72."""
     rows = cells(spark, sf)
@@ -51,5 +50,7 @@ def forecast_assemble(spark, sf):
         "resId", "itemPara", "kpiId", F.row_number().over(ts.in_order()).alias("stepAhead"),
         F.col("kpiValue").alias("forecastValue"),
     )
-    out = plan.assemble(values, rows, fx.kpi_rules(spark), fx.STEP, F.lit("T0"), fx.RUN_TIME)
+    out = plan.assemble(
+        values, history_scan(rows, fx.resource_rules(spark)), fx.kpi_rules(spark), fx.STEP, fx.RUN_TIME
+    )
     return rounded(out, "forecastValue", "forecastValueUpper", "forecastValueLower", "kpiStd")

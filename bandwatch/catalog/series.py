@@ -195,5 +195,5 @@ def rolling_history(spark, sf):
     cut = F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
     root = work_dir(spark, "history")
     old = write_history(prepare_series(rows.where(F.col("recordTime") < cut), fx.STEP), root, 1)
-    rolled = ts.roll_history(old, ts.slot_cells(rows.where(F.col("recordTime") >= cut), fx.STEP), fx.STEP)
+    rolled = ts.roll_history(old, ts.slot_cells(rows.where(F.col("recordTime") >= cut)), fx.STEP)
     return rounded(write_history(rolled, root, 2), "kpiValue")

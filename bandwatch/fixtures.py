@@ -84,7 +84,8 @@ def element_columns() -> dict:
         "RESID": F.concat(F.lit("ne"), element.cast("string")),
         "NODECODE": F.concat(F.lit("node"), F.floor(F.col("user_id") / 160).cast("string")),
         "DEVICE_SET": F.concat_ws("_", F.lit("DEV_5G"), pick(2, ["A", "S"]), pick(3, VENDORS), F.lit("COM")),
-        "ITEM_PARA": F.lit("-1"),
+        # -1 for every event, as a column the optimizer cannot fold out of the keys
+        "ITEM_PARA": F.concat(F.lit("-"), F.sign(F.col("user_id") + 1).cast("int").cast("string")),
         "RECORD_TIME": slot_of(F.col("ts"), STEP),
         "ITEM_CODE": F.col("event_type"),
     }

@@ -73,8 +73,12 @@ def forward(params, x, state, config, masks=None):
 def backward(params, cache, grad_out, config, masks=None):
     """Gradients of the loss for every parameter, given the gradient at the outputs."""
     inputs, hs, active, state = cache
+
+    def outer(a, b):
+        return a.reshape(-1, a.shape[2]).T @ b.reshape(-1, b.shape[2])
+
     grads = {
-        "wo": np.einsum("tbh,tbf->hf", active, grad_out),
+        "wo": outer(active, grad_out),
         "bo": grad_out.sum((0, 1)),
     }
     grad = (grad_out @ params["wo"].T) * (active > 0)
@@ -88,8 +92,8 @@ def backward(params, cache, grad_out, config, masks=None):
             dz[t] = (grad[t] + carry) * local[t]
             carry = dz[t] @ wh_t
         before = np.concatenate([state[layer][None], h[:-1]])
-        grads[f"wh{layer}"] = np.einsum("tbi,tbj->ij", before, dz)
-        grads[f"wx{layer}"] = np.einsum("tbi,tbj->ij", inputs[layer], dz)
+        grads[f"wh{layer}"] = outer(before, dz)
+        grads[f"wx{layer}"] = outer(inputs[layer], dz)
         if config["bias"]:
             grads[f"b{layer}"] = dz.sum((0, 1))
         grad = dz @ params[f"wx{layer}"].T

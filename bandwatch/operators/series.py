@@ -2,8 +2,8 @@
 
 One exchange by element serves all of them: windows here are partitioned by
 element or by series (an element's KPI), which that exchange already satisfies.
-A series holds one row per slot once ``slot_cells`` has run, so a window never
-sees more rows than the time range has slots, however many copies were read.
+Copies are merged and readings between slots removed before it, so a series holds
+at most one row per slot of the time range, however many rows were read.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from bandwatch.functions.times import epoch, shift, slot_of, step_interval
+from bandwatch.functions.times import epoch, shift, step_interval
 from bandwatch.schemas import ELEMENT, SERIES
+from bandwatch.session import parallelism
 
 
 def by_series() -> WindowSpec:
@@ -24,18 +25,18 @@ def in_order() -> WindowSpec:
     return by_series().orderBy("recordTime")
 
 
-def slot_cells(readings: DataFrame, step: int) -> DataFrame:
-    """Largest value per series and slot; combines before the shuffle."""
-    return (
-        readings.withColumn("recordTime", slot_of(F.col("recordTime"), step))
-        .groupBy(*SERIES, "recordTime")
-        .agg(F.max("kpiValue").alias("kpiValue"))
-    )
+def slot_cells(readings: DataFrame) -> DataFrame:
+    """Largest value per series and time; combines before the shuffle."""
+    return readings.groupBy(*SERIES, "recordTime").agg(F.max("kpiValue").alias("kpiValue"))
 
 
 def by_element(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Place all rows of an element together, with a fixed partition count when given."""
-    return df.repartition(partitions, *ELEMENT) if partitions else df.repartition(*ELEMENT)
+    """Place all rows of an element together.
+
+    The partition count is fixed: gridding multiplies rows and training costs time
+    after this exchange, so coalescing by its bytes would leave cores idle.
+    """
+    return df.repartition(partitions or parallelism(df.sparkSession), *ELEMENT)
 
 
 def series_extent(readings: DataFrame) -> DataFrame:
@@ -49,25 +50,22 @@ def duplicate_cells(readings: DataFrame) -> DataFrame:
     return readings.groupBy(*SERIES, "recordTime").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def regular_grid(cells: DataFrame, step: int) -> DataFrame:
+def regular_grid(cells: DataFrame, step: int, extent: DataFrame | None = None) -> DataFrame:
     """Every slot from an element's first to its last, for each of its KPIs.
 
     Slots are counted from the element's first reading; readings between slots
     are left out. Each reading brings the empty slots up to the next one, so no
     join with a generated grid is needed.
     """
-    whole = Window.partitionBy(*ELEMENT)
+    if extent is None:
+        extent = series_extent(cells)
     t = F.col("recordTime")
-    placed = (
-        cells.select(*SERIES, "recordTime", "kpiValue",
-                     F.min("recordTime").over(whole).alias("_start"),
-                     F.max("recordTime").over(whole).alias("_end"))
-        .where((epoch(t) - epoch(F.col("_start"))) % step == 0)
-    )
-    first = F.coalesce(F.when(F.lag("recordTime").over(in_order()).isNull(), F.col("_start")), t)
-    last = F.coalesce(shift(F.lead("recordTime").over(in_order()), -step), F.col("_end"))
+    on_slot = cells.join(extent, ELEMENT).where((epoch(t) - epoch(F.col("minTime"))) % step == 0)
+    first = F.coalesce(F.when(F.lag(t).over(in_order()).isNull(), F.col("minTime")), t)
+    last = F.coalesce(shift(F.lead(t).over(in_order()), -step), F.col("maxTime"))
     return (
-        placed.select(*SERIES, "recordTime", "kpiValue", first.alias("_first"), last.alias("_last"))
+        by_element(on_slot)
+        .select(*SERIES, "recordTime", "kpiValue", first.alias("_first"), last.alias("_last"))
         .select(*SERIES, "recordTime", "kpiValue",
                 F.explode(F.sequence("_first", "_last", step_interval(step))).alias("_slot"))
         .select(*SERIES, F.col("_slot").alias("recordTime"),
@@ -154,18 +152,18 @@ def unscale01(y: Column, low: Column, high: Column) -> Column:
 
 def minmax_scale(frame: DataFrame, columns: list[str], fit_on_train: bool = True) -> DataFrame:
     """Scale columns per series, with limits from the training part or from each part itself."""
-    out = frame
+    limits = {}
     for c in columns:
         if fit_on_train:
             fitted = F.when(F.col("split") == "train", F.col(c))
-            low, high = F.min(fitted).over(by_series()), F.max(fitted).over(by_series())
+            part = by_series()
         else:
+            fitted = F.col(c)
             part = Window.partitionBy(*SERIES, "split")
-            low, high = F.min(c).over(part), F.max(c).over(part)
-        out = out.withColumn(f"{c}_min", low).withColumn(f"{c}_max", high)
-    for c in columns:
-        out = out.withColumn(f"{c}_scaled", scale01(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")))
-    return out
+        limits[f"{c}_min"] = F.min(fitted).over(part)
+        limits[f"{c}_max"] = F.max(fitted).over(part)
+    scaled = {f"{c}_scaled": scale01(F.col(c), F.col(f"{c}_min"), F.col(f"{c}_max")) for c in columns}
+    return frame.withColumns(limits).withColumns(scaled)
 
 
 def restore_blocks(blocks: DataFrame, column: str) -> DataFrame:
@@ -194,14 +192,27 @@ def future_slots(extent: DataFrame, step: int, horizon: int = 72) -> DataFrame:
     )
 
 
+def first_reading() -> Column:
+    return F.min(F.struct("recordTime", "nodeCode", "deviceSet"))
+
+
 def element_attrs(readings: DataFrame) -> DataFrame:
     """Node and device set of each element's first reading."""
-    first = F.min(F.struct("recordTime", "nodeCode", "deviceSet"))
-    return readings.groupBy(*ELEMENT).agg(first.alias("_f")).select(
+    return readings.groupBy(*ELEMENT).agg(first_reading().alias("_f")).select(
         *ELEMENT, F.col("_f.nodeCode").alias("nodeCode"), F.col("_f.deviceSet").alias("deviceSet")
     )
 
 
+def element_summary(readings: DataFrame) -> DataFrame:
+    """Last time, attributes and resource type of each element in one aggregate."""
+    return (
+        readings.groupBy(*ELEMENT)
+        .agg(F.max("recordTime").alias("maxTime"), F.min("resourceType").alias("resourceType"),
+             first_reading().alias("_f"))
+        .select(*ELEMENT, "maxTime", "resourceType", "_f.nodeCode", "_f.deviceSet")
+    )
+
+
 def pivot_kpis(cells: DataFrame, kpis: list[str]) -> DataFrame:
     """One column per named KPI."""
     return cells.groupBy(*ELEMENT, "recordTime").pivot("kpiId", kpis).agg(F.max("kpiValue"))
@@ -227,7 +238,7 @@ def roll_history(history: DataFrame, fresh: DataFrame, step: int) -> DataFrame:
     )
     span = epoch(F.max("recordTime")) - epoch(F.min("recordTime"))
     lengths = history.groupBy(*ELEMENT).agg((span / step + 1).alias("_keep"))
-    grid = impute_median(drop_empty_series(regular_grid(merged, step)))
+    grid = impute_median(regular_grid(merged, step, series_extent(both))).where(F.col("kpiValue").isNotNull())
     newest = by_series().orderBy(F.desc("recordTime"))
     return (
         grid.withColumn("_rn", F.row_number().over(newest))

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwatch.functions.times import shift
@@ -15,17 +15,19 @@ from bandwatch.operators import series as ts
 from bandwatch.operators.bands import forecast_bands
 from bandwatch.rules import MODEL_DEFAULTS
 from bandwatch.schemas import ELEMENT, FORECAST, SERIES
-from bandwatch.session import parallelism
 from bandwatch.sources.readings import day_range, history_scan
 
 # the grouped function travels with its module, so executors need no installed copy
 cloudpickle.register_pickle_by_value(rnn)
 
 
-def prepare_series(readings: DataFrame, step: int, partitions: int | None = None) -> DataFrame:
-    """Gridded and imputed series; all windows share the exchange by element."""
-    cells = ts.by_element(ts.slot_cells(readings, step), partitions)
-    return ts.impute_median(ts.drop_empty_series(ts.regular_grid(cells, step)))
+def prepare_series(readings: DataFrame, step: int) -> DataFrame:
+    """Gridded and imputed series; all windows share the exchange by element.
+
+    A series without any value stays empty through imputation and drops out.
+    """
+    grid = ts.regular_grid(ts.slot_cells(readings), step, ts.series_extent(readings))
+    return ts.impute_median(grid).where(F.col("kpiValue").isNotNull())
 
 
 def model_blocks(series: DataFrame, block: int, fit_on_train: bool = True) -> DataFrame:
@@ -37,8 +39,7 @@ def model_blocks(series: DataFrame, block: int, fit_on_train: bool = True) -> Da
 def fit_forecast(blocks: DataFrame, config: Mapping) -> DataFrame:
     """Train one model per element; the scaled forecast with its losses.
 
-    ``blocks`` should be placed by element in a fixed number of partitions: training
-    costs time, not bytes, so coalescing by size would leave cores idle.
+    The blocks are still placed by element, so training needs no exchange.
     """
     slim = blocks.select(
         *SERIES, "blockId", "step", "split",
@@ -64,17 +65,15 @@ def with_std(forecast: DataFrame) -> DataFrame:
 
 
 def assemble(values: DataFrame, readings: DataFrame, kpi_rules: DataFrame, step: int,
-             resource_type: Column, run_time: dt.datetime) -> DataFrame:
+             run_time: dt.datetime) -> DataFrame:
     """Forecast table from ``stepAhead`` values: times, deviation, element attributes, bands."""
-    ends = ts.series_extent(readings).join(ts.element_attrs(readings), ELEMENT)
     timed = (
         with_std(values)
-        .join(ends, ELEMENT)
+        .join(ts.element_summary(readings), ELEMENT)
         .withColumn("recordTime", shift(F.col("maxTime"), F.col("stepAhead") * step))
     )
     return forecast_bands(
-        timed.withColumns({"createTime": F.lit(run_time).cast("timestamp_ntz"), "resourceType": resource_type}),
-        kpi_rules,
+        timed.withColumn("createTime", F.lit(run_time).cast("timestamp_ntz")), kpi_rules
     ).select(*FORECAST.names)
 
 
@@ -96,21 +95,17 @@ def forecast(
     before the run are used, or everything when it is None.
     """
     config = {**MODEL_DEFAULTS, **(model_config or {})}
-    spark = raw.sparkSession
-    partitions = parallelism(spark)
     scan = history_scan(raw, resource_rules)
     if history_days is not None and history is None:
         day = F.to_date("recordTime")
         scan = day_range(scan.withColumn("_day", day), run_time.date(), history_days, "_day").drop("_day")
     if history is None:
-        prepared = prepare_series(scan, step, partitions)
+        prepared = prepare_series(scan, step)
     else:
-        fresh = ts.slot_cells(scan, step)
-        prepared = ts.by_element(ts.roll_history(history, fresh, step), partitions)
+        prepared = ts.by_element(ts.roll_history(history, ts.slot_cells(scan), step))
     fitted = fit_forecast(model_blocks(prepared, config["block"], fit_on_train), config)
     values = fitted.select(
         *SERIES, "stepAhead",
         ts.unscale01(F.col("scaledValue"), F.col("yMin"), F.col("yMax")).alias("forecastValue"),
     )
-    kinds = scan.groupBy(*ELEMENT).agg(F.min("resourceType").alias("_kind"))
-    return assemble(values.join(kinds, ELEMENT), scan, kpi_rules, step, F.col("_kind"), run_time)
+    return assemble(values, scan, kpi_rules, step, run_time)

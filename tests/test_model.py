@@ -99,7 +99,7 @@ def test_incremental_forecast(spark):
 
 
 def test_losses(spark):
-    blocks = plan.model_blocks(plan.prepare_series(raw(spark), 300, 4), 72)
+    blocks = plan.model_blocks(plan.prepare_series(raw(spark), 300), 72)
     for flags in ({}, {"batch_first": True}, {"compat_first_block": True}, {"dropout": 0.2}, {"bias": False}):
         row = plan.holdout_metrics(plan.fit_forecast(blocks, {**rules.MODEL_DEFAULTS, **flags})).first()
         assert row.trainLossLast < 0.5 * row.trainLossFirst and row.testLoss > 0 and row.kpis == 2
@@ -107,7 +107,7 @@ def test_losses(spark):
 
 def test_training_is_spread_over_partitions(spark):
     """Training must not be coalesced by data size."""
-    blocks = plan.model_blocks(plan.prepare_series(raw(spark), 300, 6), 72)
+    blocks = plan.model_blocks(plan.prepare_series(raw(spark), 300), 72)
     text = plan.fit_forecast(blocks, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in text
-    assert text.count("Exchange hashpartitioning(resId") == 2
+    assert text.count("Exchange hashpartitioning(resId") == 3

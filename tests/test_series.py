@@ -48,17 +48,17 @@ def test_grid_and_imputation(sparse):
 
 
 def test_one_exchange_by_element(sparse):
-    plan = prepare_series(sparse, 300, 4)
+    plan = prepare_series(sparse, 300)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    # the cell aggregate and the placement by element
-    assert text.count("Exchange hashpartitioning") == 2
+    # the cell aggregate, the element extents, and the placement by element
+    assert text.count("Exchange hashpartitioning") == 3
     assert "SinglePartition" not in text
 
 
 def test_copies_collapse_before_windows(spark):
     """A third of all rows in one cell."""
     many = cells(spark, [("a", "x", 0, float(i % 7)) for i in range(500)] + [("a", "x", i, 1.0) for i in range(1, 1000)])
-    out = ts.slot_cells(many, 300)
+    out = ts.slot_cells(many)
     assert out.count() == 1000
     assert rows(out.where(F.col("recordTime") == F.lit(T0).cast("timestamp_ntz")), "kpiValue") == [(6.0,)]
 
