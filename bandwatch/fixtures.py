@@ -70,35 +70,28 @@ def weights(spark: SparkSession) -> DataFrame:
 
 
 def element_columns() -> dict:
-    """Element, node, device set and item of an event."""
-    element = F.floor(F.col("user_id") / 40)
-
-    def pick(n: int, names: list[str]):
-        which = F.pmod(element, F.lit(n))
-        out = F.lit(names[-1])
-        for i, name in enumerate(names[:-1]):
-            out = F.when(which == i, name).otherwise(out)
-        return out
+    """Element, node, device set and item of an event.
 
+    The item is -1 for every event, as a column the optimizer cannot fold out of the keys.
+    """
+    element = "cast(floor(user_id / 40) as bigint)"
+    letter = f"if({element} % 2 = 0, 'A', 'S')"
+    vendor = f"case {element} % 3 when 0 then 'ER' when 1 then 'HW' else 'ZX' end"
     return {
-        "RESID": F.concat(F.lit("ne"), element.cast("string")),
-        "NODECODE": F.concat(F.lit("node"), F.floor(F.col("user_id") / 160).cast("string")),
-        "DEVICE_SET": F.concat_ws("_", F.lit("DEV_5G"), pick(2, ["A", "S"]), pick(3, VENDORS), F.lit("COM")),
-        # -1 for every event, as a column the optimizer cannot fold out of the keys
-        "ITEM_PARA": F.concat(F.lit("-"), F.sign(F.col("user_id") + 1).cast("int").cast("string")),
+        "RESID": F.expr(f"concat('ne', {element})"),
+        "NODECODE": F.expr("concat('node', cast(floor(user_id / 160) as bigint))"),
+        "DEVICE_SET": F.expr(f"concat_ws('_', 'DEV_5G', {letter}, {vendor}, 'COM')"),
+        "ITEM_PARA": F.expr("concat('-', cast(sign(user_id + 1) as int))"),
         "RECORD_TIME": slot_of(F.col("ts"), STEP),
         "ITEM_CODE": F.col("event_type"),
     }
 
 
 def reading_value(floor_at_zero: bool):
-    v = F.col("value")
-    rate = F.lit(100) - v / F.lit(4)
+    rate = "100 - value / 4"
     if floor_at_zero:
-        rate = F.greatest(F.lit(0.0), rate)
-    return F.when(F.col("event_type") == "purchase", rate).when(
-        F.col("event_type") == "click", v * F.lit(1000)
-    ).otherwise(v)
+        rate = f"greatest(0.0D, {rate})"
+    return F.expr(f"case event_type when 'purchase' then {rate} when 'click' then value * 1000 else value end")
 
 
 def raw_cells(events: DataFrame) -> DataFrame:
@@ -126,10 +119,11 @@ def forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of the three cells before, standing in for a model's forecast."""
     cells = rename_raw(raw_cells(events(spark, sf_dir)))
     order = Window.partitionBy("resId", "kpiId").orderBy("recordTime")
-    lags = [F.lag("kpiValue", i).over(order) for i in (1, 2, 3)]
+    before = {f"l{i}": F.lag("kpiValue", i).over(order) for i in (1, 2, 3)}
     return (
-        cells.withColumn("forecastValue", (lags[0] + lags[1] + lags[2]) / F.lit(3.0))
-        .where(F.col("forecastValue").isNotNull())
+        cells.withColumns(before)
+        .withColumn("forecastValue", F.expr("(l1 + l2 + l3) / 3.0D"))
+        .where("l3 is not null")
         .select("resId", "itemPara", "recordTime", shift(F.col("recordTime"), -6 * 3600).alias("createTime"),
                 "kpiId", "forecastValue", "nodeCode", "deviceSet")
     )

@@ -23,15 +23,12 @@ def clamp_bounds(df: DataFrame) -> DataFrame:
 
 def forecast_bands(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
     """Bounds by KPI class from the unlimited forecast, then limits. Unclassified KPIs drop out."""
-    f = F.col("forecastValue")
-    kind = F.col("kpiClass")
-    upper = (
-        F.when(kind == "MAX_BEST", F.lit(100.0))
-        .when(kind == "MIN_BEST", F.lit(1.1) * (f + 5))
-        .when(kind == "SCALE_INCR", F.lit(1.25) * (f + 10))
-        .when(kind == "SCALE_DECR", F.abs(F.lit(100.0) * f) + 10000)
+    upper = F.expr(
+        "case kpiClass when 'MAX_BEST' then 100.0D when 'MIN_BEST' then 1.1D * (forecastValue + 5)"
+        " when 'SCALE_INCR' then 1.25D * (forecastValue + 10)"
+        " when 'SCALE_DECR' then abs(100.0D * forecastValue) + 10000 end"
     )
-    lower = F.when(kind == "SCALE_DECR", F.lit(0.75) * f).otherwise(F.lit(0.0))
+    lower = F.expr("if(kpiClass = 'SCALE_DECR', 0.75D * forecastValue, 0.0D)")
     banded = forecast.join(kpi_rules.select("kpiId", "kpiClass"), "kpiId").withColumns(
         {"forecastValueUpper": upper, "forecastValueLower": lower}
     )
@@ -39,17 +36,15 @@ def forecast_bands(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
 
 
 def _with_centre_input(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
-    f = F.col("forecastValue")
-    typical = (
-        F.coalesce(f > F.col("medGt"), F.lit(True))
-        & F.coalesce(f <= F.col("medLe"), F.lit(True))
-        & F.coalesce(f < F.col("medLt"), F.lit(True))
+    typical = F.expr(
+        "if(coalesce(forecastValue > medGt, true) and coalesce(forecastValue <= medLe, true)"
+        " and coalesce(forecastValue < medLt, true), forecastValue, null)"
     )
     rules = kpi_rules.where(F.col("bandRule").isNotNull()).select("kpiId", *CENTRE_FIELDS)
     return (
-        forecast.where(is_number(f))
+        forecast.where(is_number(F.col("forecastValue")))
         .join(rules, "kpiId")
-        .withColumn("_typical", F.when(typical, f))
+        .withColumn("_typical", typical)
         .drop(*CENTRE_FIELDS)
     )
 
@@ -75,13 +70,15 @@ def reband(forecast: DataFrame, kpi_rules: DataFrame, large: int = LARGE_GROUP)
     """
     f = F.col("forecastValue")
     thresholds = kpi_rules.where(F.col("bandRule").isNotNull()).select("kpiId", "side", "thr", "eps")
-    far = F.abs(f - F.col("center")) / (F.col("center") + F.col("eps")) > F.col("thr")
-    wrong_side = F.when(F.col("side") == "below", f < F.col("center")).otherwise(f > F.col("center"))
+    abnormal = F.expr(
+        "abs(forecastValue - center) / (center + eps) > thr"
+        " and if(side = 'below', forecastValue < center, forecastValue > center)"
+    )
     judged = (
         forecast.where(is_number(f))
         .join(robust_center(forecast, kpi_rules, large), SLOT_KPI)
         .join(thresholds, "kpiId")
-        .withColumn("abnormal", far & wrong_side)
+        .withColumn("abnormal", abnormal)
         .drop("side", "thr", "eps", "center")
     )
     normal = (
@@ -94,19 +91,17 @@ def reband(forecast: DataFrame, kpi_rules: DataFrame, large: int = LARGE_GROUP)
         "kpiId", "lowerFactor", "upperKind", "upperValue",
         "abnLowerFactor", "abnLowerDefault", "abnUpperKind", "abnUpperDefault",
     )
-    raised = F.lit(1.5) * f
-    stepped = F.when((raised > 20) & (raised <= 95), raised).otherwise(F.lit(95.0))
-    normal_upper = (
-        F.when(F.col("upperKind") == "const", F.col("upperValue"))
-        .when(F.col("upperKind") == "factor", F.col("upperValue") * f)
-        .otherwise(stepped)
+    lower = F.expr(
+        "if(abnormal, coalesce(abnLowerFactor * _min, abnLowerDefault), lowerFactor * forecastValue)"
     )
-    abnormal_upper = F.when(F.col("abnUpperKind") == "const", F.col("abnUpperDefault")).otherwise(
-        F.coalesce(F.col("_max"), F.col("abnUpperDefault"))
+    upper = F.expr(
+        "case when abnormal and abnUpperKind = 'const' then abnUpperDefault"
+        " when abnormal then coalesce(_max, abnUpperDefault)"
+        " when upperKind = 'const' then upperValue"
+        " when upperKind = 'factor' then upperValue * forecastValue"
+        " when 1.5D * forecastValue > 20 and 1.5D * forecastValue <= 95 then 1.5D * forecastValue"
+        " else 95.0D end"
     )
-    abnormal_lower = F.coalesce(F.col("abnLowerFactor") * F.col("_min"), F.col("abnLowerDefault"))
-    lower = F.when(F.col("abnormal"), abnormal_lower).otherwise(F.col("lowerFactor") * f)
-    upper = F.when(F.col("abnormal"), abnormal_upper).otherwise(normal_upper)
     return (
         judged.join(normal, SLOT_KPI, "left")
         .join(bands, "kpiId")

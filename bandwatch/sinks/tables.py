@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from bandwatch import schemas
 from bandwatch.functions.values import record_id
 from bandwatch.session import work_dir
 
@@ -88,6 +89,26 @@ def _overwrite_parts(df: DataFrame, path: str, partition_name: str) -> None:
     )
 
 
+def write_forecasts(forecast: DataFrame, path: str) -> DataFrame:
+    """Forecast table by day; a repeated or newer forecast of a slot replaces the older one."""
+    return upsert(
+        enforce_schema(forecast, schemas.FORECAST), path, schemas.FORECAST_KEY, F.to_date("recordTime"),
+        [F.col("createTime")], "dt",
+    )
+
+
+def write_scores(scores: DataFrame, path: str) -> DataFrame:
+    """KPI result table by month."""
+    month = F.date_format("minId", "yyyyMM")
+    return upsert(enforce_schema(scores, schemas.KPI_SCORE), path, schemas.KPI_SCORE_KEY, month, (), "ym")
+
+
+def write_windows(windows: DataFrame, path: str) -> DataFrame:
+    """Element window table by month."""
+    month = F.date_format("minId", "yyyyMM")
+    return upsert(enforce_schema(windows, schemas.ELEMENT_WINDOW), path, schemas.WINDOW_KEY, month, (), "ym")
+
+
 def write_history(history: DataFrame, root: str, version: int) -> DataFrame:
     """Store a history under a new version, beside the one it was computed from."""
     path = f"{root}/version={version}"

@@ -95,3 +95,31 @@ def test_schema_is_enforced(spark):
 def test_work_dir_is_read_from_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark, "x").startswith(root) and work_dir(spark, "x") != work_dir(spark, "x")
+
+
+def test_result_tables(spark):
+    from bandwatch import rules
+    from bandwatch.plans.scoring import score
+
+    data = [("a", "5gcUpfPduSessSuccRate", s, 90.0 + s) for s in range(4)]
+    kpis, window = score(actual(spark, data), forecasts(spark, data), rules.kpi_rules(spark),
+                         rules.kpi_weights(spark), dt.datetime(2024, 3, 2))
+    for df, write in ((kpis, tables.write_scores), (window, tables.write_windows)):
+        path = work_dir(spark, "r")
+        for _ in range(2):
+            stored = write(df, path)
+        assert stored.count() == 4 and set(stored.columns) == {"_id", "ym", *df.columns}
+
+
+def test_newer_forecast_replaces(spark):
+    from bandwatch import rules
+    from bandwatch.operators.bands import forecast_bands
+
+    base = forecasts(spark, [("a", "5gcUpf7560Num", 0, 5.0), ("a", "5gcUpf7560Num", 300, 6.0)])
+    old = forecast_bands(base.withColumns({"kpiStd": F.lit(0.0), "resourceType": F.lit("UPF")}), rules.kpi_rules(spark))
+    new = old.where("forecastValue = 5").withColumns(
+        {"forecastValue": F.lit(7.0), "createTime": F.expr("timestampadd(HOUR, 1, createTime)")}
+    )
+    path = work_dir(spark, "f")
+    tables.write_forecasts(old.unionByName(new), path)
+    assert rows(tables.write_forecasts(new, path), "forecastValue") == [(6.0,), (7.0,)]
