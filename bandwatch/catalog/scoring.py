@@ -16,10 +16,15 @@ from bandwatch.schemas import ELEMENT_DIMS
 DIMS = "nodeCode, resId, resourceType, vender"
 
 
+def stored_forecasts(spark, sf):
+    """Forecasts as scoring meets them: a written table, not the plan that made them."""
+    return plan.stage(fx.forecast(spark, sf), "forecasts")
+
+
 def joined(spark, sf):
     rules = fx.kpi_rules(spark)
     return scoring.forecast_actual_join(
-        plan.rebanded(fx.forecast(spark, sf), rules), plan.clean_actuals(fx.actual(spark, sf), rules)
+        plan.rebanded(stored_forecasts(spark, sf), rules), plan.clean_actuals(fx.actual(spark, sf), rules)
     )
 
 
@@ -76,7 +81,7 @@ def robust_center(spark, sf):
     {text('createTime')} AS createTime, kpiId, forecastValue, forecastValueUpper, forecastValueLower, nodeCode, deviceSet,
     abnormal FROM rebanded"""))
 def reband_forecast(spark, sf):
-    return plan.rebanded(fx.forecast(spark, sf), fx.kpi_rules(spark))
+    return plan.rebanded(stored_forecasts(spark, sf), fx.kpi_rules(spark))
 
 
 @register("forecast_actual_join", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, kpiId, kpiValue,
@@ -137,7 +142,8 @@ def window_score(spark, sf):
     FROM windows"""))
 def window_alarm(spark, sf):
     _, table = plan.score(
-        fx.actual(spark, sf), fx.forecast(spark, sf), fx.kpi_rules(spark), fx.weights(spark), fx.RUN_TIME, fx.STEP
+        fx.actual(spark, sf), stored_forecasts(spark, sf), fx.kpi_rules(spark), fx.weights(spark),
+        fx.RUN_TIME, fx.STEP,
     )
     return table
 

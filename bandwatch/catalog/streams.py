@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from bandwatch import fixtures as fx
 from bandwatch.catalog.base import register
+from bandwatch.catalog.scoring import stored_forecasts
 from bandwatch.catalog.sql import query, text
 from bandwatch.functions.values import vendor_of
 from bandwatch.plans import scoring as plan
 from bandwatch.schemas import KPI_SCORE_KEY
-from bandwatch.session import configure, work_dir
-from bandwatch.sinks.tables import upsert
+from bandwatch.session import work_dir
 from bandwatch.streaming import jobs
 
 # slots the watermark has passed at the end of the input
@@ -61,11 +61,8 @@ def stream_kpi_slots(spark, sf):
 def stream_window_score(spark, sf):
     """Readings to element windows as one streaming plan over stored bands."""
     rules = fx.kpi_rules(spark)
-    path = work_dir(spark, "bands")
-    plan.rebanded(fx.forecast(spark, sf), rules).write.parquet(path)
-    stream = jobs.score_stream(
-        event_stream(spark, sf), spark.read.parquet(path), rules, fx.weights(spark), fx.STEP
-    )
+    bands = plan.stage(plan.rebanded(stored_forecasts(spark, sf), rules), "bands")
+    stream = jobs.score_stream(event_stream(spark, sf), bands, rules, fx.weights(spark), fx.STEP)
     table, _ = run(spark, "windows", stream)
     return table
 
