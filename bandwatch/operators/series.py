@@ -2,8 +2,9 @@
 
 One exchange by element serves all of them: windows here are partitioned by
 element or by series (an element's KPI), which that exchange already satisfies.
-Copies are merged and readings between slots removed before it, so a series holds
-at most one row per slot of the time range, however many rows were read.
+Copies are merged before it, and readings between slots of crowded elements are
+removed, so a series holds at most one row per slot of the time range, however
+many rows were read.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from bandwatch.functions.times import epoch, shift, step_interval
+from bandwatch.operators.skew import LARGE_GROUP, MAX_LARGE_GROUPS
 from bandwatch.schemas import ELEMENT, SERIES
 from bandwatch.session import parallelism
 
@@ -50,22 +52,52 @@ def duplicate_cells(readings: DataFrame) -> DataFrame:
     return readings.groupBy(*SERIES, "recordTime").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def regular_grid(cells: DataFrame, step: int, extent: DataFrame | None = None) -> DataFrame:
+def crowded_elements(readings: DataFrame, large: int = LARGE_GROUP) -> DataFrame:
+    """Extents of elements with more than ``large`` rows, few enough to broadcast."""
+    return (
+        readings.groupBy(*ELEMENT)
+        .agg(F.min("recordTime").alias("minTime"), F.max("recordTime").alias("maxTime"),
+             F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > large)
+        .orderBy(F.desc("_n"))
+        .limit(MAX_LARGE_GROUPS)
+        .drop("_n")
+    )
+
+
+def on_slot(start: Column, step: int) -> Column:
+    return (epoch(F.col("recordTime")) - epoch(start)) % step == 0
+
+
+def regular_grid(cells: DataFrame, step: int, readings: DataFrame | None = None,
+                 large: int = LARGE_GROUP) -> DataFrame:
     """Every slot from an element's first to its last, for each of its KPIs.
 
     Slots are counted from the element's first reading; readings between slots
-    are left out. Each reading brings the empty slots up to the next one, so no
-    join with a generated grid is needed.
+    are left out, for crowded elements already before their rows are placed
+    together. Each reading brings the empty slots up to the next one, so no join
+    with a generated grid is needed. ``readings`` is what the cells were made of,
+    when it is cheaper to count.
     """
-    if extent is None:
-        extent = series_extent(cells)
+    crowded = crowded_elements(cells if readings is None else readings, large)
+    kept = (
+        cells.join(F.broadcast(crowded), ELEMENT, "left")
+        .where(F.col("minTime").isNull() | on_slot(F.col("minTime"), step))
+        .select(*SERIES, "recordTime", "kpiValue", "maxTime")
+    )
+    whole = Window.partitionBy(*ELEMENT)
     t = F.col("recordTime")
-    on_slot = cells.join(extent, ELEMENT).where((epoch(t) - epoch(F.col("minTime"))) % step == 0)
-    first = F.coalesce(F.when(F.lag(t).over(in_order()).isNull(), F.col("minTime")), t)
-    last = F.coalesce(shift(F.lead(t).over(in_order()), -step), F.col("maxTime"))
+    start = F.min(t).over(whole)
+    end = F.coalesce(F.max("maxTime").over(whole), F.max(t).over(whole))
+    placed = (
+        by_element(kept)
+        .select(*SERIES, "recordTime", "kpiValue", start.alias("_start"), end.alias("_end"))
+        .where(on_slot(F.col("_start"), step))
+    )
+    first = F.coalesce(F.when(F.lag(t).over(in_order()).isNull(), F.col("_start")), t)
+    last = F.coalesce(shift(F.lead(t).over(in_order()), -step), F.col("_end"))
     return (
-        by_element(on_slot)
-        .select(*SERIES, "recordTime", "kpiValue", first.alias("_first"), last.alias("_last"))
+        placed.select(*SERIES, "recordTime", "kpiValue", first.alias("_first"), last.alias("_last"))
         .select(*SERIES, "recordTime", "kpiValue",
                 F.explode(F.sequence("_first", "_last", step_interval(step))).alias("_slot"))
         .select(*SERIES, F.col("_slot").alias("recordTime"),
@@ -238,7 +270,7 @@ def roll_history(history: DataFrame, fresh: DataFrame, step: int) -> DataFrame:
     )
     span = epoch(F.max("recordTime")) - epoch(F.min("recordTime"))
     lengths = history.groupBy(*ELEMENT).agg((span / step + 1).alias("_keep"))
-    grid = impute_median(regular_grid(merged, step, series_extent(both))).where(F.col("kpiValue").isNotNull())
+    grid = impute_median(regular_grid(merged, step, both)).where(F.col("kpiValue").isNotNull())
     newest = by_series().orderBy(F.desc("recordTime"))
     return (
         grid.withColumn("_rn", F.row_number().over(newest))

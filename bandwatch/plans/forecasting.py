@@ -26,7 +26,7 @@ def prepare_series(readings: DataFrame, step: int) -> DataFrame:
 
     A series without any value stays empty through imputation and drops out.
     """
-    grid = ts.regular_grid(ts.slot_cells(readings), step, ts.series_extent(readings))
+    grid = ts.regular_grid(ts.slot_cells(readings), step, readings)
     return ts.impute_median(grid).where(F.col("kpiValue").isNotNull())
 
 

@@ -40,17 +40,18 @@ def brute_grid(pdf):
     return pd.concat(frames)
 
 
-def test_grid_and_imputation(sparse):
+@pytest.mark.parametrize("large", [10**6, 0, 40])
+def test_grid_and_imputation(sparse, large):
     want = brute_grid(sparse.toPandas())
     expected = sorted((r.resId, r.kpiId, r.recordTime.to_pydatetime(), round(r.v, 9)) for r in want.itertuples())
-    got = ts.impute_median(ts.drop_empty_series(ts.regular_grid(sparse, 300))).collect()
+    got = ts.impute_median(ts.drop_empty_series(ts.regular_grid(sparse, 300, large=large))).collect()
     assert sorted((r.resId, r.kpiId, r.recordTime, round(r.kpiValue, 9)) for r in got) == expected
 
 
 def test_one_exchange_by_element(sparse):
     plan = prepare_series(sparse, 300)
     text = plan._jdf.queryExecution().executedPlan().toString()
-    # the cell aggregate, the element extents, and the placement by element
+    # the cell aggregate, the element counts, and the placement by element
     assert text.count("Exchange hashpartitioning") == 3
     assert "SinglePartition" not in text
 
@@ -63,6 +64,15 @@ def test_copies_collapse_before_windows(spark):
     assert rows(out.where(F.col("recordTime") == F.lit(T0).cast("timestamp_ntz")), "kpiValue") == [(6.0,)]
 
 
+def test_trailing_reading_between_slots(spark):
+    """A last reading off the grid still sets where the grid ends."""
+    df = cells(spark, [("a", "x", 0, 1.0), ("a", "x", 2, 3.0), ("a", "x", at(4) + dt.timedelta(seconds=9), 5.0)])
+    for large in (10**6, 0):
+        grid = ts.regular_grid(df, 300, large=large)
+        values = [r.kpiValue for r in grid.orderBy("recordTime").collect()]
+        assert values == [1.0, None, 3.0, None, None]
+
+
 def test_pivot_round_trip(sparse):
     back = ts.unpivot_kpis(ts.pivot_kpis(sparse, ["x", "y"]), ["x", "y"]).where("kpiValue is not null")
     key = ("resId", "kpiId", "recordTime", "kpiValue")
