@@ -9,7 +9,6 @@ from bandwatch.catalog.base import register, rounded
 from bandwatch.catalog.sql import level, query, r2, r6, text
 from bandwatch.functions.values import decimal2
 from bandwatch.operators import bands, scoring, windows
-from bandwatch.operators.cleaning import latest_forecast
 from bandwatch.plans import scoring as plan
 from bandwatch.schemas import ELEMENT_DIMS
 

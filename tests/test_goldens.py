@@ -10,7 +10,7 @@ from bandwatch import rules, schemas
 from bandwatch.functions import times, values
 from bandwatch.operators import bands, cleaning, scoring, windows
 from bandwatch.plans.scoring import score
-from tests.helpers import T0, actual, at, forecasts, rows
+from tests.helpers import actual, at, forecasts, rows
 
 RUN = dt.datetime(2024, 3, 2)
 RATE, VOLUME, CPU, FAIL = (
