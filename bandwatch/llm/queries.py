@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bandwatch.llm.lines import dedup_lines
+from bandwatch.llm.packing import pack
 from bandwatch.llm.stage import lower_ascii_sql
+from bandwatch.llm.token_files import read_token_files, write_token_files
+from bandwatch.llm.token_lengths import token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,3 +45,18 @@ from marked group by doc_id
 """)
 def line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents"), digest=True)
+
+
+@query("op3_token_files")
+def token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_token_files(write_token_files(table(spark, sf_dir, "documents")), digest=True)
+
+
+@query("op6_token_counts")
+def token_count_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op7_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), digest=True)
