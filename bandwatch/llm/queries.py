@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bandwatch.llm.jaccard import jaccard_components
 from bandwatch.llm.lines import dedup_lines
 from bandwatch.llm.packing import pack
 from bandwatch.llm.stage import lower_ascii_sql
@@ -60,3 +61,8 @@ def token_count_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_packing")
 def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), digest=True)
+
+
+@query("op10_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"))
