@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bandwatch.llm.jaccard import jaccard_components
+from bandwatch.llm.language import identify_languages
 from bandwatch.llm.lines import dedup_lines
 from bandwatch.llm.packing import pack
 from bandwatch.llm.stage import lower_ascii_sql
@@ -66,3 +67,8 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
+
+
+@query("op8_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_languages(table(spark, sf_dir, "documents"))
