@@ -10,6 +10,7 @@ from bandwatch.llm.jaccard import jaccard_components
 from bandwatch.llm.language import identify_languages
 from bandwatch.llm.lines import dedup_lines
 from bandwatch.llm.packing import pack
+from bandwatch.llm.pii import personal_data
 from bandwatch.llm.stage import lower_ascii_sql
 from bandwatch.llm.token_files import read_token_files, write_token_files
 from bandwatch.llm.token_lengths import token_counts
@@ -72,3 +73,8 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_language_id")
 def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_languages(table(spark, sf_dir, "documents"))
+
+
+@query("op5_pii")
+def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data(table(spark, sf_dir, "documents")).drop("span_list")
