@@ -17,9 +17,9 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 LONGEST_CACHED = 48
-MARKS = frozenset(".,;:!?|")
+MARKS = ".,;:!?|#$%&*()"  # a run of them after letters is a piece of its own
 
 
 def vocabulary(name: str) -> str:
@@ -71,13 +71,15 @@ class TextEncoder:
             self.encode, self.words = self._bare, _Words(self._bare_word, cached_words)
         else:
             self.encode = self._whole
-        self._model = self.tokenizer.model
+        self._pieces = self.tokenizer.model.tokenize
+        self._bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _piece(self, letters: str) -> bytes:
-        return np.array([t.id for t in self._model.tokenize(letters)], "<u4").tobytes()
+        known = self._bytes
+        return b"".join([known[t.id] for t in self._pieces(letters)])
 
     @staticmethod
     def _plain(word: str) -> bool:
@@ -99,11 +101,14 @@ class TextEncoder:
 
     def _spaced_word(self, word: str) -> bytes:
         """A word after a space; after a line end, with it; after a carriage return, which is never part of one: the text's first."""
+        if word.isalpha() and word.isascii():
+            return self._piece(LETTERS[32] + word)
         head = word[0]
         body = word[1:] if head in "\r\n" else word
-        if body[-1] in MARKS and self._plain(body[:-1]):
-            return self.words[word[:-1]] + self.words["\r" + body[-1]]
-        if self._plain(body):
+        stem = body.rstrip(MARKS)
+        if self._plain(stem):
+            if len(stem) < len(body):
+                return self.words[word[:len(stem) - len(body)]] + self.words["\r" + body[len(stem):]]
             if head == "\n":
                 return self.words["\r\n"] + self.words["\r" + body]
             return self._piece(("" if head == "\r" else LETTERS[32]) + self._spell(body))
@@ -115,9 +120,10 @@ class TextEncoder:
         return b"".join([kept[w] for w in text.replace("\n", " ").split(" ") if w])
 
     def _bare_word(self, word: str) -> bytes:
-        if len(word) > 1 and word[-1] in MARKS and self._plain(word[:-1]):
-            return self.words[word[:-1]] + self.words[word[-1]]
-        if self._plain(word):
+        stem = word.rstrip(MARKS)
+        if self._plain(stem):
+            if len(stem) < len(word):
+                return self.words[stem] + self.words[word[len(stem):]]
             return self._piece(self._spell(word.lower()))
         return self._whole(word)
 
