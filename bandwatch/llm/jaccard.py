@@ -178,6 +178,29 @@ def _pairs(met: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
     return held.where(open_ & _can_link(percent)).select(F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
+def _asked(blocks: DataFrame, signatures: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The leaves to compare for each pair of blocks: one step further down, those that can link with the other block.
+
+    Rows (x, y, side, doc_id, n, h1, h2, component); pairs that keep leaves on one side only are left out.
+    """
+    one = blocks.select(
+        "block", "doc_id", "n", "h1", "h2", "component", F.col("n").alias("n_min"), F.col("n").alias("n_max"),
+        F.col("bits").alias("bits_min"), F.col("slice").alias("slice_min"), F.col("slice").alias("slice_max"),
+        *[F.get("bitmap", F.lit(i)).alias(b) for i, b in enumerate(BITMAP)]).alias("x")
+    out = ["doc_id", "n", "h1", "h2", "component"]
+
+    def side(here: str, there: str, number: int) -> DataFrame:
+        across = pairs.where("x <> y").alias("p").join(signatures.alias("y"), F.col(f"p.{there}") == F.col("y.block"))
+        held = across.join(one, (F.col(f"p.{here}") == F.col("x.block")) & _can_link(percent))
+        return held.select(F.col("p.x").alias("x"), F.col("p.y").alias("y"), F.lit(number).alias("side"), *[F.col(f"x.{c}") for c in out])
+
+    both = staged(side("x", "y", 0).unionByName(side("y", "x", 1)), "leaf-pairs")
+    alive = both.groupBy("x", "y").agg(F.min("side").alias("lo"), F.max("side").alias("hi")).where("lo <> hi").select("x", "y")
+    own = pairs.where("x = y").join(blocks.select("block", *out), F.col("x") == F.col("block")).select(
+        "x", "y", F.lit(0).alias("side"), *out)
+    return both.join(alive, ["x", "y"], "left_semi").unionByName(own)
+
+
 def linked_leaves(ids: list[int], start: list[int], side: list[int], sets: list[np.ndarray], percent: int, within: bool) -> list[tuple[int, int]]:
     """Links that join the leaves of one pair of blocks; those between leaves joined already are not looked for."""
     root = list(range(len(ids)))
@@ -216,13 +239,10 @@ def linked_leaves(ids: list[int], start: list[int], side: list[int], sets: list[
     return found
 
 
-def _compare(docs: DataFrame, blocks: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def _compare(docs: DataFrame, blocks: DataFrame, signatures: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
     """Links (a, b) found in pairs of blocks. Only documents that a fixed-size filter lets through are cut up again."""
     pairs = staged(pairs, "pairs")
-    slim = blocks.select("doc_id", "n", "h1", "h2", "component", "block")
-    of_x = pairs.join(slim, F.col("x") == F.col("block")).withColumn("side", F.lit(0))
-    of_y = pairs.where("x <> y").join(slim, F.col("y") == F.col("block")).withColumn("side", F.lit(1))
-    asked = staged(of_x.unionByName(of_y).drop("block"), "asked")
+    asked = staged(_asked(blocks, signatures, pairs, percent), "asked")
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
     bits = asked.select("doc_id").distinct().groupBy(F.shiftright(place, 6).alias("w")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(xxhash64(doc_id), {1 << FILTER_BITS}L) % 64 as int))")).alias("v"))
@@ -292,7 +312,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     hubs = homes.groupBy("token").agg(F.min("block").alias("x"))
     stars = homes.join(hubs, "token").where("x <> block").select("x", F.col("block").alias("y"))
     alone = signed.where("leaves > 1").select(F.col("block").alias("x"), F.col("block").alias("y"))
-    links = _compare(slim, blocks, _pairs(stars.unionByName(alone), signed, percent), words, percent)
+    links = _compare(slim, blocks, signed, _pairs(stars.unionByName(alone), signed, percent), words, percent)
 
     # rows of one doc_id with different texts are one document
     named = rows.where("n > 0 and doc_id is not null").join(classes, ["h1", "h2"])
@@ -310,7 +330,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     homes = staged(homes.join(mixed, "token", "left_semi"), "homes")
     other = homes.select("token", F.col("block").alias("y"), F.col("component").alias("of"))
     crossed = homes.join(other, "token").where("block < y and component <> of").select(F.col("block").alias("x"), "y")
-    more = _compare(slim, blocks, _pairs(crossed, signed, percent), words, percent)
+    more = _compare(slim, blocks, signed, _pairs(crossed, signed, percent), words, percent)
     final = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     label = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bandwatch.llm.decontaminate import benchmark_passages
 from bandwatch.llm.jaccard import jaccard_components
 from bandwatch.llm.language import identify_languages
 from bandwatch.llm.lines import dedup_lines
@@ -14,6 +15,7 @@ from bandwatch.llm.pii import personal_data
 from bandwatch.llm.stage import lower_ascii_sql
 from bandwatch.llm.token_files import read_token_files, write_token_files
 from bandwatch.llm.token_lengths import token_counts
+from bandwatch.llm.top_k import top_k
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -78,3 +80,21 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_pii")
 def pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data(table(spark, sf_dir, "documents")).drop("span_list")
+
+
+@query("op9_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_top_k", """
+with v as (select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as q from embeddings
+  where embedding is not null and vec_id is not null and list_count(embedding) = len(embedding)
+    and len(list_filter(embedding, x -> not isfinite(x))) = 0),
+scored as (select a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
+  from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored)
+select query_id, rank, vec_id, score from ranked where rank <= 5
+""")
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
