@@ -12,6 +12,7 @@ from bandwatch.llm.language import identify_languages
 from bandwatch.llm.lines import dedup_lines
 from bandwatch.llm.packing import pack
 from bandwatch.llm.pii import personal_data
+from bandwatch.llm.quality import document_quality
 from bandwatch.llm.stage import lower_ascii_sql
 from bandwatch.llm.token_files import read_token_files, write_token_files
 from bandwatch.llm.token_lengths import token_counts
@@ -98,3 +99,8 @@ select query_id, rank, vec_id, score from ranked where rank <= 5
 """)
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"))
+
+
+@query("op2_quality")
+def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
