@@ -28,6 +28,7 @@ MAX_CALIBRATE = 1000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.3, 0.1
 UNKNOWN = "und"
+LEAST_SCORE = 0.5  # below it a document counts as of no known language
 SLICE = 1 << 20  # characters hashed at a time
 
 
@@ -221,3 +222,15 @@ def identify_languages(docs: DataFrame, **bounds: int) -> DataFrame:
 
 def crc_bucket(doc_id: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % 5
+
+
+def in_known_languages(docs: DataFrame, least_score: float = LEAST_SCORE, **bounds: int) -> DataFrame:
+    """Documents, with all their columns, whose language is told with a score of ``least_score`` or more."""
+    shared = docs.sparkSession.sparkContext.broadcast(fit_language_model(docs, **bounds))
+    at = docs.columns.index("text")
+
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        told = [shared.value.predict(x) for x in batch.column(at).to_pylist()]
+        yield batch.filter(pa.array([x != UNKNOWN and p >= least_score for x, p in told], pa.bool_()))
+
+    return docs.mapInArrow(per_batch(keep, 500), docs.schema)

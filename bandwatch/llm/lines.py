@@ -187,7 +187,8 @@ def without_repeated_lines(docs: DataFrame, **rule) -> DataFrame:
 
     Texts that lose no line stay as they are, null included.
     """
-    lost = repeated_lines(docs, **rule).withColumnRenamed("doc_id", "_of")
+    mark = f"gone_{uuid.uuid4().hex}"  # a name no column has
+    lost = repeated_lines(docs, **rule).withColumnsRenamed({"doc_id": f"of_{mark}", "gone": mark})
     min_chars = rule.get("min_chars", MIN_CHARS)
 
     def strip(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -201,7 +202,7 @@ def without_repeated_lines(docs: DataFrame, **rule) -> DataFrame:
         arrays = [pa.array(out, pa.string()) if i == at else batch.column(i) for i in range(gone_at)]
         yield pa.RecordBatch.from_arrays(arrays, batch.schema.names[:gone_at])
 
-    both = docs.join(lost, docs["doc_id"].eqNullSafe(lost["_of"]), "left").select(*[docs[f"`{c}`"] for c in docs.columns], lost["gone"])
+    both = docs.join(lost, docs["doc_id"].eqNullSafe(lost[f"of_{mark}"]), "left").select(*[docs[f"`{c}`"] for c in docs.columns], lost[mark])
     left = both.mapInArrow(per_batch(strip), docs.schema)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -121,7 +121,7 @@ def test_bound_never_hides_a_link(spark):
     # every leaf a block of its own
     blocks = staged(leaves.selectExpr("*", "doc_id as block", "doc_id as component"), "t")
     signed = jaccard._signatures(blocks)
-    every = spark.createDataFrame([(a, b) for a in range(60) for b in range(a)], "x long, y long")
+    every = spark.createDataFrame([(a, b, None) for a in range(60) for b in range(a)], "x long, y long, shared long")
     left = {(r.x, r.y) for r in jaccard._pairs(every, signed, 85).collect()}
     assert len(left) < 60 * 59 / 2
     sets = [set(jaccard.shingle_set(t, 4).tolist()) for _, t in rows]
