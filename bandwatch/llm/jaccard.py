@@ -1,7 +1,8 @@
 """Exact Jaccard join over word shingles with signature trees.
 
-Leaves of the tree are distinct shingle sets (equal sets are one). Leaves with one
-key and nearly one size form a node, split into blocks of bounded size. A block has
+Leaves of the tree are distinct shingle sets (equal sets are one). Leaves with the
+same least hash, as most near copies have, and nearly one size form a node, split into
+blocks of bounded size. A block has
 the OR of its leaves' token bitmaps, the range of their sizes and the least number
 of bits of one: from these follows the largest overlap that a leaf of one block can
 have with a leaf of another, and pairs of blocks that cannot reach the threshold are
@@ -13,11 +14,11 @@ that order, so passages that many documents share bring few blocks together. How
 rare a token is comes from a sketch of fixed size over all documents; a wrong guess
 costs time, never a link.
 
-The trees are walked twice. First the key is the set's least hash, which near copies
-mostly share, and a block meets itself and one block per prefix token. Then the key
-is the component found so far, and all blocks of different components that share a
-prefix token meet. Within a component nothing is left to find, so a large group of
-near copies costs in proportion to its size.
+The trees are walked twice. First a block meets itself and the one that most of its prefix
+tokens name as theirs.
+Then the blocks are dealt anew, leaves of large components apart, and all that share a
+prefix token and are not of one component meet. Within a component nothing is left to
+find, so a large group of near copies costs about in proportion to its size.
 """
 
 from __future__ import annotations
@@ -141,11 +142,22 @@ def _leaves(docs: DataFrame, rarity: np.ndarray, words: int, percent: int) -> Da
 
 
 def _blocks(leaves: DataFrame) -> DataFrame:
-    """Leaves (doc_id, n, step, slice, bits, bitmap, key, component) with their block."""
-    nodes = leaves.groupBy("key", "step").agg(F.count(F.lit(1)).alias("_k"), F.sum("n").alias("_s")).select(
-        "key", "step", F.ceil(F.greatest(F.col("_k") / LEAVES, F.col("_s") / BLOCK_SHINGLES)).alias("_parts"))
+    """Leaves (doc_id, n, first, step, slice, bits, bitmap, component) with their block.
+
+    A node has the leaves of one least hash and size step. Those of a component that has many leaves there stand
+    apart from the rest, so that blocks of one component, between which nothing is left to find, do not mix with
+    others; small components share blocks.
+    """
+    many = leaves.groupBy("first", "step", "component").agg(F.count(F.lit(1)).alias("_m")).where(F.col("_m") >= LEAVES // 4).select(
+        "first", "step", "component", F.col("component").alias("_apart"))
+    apart = leaves.join(many, ["first", "step", "component"], "left")
+    nodes = apart.groupBy("first", "step", "_apart").agg(F.count(F.lit(1)).alias("_k"), F.sum("n").alias("_s")).select(
+        F.col("first").alias("_first"), F.col("step").alias("_step"), F.col("_apart").alias("_of"),
+        F.ceil(F.greatest(F.col("_k") / LEAVES, F.col("_s") / BLOCK_SHINGLES)).alias("_parts"))
+    at = (F.col("first") == F.col("_first")) & (F.col("step") == F.col("_step")) & F.col("_apart").eqNullSafe(F.col("_of"))
     part = F.pmod(F.xxhash64("doc_id", "n"), F.col("_parts"))
-    return leaves.join(nodes, ["key", "step"]).withColumn("block", F.xxhash64("key", "step", part)).drop("_parts")
+    return apart.join(nodes, at).withColumn("block", F.xxhash64("first", "step", F.coalesce("_apart", F.lit(-1)), F.col("_apart").isNull(), part)).drop(
+        "_parts", "_first", "_step", "_of", "_apart")
 
 
 def _signatures(blocks: DataFrame) -> DataFrame:
@@ -171,11 +183,18 @@ def _can_link(percent: int) -> F.Column:
 
 
 def _pairs(met: DataFrame, signatures: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (x, y) of blocks that met, those that can hold a link."""
-    held = met.distinct().alias("p").join(signatures.alias("x"), F.col("p.x") == F.col("x.block")).join(
+    """Of the pairs (x, y) of blocks that met, those that can hold a link.
+
+    ``shared``, where given, bounds the prefix tokens that two leaves share. Common tokens of two sets lie in both
+    prefixes or behind the one that ends first, so similar sets share many of them unless their sizes differ.
+    """
+    held = met.alias("p").join(signatures.alias("x"), F.col("p.x") == F.col("x.block")).join(
         signatures.alias("y"), F.col("p.y") == F.col("y.block"))
     open_ = (F.col("x.c_min") != F.col("x.c_max")) | (F.col("y.c_min") != F.col("y.c_max")) | (F.col("x.c_min") != F.col("y.c_min"))
-    return held.where(open_ & _can_link(percent)).select(F.col("p.x").alias("x"), F.col("p.y").alias("y"))
+    least, most = F.least("x.n_min", "y.n_min"), F.greatest("x.n_max", "y.n_max")
+    share = F.col("p.shared") * (100 * (100 + percent)) >= least * (100 * percent) - most * (percent * percent)
+    return held.where(open_ & _can_link(percent) & F.coalesce(share, F.lit(True))).select(
+        F.col("p.x").alias("x"), F.col("p.y").alias("y"))
 
 
 def _asked(blocks: DataFrame, signatures: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -239,7 +258,7 @@ def linked_leaves(ids: list[int], start: list[int], side: list[int], sets: list[
     return found
 
 
-def _compare(docs: DataFrame, blocks: DataFrame, signatures: DataFrame, pairs: DataFrame, words: int, percent: int) -> DataFrame:
+def _compare(docs: DataFrame, blocks: DataFrame, signatures: DataFrame, pairs: DataFrame, words: int, percent: int, once) -> DataFrame:
     """Links (a, b) found in pairs of blocks. Only documents that a fixed-size filter lets through are cut up again."""
     pairs = staged(pairs, "pairs")
     asked = staged(_asked(blocks, signatures, pairs, percent), "asked")
@@ -266,14 +285,14 @@ def _compare(docs: DataFrame, blocks: DataFrame, signatures: DataFrame, pairs: D
             ["doc_id", "h1", "h2", "tokens"])
 
     sets = docs.select("doc_id", "text", place.alias("place")).mapInArrow(
-        per_batch(cut), "doc_id long, h1 long, h2 long, tokens binary").dropDuplicates(["doc_id", "h1", "h2"])
+        per_batch(cut), "doc_id long, h1 long, h2 long, tokens binary")
 
     def compare(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
         found = linked_leaves(pdf["doc_id"].tolist(), pdf["component"].tolist(), pdf["side"].tolist(),
                               [np.frombuffer(x, np.uint64) for x in pdf["tokens"]], percent, key[0] == key[1])
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return asked.join(sets, ["doc_id", "h1", "h2"]).select("x", "y", "doc_id", "component", "side", "tokens").groupBy(
+    return asked.join(once(sets), ["doc_id", "h1", "h2"]).select("x", "y", "doc_id", "component", "side", "tokens").groupBy(
         "x", "y").applyInPandas(compare, "a long, b long")
 
 
@@ -294,10 +313,11 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     classes = staged(
         rows.where("n > 0 and doc_id is not null").groupBy("h1", "h2").agg(F.min("doc_id").alias("rep")), "classes")
     rarity = _rarity(profile.where("chunk is not null"))
-    leaves = staged(
+    repeated = not rows.where("n > 0").groupBy("doc_id", "h1", "h2").count().where("count > 1").isEmpty()
+    once = (lambda df: df.dropDuplicates(["doc_id", "h1", "h2"])) if repeated else (lambda df: df)
+    leaves = staged(once(
         _leaves(slim.where("doc_id is not null"), rarity, words, percent)
-        .join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "h1", "h2"], "left_semi")
-        .dropDuplicates(["doc_id", "h1", "h2"]), "leaves")
+        .join(classes.withColumnRenamed("rep", "doc_id"), ["doc_id", "h1", "h2"], "left_semi")), "leaves")
 
     placed = leaves.select("doc_id", "n", F.explode("tokens").alias("token"))
     met = placed.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("lo"), F.max(F.struct("doc_id", "n")).alias("hi")).where(
@@ -306,13 +326,14 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     leaves = leaves.drop("tokens")
 
     # first walk: nodes by least hash
-    blocks = staged(_blocks(leaves.withColumns({"key": F.col("first"), "component": F.col("doc_id")})), "blocks")
+    blocks = staged(_blocks(leaves.withColumn("component", F.col("doc_id"))), "blocks")
     signed = staged(_signatures(blocks), "signatures")
     homes = tokens.join(blocks.select("doc_id", "n", "block"), ["doc_id", "n"]).select("token", "block").distinct()
     hubs = homes.groupBy("token").agg(F.min("block").alias("x"))
-    stars = homes.join(hubs, "token").where("x <> block").select("x", F.col("block").alias("y"))
-    alone = signed.where("leaves > 1").select(F.col("block").alias("x"), F.col("block").alias("y"))
-    links = _compare(slim, blocks, signed, _pairs(stars.unionByName(alone), signed, percent), words, percent)
+    stars = homes.join(hubs, "token").where("x <> block").groupBy(F.col("block").alias("y"), "x").count().groupBy("y").agg(
+        F.max_by("x", F.struct("count", "x")).alias("x"))
+    alone = signed.where("leaves > 1").select(F.col("block").alias("y"), F.col("block").alias("x"))
+    links = _compare(slim, blocks, signed, _pairs(stars.unionByName(alone).withColumn("shared", F.lit(None).cast("long")), signed, percent), words, percent, once)
 
     # rows of one doc_id with different texts are one document
     named = rows.where("n > 0 and doc_id is not null").join(classes, ["h1", "h2"])
@@ -320,17 +341,17 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     same = named.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b"))
     found = staged(components(links.unionByName(same)), "first-components")
 
-    # second walk: nodes by component
+    # second walk: the nodes again, large components apart
     known = leaves.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id")).withColumn("key", F.col("component"))
+        "component", F.coalesce("component", "doc_id"))
     blocks = staged(_blocks(known), "blocks")
     signed = staged(_signatures(blocks), "signatures")
     homes = tokens.join(blocks.select("doc_id", "n", "block", "component"), ["doc_id", "n"]).select("token", "block", "component").distinct()
     mixed = homes.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     homes = staged(homes.join(mixed, "token", "left_semi"), "homes")
     other = homes.select("token", F.col("block").alias("y"), F.col("component").alias("of"))
-    crossed = homes.join(other, "token").where("block < y and component <> of").select(F.col("block").alias("x"), "y")
-    more = _compare(slim, blocks, signed, _pairs(crossed, signed, percent), words, percent)
+    crossed = homes.join(other, "token").where("(block < y or block = y and component < of) and component <> of").groupBy(F.col("block").alias("x"), "y").agg(F.count(F.lit(1)).alias("shared"))
+    more = _compare(slim, blocks, signed, _pairs(crossed, signed, percent), words, percent, once)
     final = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     label = classes.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
