@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandwatch.functions.values import is_number
+from bandwatch.functions.values import is_number, round_at
 
 Run = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +48,4 @@ def present(df: DataFrame) -> DataFrame:
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
     """Round for comparison where engines add in different orders."""
-    scale = F.lit(10.0**places)
-    return df.withColumns(
-        {c: F.when(is_number(F.col(c)), F.floor(F.col(c) * scale + 0.5) / scale) for c in columns}
-    )
+    return df.withColumns({c: F.when(is_number(F.col(c)), round_at(F.col(c), 10.0**places)) for c in columns})

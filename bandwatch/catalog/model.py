@@ -16,19 +16,35 @@ from bandwatch.rules import MODEL_DEFAULTS
 from bandwatch.sources.readings import history_scan
 
 
-@register("rnn_forecast")
+@register("rnn_forecast", query(f"""SELECT e.resId, e.itemPara, k.kpiId, {text("maxTime + g.i * INTERVAL 1 HOUR")} AS recordTime,
+    '2024-02-01 00:00:00' AS createTime, w.nodeCode, w.deviceSet, w.resourceType, true AS insideLimits, true AS ordered,
+    CASE k.kpiId WHEN 'purchase' THEN 100.0 END AS fixedUpper, CASE WHEN k.kpiId <> 'click' THEN 0.0 END AS fixedLower
+    FROM extents e JOIN (SELECT DISTINCT resId, itemPara, kpiId FROM cells) k ON e.resId = k.resId AND e.itemPara = k.itemPara
+    JOIN (SELECT DISTINCT resId, nodeCode, deviceSet, resourceType FROM actual) w ON e.resId = w.resId,
+    generate_series(1, 72) g(i)"""))
 def rnn_forecast(spark, sf):
-    """Trained forecast of the coming 72 slots for every element."""
-    return plan.forecast(
+    """Trained forecast of the coming 72 slots for every element: what does not depend on the weights learned."""
+    out = plan.forecast(
         cells(spark, sf), fx.resource_rules(spark), fx.kpi_rules(spark), fx.RUN_TIME, step=fx.STEP, history_days=None
     )
+    f, up, low = F.col("forecastValue"), F.col("forecastValueUpper"), F.col("forecastValueLower")
+    limited = F.col("kpiId").isin("purchase", "error")
+    return out.select(
+        "resId", "itemPara", "kpiId", "recordTime", "createTime", "nodeCode", "deviceSet", "resourceType",
+        ((f >= 0) & (~limited | (f <= 100)) & ~F.isnan(f) & (F.col("kpiStd") >= 0)).alias("insideLimits"),
+        ((low <= f) & (f <= up)).alias("ordered"),
+        F.when(F.col("kpiId") == "purchase", up).alias("fixedUpper"), F.when(F.col("kpiId") != "click", low).alias("fixedLower"))
 
 
-@register("rnn_holdout_metrics")
+@register("rnn_holdout_metrics", query("""SELECT resId, itemPara, count(DISTINCT kpiId) AS kpis, true AS lossFell, true AS finite
+    FROM blocks GROUP BY resId, itemPara"""))
 def rnn_holdout_metrics(spark, sf):
-    """First and last training loss and the hold-out loss of each element's model."""
+    """Whether training lowered each element's loss and left a finite hold-out loss."""
     series = plan.prepare_series(cells(spark, sf), fx.STEP)
-    return plan.holdout_metrics(plan.fit_forecast(plan.model_blocks(series, 72), MODEL_DEFAULTS))
+    fitted = plan.holdout_metrics(plan.fit_forecast(plan.model_blocks(series, 72), MODEL_DEFAULTS))
+    return fitted.select(
+        "resId", "itemPara", "kpis", (F.col("trainLossLast") < F.col("trainLossFirst")).alias("lossFell"),
+        ((F.col("testLoss") > 0) & (F.col("testLoss") < 100)).alias("finite"))
 
 
 _AHEAD = """SELECT t.resId, t.itemPara, t.kpiId, t.forecastValue, e.maxTime + t.stepAhead * INTERVAL 1 HOUR AS recordTime,
@@ -50,7 +66,37 @@ def forecast_assemble(spark, sf):
         "resId", "itemPara", "kpiId", F.row_number().over(ts.in_order()).alias("stepAhead"),
         F.col("kpiValue").alias("forecastValue"),
     )
-    out = plan.assemble(
-        values, history_scan(rows, fx.resource_rules(spark)), fx.kpi_rules(spark), fx.STEP, fx.RUN_TIME
-    )
+    elements = ts.element_summary(history_scan(rows, fx.resource_rules(spark)), fx.STEP)
+    out = plan.assemble(values, elements, fx.kpi_rules(spark), fx.STEP, fx.RUN_TIME)
     return rounded(out, "forecastValue", "forecastValueUpper", "forecastValueLower", "kpiStd")
+
+
+_CUT = "TIMESTAMP '2024-01-20'"
+
+
+@register("incremental_forecast_inputs", query(f"""SELECT resId, kpiId, {text('recordTime')} AS recordTime, kpiValue,
+    CASE WHEN e % 4 = 1 OR (e % 4 <> 0 AND recordTime >= {_CUT}) THEN 'new' ELSE 'history' END AS origin
+    FROM (SELECT *, CAST(substr(resId, 3) AS BIGINT) AS e FROM cells)"""))
+def incremental_forecast_inputs(spark, sf):
+    """Every fourth element has nothing new, the one after it is unknown, the others have a history until a day."""
+    rows = cells(spark, sf)
+    number = F.substring("resId", 3, 20).cast("long") % 4
+    cut = F.col("recordTime") < F.lit("2024-01-20").cast("timestamp_ntz")
+    scan = history_scan(rows, fx.resource_rules(spark))
+    history = plan.with_attributes(scan.where((number == 0) | ((number != 1) & cut)), scan)
+    fresh = plan.incremental_inputs(rows, history, fx.resource_rules(spark), fx.RUN_TIME, 60)
+    return history.select("resId", "kpiId", "recordTime", "kpiValue", F.lit("history").alias("origin")).unionByName(
+        fresh.select("resId", "kpiId", "recordTime", "kpiValue", F.lit("new").alias("origin")))
+
+
+@register("forecast_times_offslot", query(f"""SELECT resId, CAST(k AS INTEGER) AS stepAhead,
+    {text("last + k * INTERVAL 1 HOUR")} AS recordTime
+    FROM (SELECT resId, date_trunc('hour', max(ts)) AS last FROM readings GROUP BY resId), generate_series(1, 72) g(k)"""))
+def forecast_times_offslot(spark, sf):
+    """Forecast times after readings at any second follow the last slot, not the last reading."""
+    e = fx.events(spark, sf)
+    c = fx.element_columns()
+    rows = e.select(c["RESID"].alias("resId"), c["ITEM_PARA"].alias("itemPara"), c["NODECODE"].alias("nodeCode"),
+                    c["DEVICE_SET"].alias("deviceSet"), F.lit("T").alias("resourceType"), F.col("ts").cast("timestamp_ntz").alias("recordTime"))
+    ahead = ts.future_slots(ts.element_summary(rows, fx.STEP), fx.STEP, 72)
+    return ahead.select("resId", F.col("stepAhead").cast("int").alias("stepAhead"), "recordTime")

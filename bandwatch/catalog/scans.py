@@ -14,6 +14,7 @@ from bandwatch.functions import times
 from bandwatch.functions.values import vendor_of
 from bandwatch.operators import cleaning, registry, series
 from bandwatch.session import work_dir
+from bandwatch.sinks.tables import append_by_day
 from bandwatch.sources import readings as src
 
 
@@ -45,8 +46,9 @@ def kpi_slot_scan(spark, sf):
       SELECT d, count(*) AS n, unnest(generate_series(d, d + INTERVAL 7 DAY, INTERVAL 1 DAY)) AS today
       FROM (SELECT CAST(recordTime AS DATE) AS d FROM readings) GROUP BY d) GROUP BY today"""))
 def date_partition_scan(spark, sf):
-    """Partitions and rows a run on each day would read: its own day and the seven before."""
-    per_day = event_rows(spark, sf).groupBy(F.to_date("recordTime").alias("dt")).agg(F.count(F.lit(1)).alias("n"))
+    """Partitions and rows of a table stored by day that a run on each day would read: its own day and the seven before."""
+    stored = append_by_day(event_rows(spark, sf), work_dir(spark, "days"), "recordTime")
+    per_day = stored.groupBy("dt").agg(F.count(F.lit(1)).alias("n"))
     runs = per_day.withColumn("today", F.explode(F.sequence("dt", F.date_add("dt", 7))))
     return (
         src.day_range(runs, F.col("today"), 7).groupBy("today")
@@ -73,9 +75,12 @@ def incremental_scan(spark, sf):
 
 
 @register("forecast_slot_scan", query(f"""SELECT resId, itemPara, {text('recordTime')} AS recordTime,
-    {text('createTime')} AS createTime, kpiId, forecastValue, nodeCode, deviceSet FROM forecasts"""))
+    {text('createTime')} AS createTime, kpiId, forecastValue, nodeCode, deviceSet FROM forecasts
+    WHERE recordTime = TIMESTAMP '2024-01-15 08:00:00'"""))
 def forecast_slot_scan(spark, sf):
-    return src.forecast_slot_scan(fx.forecast(spark, sf))
+    """One slot from the day partition of a stored table."""
+    stored = append_by_day(fx.forecast(spark, sf), work_dir(spark, "forecast"), "recordTime")
+    return src.forecast_slot_scan(stored, F.lit("2024-01-15 08:00:00").cast("timestamp_ntz"))
 
 
 @register("kpi_weight_dim", query("""SELECT DISTINCT resourceType, kpiId, 0.2::DOUBLE AS abnScoreWeight,
@@ -188,12 +193,19 @@ def repair_history_tail(spark, sf):
     return cleaning.repair_tail(rows, position="event_id")
 
 
-@register("active_elements_topk", query("""SELECT resourceType, resId, n AS "rows", CAST(rank AS INTEGER) AS rank FROM (
-      SELECT *, row_number() OVER (PARTITION BY resourceType ORDER BY n DESC, resId) AS rank FROM (
-        SELECT resourceType, resId, count(*) AS n FROM actual GROUP BY ALL)) WHERE rank <= 10"""))
+_BUSY = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kpiId ORDER BY n DESC, resId) AS rank FROM (
+        SELECT kpiId, 'u' || user_id AS resId, count(*) AS n FROM readings
+        WHERE ts >= TIMESTAMP '2024-01-15 09:00:00' AND ts <= TIMESTAMP '2024-01-15 12:00:00' GROUP BY ALL)) WHERE rank <= 3"""
+
+
+@register("active_elements_topk", query("""SELECT kpiId AS "resourceType", resId, n AS "rows", CAST(rank AS INTEGER) AS rank
+    FROM busy""", busy=_BUSY))
 def active_elements_topk(spark, sf):
-    """Ten busiest elements per type over the whole month."""
-    return registry.active_elements(fx.actual(spark, sf), fx.RUN_TIME, hours=24 * 31, k=10)
+    """Users as elements and event types as resource types: the three busiest of three hours, ties by id."""
+    rows = fx.events(spark, sf).select(
+        F.concat(F.lit("u"), F.col("user_id")).alias("resId"), F.col("event_type").alias("resourceType"),
+        F.col("ts").cast("timestamp_ntz").alias("recordTime"))
+    return registry.active_elements(rows, dt.datetime(2024, 1, 15, 12), k=3)
 
 
 @register("element_registry", query("SELECT DISTINCT nodeCode, resId, resourceType, vender FROM actual"))

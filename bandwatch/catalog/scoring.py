@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from bandwatch import fixtures as fx
@@ -11,6 +13,9 @@ from bandwatch.functions.values import decimal2
 from bandwatch.operators import bands, scoring, windows
 from bandwatch.plans import scoring as plan
 from bandwatch.schemas import ELEMENT_DIMS
+from bandwatch.session import work_dir
+from bandwatch.sinks.tables import append_by_day
+from bandwatch.sources.readings import rename_raw
 
 DIMS = "nodeCode, resId, resourceType, vender"
 
@@ -83,7 +88,7 @@ def reband_forecast(spark, sf):
     return plan.rebanded(stored_forecasts(spark, sf), fx.kpi_rules(spark))
 
 
-@register("forecast_actual_join", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, kpiId, kpiValue,
+@register("forecast_actual_join", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, itemPara, kpiId, kpiValue,
     forecastValue, forecastValueUpper, forecastValueLower FROM joined"""))
 def forecast_actual_join(spark, sf):
     return joined(spark, sf)
@@ -109,14 +114,14 @@ def kpi_deviation_score(spark, sf):
     )
 
 
-@register("kpi_score_result", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, kpiId, kpiValue, forecastValue,
+@register("kpi_score_result", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, itemPara, kpiId, kpiValue, forecastValue,
     forecastValueUpper, forecastValueLower, ifRangeFcst, {level('abnScore')} AS abnLevel, abnScore,
     '2024-02-01 00:00:00' AS createTime FROM points"""))
 def kpi_score_result(spark, sf):
     return scores(spark, sf)
 
 
-@register("weighted_kpi_scores", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, kpiId, kpiAbnScore,
+@register("weighted_kpi_scores", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, itemPara, kpiId, kpiAbnScore,
     CAST(tenths AS DOUBLE) / 10 AS abnScore FROM weighted"""))
 def weighted_kpi_scores(spark, sf):
     return weighted(spark, sf)
@@ -184,3 +189,21 @@ def regression_metrics(spark, sf):
     out = scoring.regression_metrics(pairs, ["kpiId"])
     places = {"mae": 3, "mse": 1, "rmse": 3, "r2": 6, "mape": 3}
     return out.withColumns({c: F.round(c, p) for c, p in places.items()})
+
+
+_RUNS = ("2024-01-05 10:20:00", "2024-01-12 00:40:00", "2024-01-20 17:00:00", "2024-01-29 03:59:59")
+
+
+@register("score_slot_run", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, CAST(windowScore AS BIGINT) AS windowScore,
+    abnScore, abnLevel, abnRate FROM windows WHERE minId IN ({", ".join(f"date_trunc('hour', TIMESTAMP '{t}') - INTERVAL 1 HOUR" for t in _RUNS)})"""))
+def score_slot_run(spark, sf):
+    """Runs at several times over tables stored by day; each reads three slots and scores the last."""
+    raw = append_by_day(rename_raw(fx.raw_cells(fx.events(spark, sf))), work_dir(spark, "raw"), "recordTime")
+    forecasts = append_by_day(fx.forecast(spark, sf), work_dir(spark, "forecast"), "recordTime")
+    out = None
+    for now in _RUNS:
+        _, table = plan.score_slot(
+            dt.datetime.fromisoformat(now), raw, forecasts, fx.resource_rules(spark), fx.kpi_rules(spark), fx.weights(spark),
+            fx.STEP, delay=fx.STEP)
+        out = table if out is None else out.unionByName(table)
+    return out.select("minId", *ELEMENT_DIMS, "windowScore", "abnScore", "abnLevel", "abnRate")

@@ -63,3 +63,33 @@ def write_audit(spark, sf):
 def records_to_json(spark, sf):
     stamp = F.date_format("minId", "yyyy-MM-dd HH:mm:ss").alias("minId")
     return tables.as_json(fx.actual(spark, sf).select(stamp, "resId", "kpiId", "resourceType", "vender"))
+
+
+@register("stale_forecast_rewrite", query(f"""SELECT resId, itemPara, kpiId, {text('recordTime')} AS recordTime,
+    {text("createTime + CASE WHEN kpiId IN ('click', 'view') THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END")} AS createTime,
+    CASE WHEN kpiId IN ('click', 'view') THEN forecastValue + 1 ELSE forecastValue END AS forecastValue FROM forecasts"""))
+def stale_forecast_rewrite(spark, sf):
+    """Newer forecasts of some KPIs first, then all the older ones once more."""
+    old = fx.forecast(spark, sf)
+    new = old.where(F.col("kpiId").isin("click", "view")).withColumns(
+        {"createTime": F.expr("timestampadd(HOUR, 1, createTime)"), "forecastValue": F.col("forecastValue") + 1})
+    path, day = work_dir(spark, "stale"), F.to_date("recordTime")
+    for batch in (new, old):
+        table = tables.upsert(batch, path, schemas.FORECAST_KEY, day, [F.col("createTime")], "dt")
+    return table.select("resId", "itemPara", "kpiId", "recordTime", "createTime", "forecastValue")
+
+
+@register("port_scores_sink", query(f"""SELECT md5({text('recordTime')} || '-' || resId || '-' || kpiId || '-port' || user_id) AS _id,
+    resId, 'port' || user_id AS itemPara, kpiId, {text('recordTime')} AS "minId", max(kpiValue) AS kpiValue
+    FROM readings GROUP BY resId, user_id, kpiId, recordTime"""))
+def port_scores_sink(spark, sf):
+    """Each user a port of its element: ports stay apart in a keyed table that is written twice."""
+    c = fx.element_columns()
+    rows = fx.events(spark, sf).select(
+        c["RECORD_TIME"].alias("minId"), c["RESID"].alias("resId"), F.concat(F.lit("port"), F.col("user_id")).alias("itemPara"),
+        F.col("event_type").alias("kpiId"), fx.reading_value(False).alias("kpiValue"))
+    cells = rows.groupBy("minId", "resId", "itemPara", "kpiId").agg(F.max("kpiValue").alias("kpiValue"))
+    path = work_dir(spark, "ports")
+    for batch in (cells, cells.where(F.col("kpiId") == "error")):
+        table = tables.upsert(batch, path, KPI_SCORE_KEY, F.to_date("minId"))
+    return table.drop("part")

@@ -76,7 +76,7 @@ PARTS = {
     FROM judged j LEFT JOIN normals n ON j.recordTime = n.recordTime AND j.kpiId = n.kpiId""",
     "rebanded": """SELECT * FROM banded WHERE forecastValue >= 0
     AND (kpiId NOT IN ('purchase', 'error') OR forecastValue <= 100)""",
-    "joined": """SELECT DISTINCT c.minId, f.nodeCode, f.resId, c.resourceType, c.vender, f.kpiId, c.kpiValue,
+    "joined": """SELECT DISTINCT c.minId, f.nodeCode, f.resId, f.itemPara, c.resourceType, c.vender, f.kpiId, c.kpiValue,
     f.forecastValue, f.forecastValueUpper, f.forecastValueLower
     FROM rebanded f JOIN clean c ON f.resId = c.resId AND f.itemPara = c.itemPara AND f.kpiId = c.kpiId
       AND f.recordTime = c.recordTime""",
@@ -90,7 +90,7 @@ PARTS = {
         WHEN kpiValue > 1.4::DOUBLE * forecastValueUpper THEN 100 WHEN kpiValue > 1.2::DOUBLE * forecastValueUpper THEN 75
         WHEN kpiValue > 1.1::DOUBLE * forecastValueUpper THEN 55 WHEN kpiValue > forecastValueUpper THEN 35 ELSE 0 END
     END AS abnScore FROM joined""",
-    "weighted": """SELECT DISTINCT minId, nodeCode, resId, resourceType, vender, kpiId, abnScore AS kpiAbnScore,
+    "weighted": """SELECT DISTINCT minId, nodeCode, resId, itemPara, resourceType, vender, kpiId, abnScore AS kpiAbnScore,
     CASE WHEN resourceType = 'T1' AND kpiId = 'view' THEN NULL ELSE abnScore * 2 END AS tenths FROM points""",
     "elements": f"""SELECT *, CAST(round(CAST(total AS DECIMAL(20, 1)) / 10, 0) AS INTEGER) AS abnScore,
     {level("total / 10.0")} AS abnLevel,

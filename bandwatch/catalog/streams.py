@@ -12,6 +12,7 @@ from bandwatch.functions.values import vendor_of
 from bandwatch.plans import scoring as plan
 from bandwatch.schemas import KPI_SCORE_KEY
 from bandwatch.session import work_dir
+from bandwatch.sinks.tables import append_by_day
 from bandwatch.streaming import jobs
 
 # slots the watermark has passed at the end of the input
@@ -109,8 +110,39 @@ def stream_late_data(spark, sf):
     for late in (False, True):
         events.where((F.col("event_type") == "error") == late).write.mode("append").parquet(f"{root}/source")
         stream = jobs.slot_stream(as_readings(stream_source(spark, f"{root}/source", events.schema)), fx.STEP)
-        table, progress = jobs.drain(
+        table, late_rows = jobs.drain(
             spark, stream.withColumn("minId", jobs.slot_time()).drop("slot"), f"{root}/table", f"{root}/state"
         )
-        dropped += jobs.late_rows(progress)
+        dropped += late_rows
     return table.groupBy("kpiId").agg(F.count(F.lit(1)).alias("slots"), F.lit(dropped > 0).alias("someDropped"))
+
+
+_WINDOWS = f"""SELECT {text('minId')} AS "minId", nodeCode, resId, resourceType, vender,
+    CAST(windowScore AS DOUBLE) AS windowScore, CAST(abnScore AS DOUBLE) AS abnScore,
+    CASE WHEN abnScore IS NULL THEN NULL WHEN abnScore < 40 THEN 1 WHEN abnScore < 60 THEN 2
+      WHEN abnScore < 80 THEN 3 ELSE 4 END AS abnLevel,
+    CASE WHEN windowScore >= 100 THEN 1 ELSE 0 END AS isWindowAlarm,
+    CASE WHEN windowScore >= 200 THEN 1 ELSE 0 END AS isWindowAbn
+    FROM windows WHERE {_CLOSED.replace('recordTime', 'minId')}"""
+
+
+@register("stream_rolling_forecast", query(_WINDOWS))
+def stream_rolling_forecast(spark, sf):
+    """A running stream that has consumed the first half of the events when the forecasts of the second half are written."""
+    root, middle = work_dir(spark, "rolling"), F.lit("2024-01-16").cast("timestamp_ntz")
+    events, forecasts = fx.events(spark, sf), stored_forecasts(spark, sf)
+    halves = (events.where(F.col("ts") < middle), forecasts.where(F.col("recordTime") < middle)), (
+        events.where(F.col("ts") >= middle), forecasts.where(F.col("recordTime") >= middle))
+    query_ = None
+    try:
+        for e, f in halves:
+            append_by_day(f, f"{root}/forecast", "recordTime")
+            e.write.mode("append").parquet(f"{root}/source")
+            if query_ is None:
+                stream = as_readings(stream_source(spark, f"{root}/source", events.schema))
+                query_ = jobs.score_closed_slots(stream, f"{root}/forecast", root, fx.kpi_rules(spark), fx.weights(spark), fx.STEP).start()
+            query_.processAllAvailable()
+    finally:
+        if query_ is not None:
+            query_.stop()
+    return spark.read.parquet(f"{root}/windows").drop("_id", "hour")

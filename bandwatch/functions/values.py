@@ -11,13 +11,22 @@ from pyspark.sql import functions as F
 NO_READING = float(2**63 - 1)
 
 
+# from here on a double has no fraction
+WHOLE = float(2**53)
+
+
+def round_at(x: Column, scale: float) -> Column:
+    """Rounded to 1/scale, halves upward; the same IEEE steps in every engine. Doubles without a fraction stay."""
+    return F.when(F.abs(x) >= F.lit(WHOLE), x).otherwise(
+        F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
+
+
 def round2(x: Column) -> Column:
-    """Two decimals, halves upward; the same IEEE steps in every engine."""
-    return F.floor(x * F.lit(100.0) + F.lit(0.5)) / F.lit(100.0)
+    return round_at(x, 100.0)
 
 
 def decimal2(x: Column) -> Column:
-    return round2(x).cast("decimal(22,2)")
+    return round2(x).cast("decimal(38,2)")
 
 
 def is_number(x: Column) -> Column:

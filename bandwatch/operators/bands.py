@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwatch.functions.values import clamp, is_number, round2
-from bandwatch.operators.skew import LARGE_GROUP, group_median
+from bandwatch.operators.skew import group_median
 
 SLOT_KPI = ["recordTime", "kpiId"]
 CENTRE_FIELDS = ["medGt", "medLe", "medLt"]
@@ -49,18 +49,18 @@ def _with_centre_input(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
     )
 
 
-def robust_center(forecast: DataFrame, kpi_rules: DataFrame, large: int = LARGE_GROUP) -> DataFrame:
+def robust_center(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
     """Median of the typical forecasts of each slot and KPI over all elements, or the rule's default."""
     rows = _with_centre_input(forecast, kpi_rules)
     defaults = kpi_rules.select("kpiId", "medDefault")
     return (
-        group_median(rows, SLOT_KPI, F.col("_typical"), "center", large)
+        group_median(rows, SLOT_KPI, F.col("_typical"), "center")
         .join(defaults, "kpiId")
         .select(*SLOT_KPI, F.coalesce("center", "medDefault").alias("center"))
     )
 
 
-def reband(forecast: DataFrame, kpi_rules: DataFrame, large: int = LARGE_GROUP) -> DataFrame:
+def reband(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
     """Bands for scoring, each forecast judged against all elements in its slot and KPI.
 
     Rows far on the wrong side of the centre are abnormal and get the range of the
@@ -76,7 +76,7 @@ def reband(forecast: DataFrame, kpi_rules: DataFrame, large: int = LARGE_GROUP)
     )
     judged = (
         forecast.where(is_number(f))
-        .join(robust_center(forecast, kpi_rules, large), SLOT_KPI)
+        .join(robust_center(forecast, kpi_rules), SLOT_KPI)
         .join(thresholds, "kpiId")
         .withColumn("abnormal", abnormal)
         .drop("side", "thr", "eps", "center")

@@ -11,8 +11,8 @@ from bandwatch.operators.skew import top_k_per_group
 from bandwatch.schemas import ELEMENT_DIMS
 
 
-def active_elements(actual: DataFrame, now: dt.datetime, hours: float = 3, k: int = 1500) -> DataFrame:
-    """Per resource type the ``k`` elements with most rows in the last hours, ties by id."""
+def active_elements(actual: DataFrame, now: dt.datetime, hours: float = 3, k: int | None = None) -> DataFrame:
+    """Elements with rows in the last hours; with ``k`` the ones with most rows per resource type, ties by id."""
     end = F.lit(now).cast("timestamp_ntz")
     start = F.lit(now - dt.timedelta(hours=hours)).cast("timestamp_ntz")
     counts = (
@@ -20,6 +20,8 @@ def active_elements(actual: DataFrame, now: dt.datetime, hours: float = 3, k: in
         .groupBy("resourceType", "resId")
         .agg(F.count(F.lit(1)).alias("rows"))
     )
+    if k is None:
+        return counts
     return top_k_per_group(counts, ["resourceType"], [F.desc("rows"), F.asc("resId")], k, ["resId"])
 
 

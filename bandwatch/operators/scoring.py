@@ -26,7 +26,7 @@ def forecast_actual_join(forecast: DataFrame, actual: DataFrame) -> DataFrame:
     a = actual.select(*JOIN_KEY, "kpiValue", "minId", "vender", "resourceType")
     return (
         f.join(a, JOIN_KEY)
-        .select("minId", *ELEMENT_DIMS, "kpiId", "kpiValue",
+        .select("minId", *ELEMENT_DIMS, "itemPara", "kpiId", "kpiValue",
                 "forecastValue", "forecastValueUpper", "forecastValueLower")
         .repartition("minId", "resId")
         .distinct()
@@ -70,7 +70,7 @@ def weighted_scores(scores: DataFrame, weights: DataFrame) -> DataFrame:
     """KPI scores with their weighted share; KPIs without a weight get null."""
     return (
         scores.join(weights.select("resourceType", "kpiId", "abnScoreWeight"), ["kpiId", "resourceType"], "left")
-        .select("minId", *ELEMENT_DIMS, "kpiId",
+        .select("minId", *ELEMENT_DIMS, "itemPara", "kpiId",
                 (F.col("abnScore").cast("int") * F.col("abnScoreWeight")).alias("abnScore"),
                 F.col("abnScore").cast("int").alias("kpiAbnScore"))
         .distinct()

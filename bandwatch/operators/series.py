@@ -2,9 +2,8 @@
 
 One exchange by element serves all of them: windows here are partitioned by
 element or by series (an element's KPI), which that exchange already satisfies.
-Copies are merged before it, and readings between slots of crowded elements are
-removed, so a series holds at most one row per slot of the time range, however
-many rows were read.
+Copies are merged before it and readings between slots are removed, so a series
+holds at most one row per slot of the time range, however many rows were read.
 """
 
 from __future__ import annotations
@@ -13,11 +12,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
-from bandwatch.functions.times import epoch, shift, step_interval
-from bandwatch.operators.skew import LARGE_GROUP, MAX_LARGE_GROUPS
+from bandwatch.functions.times import epoch, shift, slot_of, step_interval
 from bandwatch.schemas import ELEMENT, SERIES
 from bandwatch.session import parallelism
 
+ELEMENTS_PER_TASK = 200
+
 
 def by_series() -> WindowSpec:
     return Window.partitionBy(*SERIES)
@@ -27,9 +27,26 @@ def in_order() -> WindowSpec:
     return by_series().orderBy("recordTime")
 
 
-def slot_cells(readings: DataFrame) -> DataFrame:
-    """Largest value per series and time; combines before the shuffle."""
-    return readings.groupBy(*SERIES, "recordTime").agg(F.max("kpiValue").alias("kpiValue"))
+def slot_cells(readings: DataFrame, step: int | None = None) -> DataFrame:
+    """Largest value per series and time; combines before the shuffle.
+
+    With ``step`` readings count for the slot they fall into, so one late message
+    does not move an element's grid; ``moved_readings`` counts those.
+    """
+    time = F.col("recordTime") if step is None else slot_of(F.col("recordTime"), step)
+    return readings.groupBy(*SERIES, time.alias("recordTime")).agg(F.max("kpiValue").alias("kpiValue"))
+
+
+def moved_readings(readings: DataFrame, step: int) -> DataFrame:
+    """Number of readings per element that do not lie on a slot's start; none, no row."""
+    return readings.where(F.col("recordTime") != slot_of(F.col("recordTime"), step)).groupBy(*ELEMENT).agg(
+        F.count(F.lit(1)).alias("moved"))
+
+
+def element_partitions(readings: DataFrame, per_task: int = ELEMENTS_PER_TASK) -> int:
+    """Partitions for work by element: enough for ``per_task`` elements each, at least one per core."""
+    elements = readings.agg(F.approx_count_distinct(F.struct(*ELEMENT))).first()[0]
+    return max(parallelism(readings.sparkSession), -(-elements // per_task))
 
 
 def by_element(df: DataFrame, partitions: int | None = None) -> DataFrame:
@@ -52,52 +69,26 @@ def duplicate_cells(readings: DataFrame) -> DataFrame:
     return readings.groupBy(*SERIES, "recordTime").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
-def crowded_elements(readings: DataFrame, large: int = LARGE_GROUP) -> DataFrame:
-    """Extents of elements with more than ``large`` rows, few enough to broadcast."""
-    return (
-        readings.groupBy(*ELEMENT)
-        .agg(F.min("recordTime").alias("minTime"), F.max("recordTime").alias("maxTime"),
-             F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > large)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_LARGE_GROUPS)
-        .drop("_n")
-    )
-
-
 def on_slot(start: Column, step: int) -> Column:
     return (epoch(F.col("recordTime")) - epoch(start)) % step == 0
 
 
-def regular_grid(cells: DataFrame, step: int, readings: DataFrame | None = None,
-                 large: int = LARGE_GROUP) -> DataFrame:
+def regular_grid(cells: DataFrame, step: int, partitions: int | None = None) -> DataFrame:
     """Every slot from an element's first to its last, for each of its KPIs.
 
-    Slots are counted from the element's first reading; readings between slots
-    are left out, for crowded elements already before their rows are placed
-    together. Each reading brings the empty slots up to the next one, so no join
-    with a generated grid is needed. ``readings`` is what the cells were made of,
-    when it is cheaper to count.
+    Slots are counted from the element's first reading; readings between slots are
+    left out before rows are placed together, so an element has at most one row per
+    slot and KPI in its task. Its extent comes from one aggregate, joined by key. Each
+    reading brings the empty slots up to the next one, so no join with a generated
+    grid is needed.
     """
-    crowded = crowded_elements(cells if readings is None else readings, large)
-    kept = (
-        cells.join(F.broadcast(crowded), ELEMENT, "left")
-        .where(F.col("minTime").isNull() | on_slot(F.col("minTime"), step))
-        .select(*SERIES, "recordTime", "kpiValue", "maxTime")
-    )
-    whole = Window.partitionBy(*ELEMENT)
+    kept = cells.join(series_extent(cells), ELEMENT).where(on_slot(F.col("minTime"), step))
     t = F.col("recordTime")
-    start = F.min(t).over(whole)
-    end = F.coalesce(F.max("maxTime").over(whole), F.max(t).over(whole))
-    placed = (
-        by_element(kept)
-        .select(*SERIES, "recordTime", "kpiValue", start.alias("_start"), end.alias("_end"))
-        .where(on_slot(F.col("_start"), step))
-    )
-    first = F.coalesce(F.when(F.lag(t).over(in_order()).isNull(), F.col("_start")), t)
-    last = F.coalesce(shift(F.lead(t).over(in_order()), -step), F.col("_end"))
+    first = F.coalesce(F.when(F.lag(t).over(in_order()).isNull(), F.col("minTime")), t)
+    last = F.coalesce(shift(F.lead(t).over(in_order()), -step), F.col("maxTime"))
     return (
-        placed.select(*SERIES, "recordTime", "kpiValue", first.alias("_first"), last.alias("_last"))
+        by_element(kept.select(*SERIES, "recordTime", "kpiValue", "minTime", "maxTime"), partitions)
+        .select(*SERIES, "recordTime", "kpiValue", first.alias("_first"), last.alias("_last"))
         .select(*SERIES, "recordTime", "kpiValue",
                 F.explode(F.sequence("_first", "_last", step_interval(step))).alias("_slot"))
         .select(*SERIES, F.col("_slot").alias("recordTime"),
@@ -235,31 +226,38 @@ def element_attrs(readings: DataFrame) -> DataFrame:
     )
 
 
-def element_summary(readings: DataFrame) -> DataFrame:
-    """Last time, attributes and resource type of each element in one aggregate."""
+def element_summary(readings: DataFrame, step: int | None = None) -> DataFrame:
+    """Last time, attributes and resource type of each element in one aggregate.
+
+    With ``step`` the last time is that of the last slot, which a grid of the readings ends with.
+    """
+    last = F.max("recordTime")
     return (
         readings.groupBy(*ELEMENT)
-        .agg(F.max("recordTime").alias("maxTime"), F.min("resourceType").alias("resourceType"),
+        .agg((last if step is None else slot_of(last, step)).alias("maxTime"), F.min("resourceType").alias("resourceType"),
              first_reading().alias("_f"))
         .select(*ELEMENT, "maxTime", "resourceType", "_f.nodeCode", "_f.deviceSet")
     )
 
 
-def pivot_kpis(cells: DataFrame, kpis: list[str]) -> DataFrame:
-    """One column per named KPI."""
-    return cells.groupBy(*ELEMENT, "recordTime").pivot("kpiId", kpis).agg(F.max("kpiValue"))
+def pivot_kpis(cells: DataFrame, kpis: list[str], strict: bool = False) -> DataFrame:
+    """One column per named KPI; of several readings of a cell the largest, or with ``strict`` an error."""
+    value = F.max("kpiValue")
+    if strict:
+        value = F.when(F.count("kpiValue") > 1, F.raise_error(F.lit("more than one reading of a cell")).cast("double")).otherwise(value)
+    return cells.groupBy(*ELEMENT, "recordTime").pivot("kpiId", kpis).agg(value)
 
 
 def unpivot_kpis(wide: DataFrame, kpis: list[str], value: str = "kpiValue") -> DataFrame:
     return wide.unpivot([*ELEMENT, "recordTime"], kpis, "kpiId", value)
 
 
-def roll_history(history: DataFrame, fresh: DataFrame, step: int) -> DataFrame:
+def roll_history(history: DataFrame, fresh: DataFrame, step: int, partitions: int | None = None) -> DataFrame:
     """Extend each series by its new cells and keep its length.
 
     The grid spans old and new rows together, so the gap between them is filled
     too; empty slots get the median. An element without history keeps all its
-    new slots.
+    new slots, one without new rows its history.
     """
     both = history.select(*SERIES, "recordTime", "kpiValue", F.lit(True).alias("_old")).unionByName(
         fresh.select(*SERIES, "recordTime", "kpiValue"), allowMissingColumns=True
@@ -270,7 +268,7 @@ def roll_history(history: DataFrame, fresh: DataFrame, step: int) -> DataFrame:
     )
     span = epoch(F.max("recordTime")) - epoch(F.min("recordTime"))
     lengths = history.groupBy(*ELEMENT).agg((span / step + 1).alias("_keep"))
-    grid = impute_median(regular_grid(merged, step, both)).where(F.col("kpiValue").isNotNull())
+    grid = impute_median(regular_grid(merged, step, partitions)).where(F.col("kpiValue").isNotNull())
     newest = by_series().orderBy(F.desc("recordTime"))
     return (
         grid.withColumn("_rn", F.row_number().over(newest))

@@ -7,49 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# a group above this many values is narrowed before its median is taken
-LARGE_GROUP = 1_000_000
-# rows of the broadcast list of large groups; a group beyond it is smaller than
-# every listed one and takes the plain exact median
-MAX_LARGE_GROUPS = 100_000
 
-
-def group_median(
-    df: DataFrame,
-    keys: Sequence[str],
-    value: Column,
-    name: str,
-    large: int = LARGE_GROUP,
-    accuracy: int = 10_000,
-) -> DataFrame:
+def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str, accuracy: int = 10_000) -> DataFrame:
     """Exact median of ``value`` per group, null for groups without values.
 
-    The built-in median keeps every distinct value of a group. For large groups a
-    quantile sketch first gives a narrow interval that must hold the median, and
-    values outside it are moved to its ends, which leaves the median as it is: the
-    second aggregate then keeps about ``4 / accuracy`` of the distinct values. Both
-    aggregates combine before their shuffle, so the rows themselves never move.
-    A rank check turns a wrong interval into an error instead of a wrong median.
+    The built-in median keeps every distinct value of a group. So a quantile sketch
+    first gives each group a narrow interval that must hold the median, and values
+    outside it are moved to its ends, which leaves the median as it is: the second
+    aggregate then keeps about ``4 / accuracy`` of a large group's distinct values.
+    Both aggregates combine before their shuffle. The intervals hold one row per
+    group and are joined by key: broadcast while small, else shuffled with hot
+    groups split by the skew-join settings. A rank check turns a wrong interval
+    into an error instead of a wrong median.
     """
     keys = list(keys)
     facts = df.select(*keys, value.alias("_v"))
     margin = 2.0 / accuracy
-    interval = (
-        facts.groupBy(*keys)
-        .agg(F.count("_v").alias("_n"),
-             F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_in"))
-        .where(F.col("_n") > large)
-        .orderBy(F.desc("_n"))
-        .limit(MAX_LARGE_GROUPS)
-        .drop("_n")
+    interval = facts.groupBy(*keys).agg(
+        F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_in")
     )
     low, high = F.get("_in", F.lit(0)), F.get("_in", F.lit(1))
     v = F.col("_v")
-    moved = F.when(v.isNull() | F.col("_in").isNull(), v).when(v < low, low).when(v > high, high).otherwise(v)
+    moved = F.when(v < low, low).when(v > high, high).otherwise(v)
     half = F.floor((F.count(v) - 1) / 2)
     outside = F.greatest(F.count_if(v < low), F.count_if(v > high))
     return (
-        facts.join(F.broadcast(interval), keys, "left")
+        facts.join(interval, keys)
         .groupBy(*keys)
         .agg(F.median(moved).alias("_median"), (outside <= half).alias("_inside"))
         .select(

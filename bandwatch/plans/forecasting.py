@@ -15,18 +15,19 @@ from bandwatch.operators import series as ts
 from bandwatch.operators.bands import forecast_bands
 from bandwatch.rules import MODEL_DEFAULTS
 from bandwatch.schemas import ELEMENT, FORECAST, SERIES
-from bandwatch.sources.readings import day_range, history_scan
+from bandwatch.sources.readings import day_range, history_scan, rows_after
 
 # the grouped function travels with its module, so executors need no installed copy
 cloudpickle.register_pickle_by_value(rnn)
 
 
-def prepare_series(readings: DataFrame, step: int) -> DataFrame:
+def prepare_series(readings: DataFrame, step: int, partitions: int | None = None) -> DataFrame:
     """Gridded and imputed series; all windows share the exchange by element.
 
-    A series without any value stays empty through imputation and drops out.
+    Readings count for the slot they fall into. A series without any value stays
+    empty through imputation and drops out. ``partitions``: see ``element_partitions``.
     """
-    grid = ts.regular_grid(ts.slot_cells(readings), step, readings)
+    grid = ts.regular_grid(ts.slot_cells(readings, step), step, partitions)
     return ts.impute_median(grid).where(F.col("kpiValue").isNotNull())
 
 
@@ -49,6 +50,20 @@ def fit_forecast(blocks: DataFrame, config: Mapping) -> DataFrame:
     return slim.groupBy(*ELEMENT).applyInPandas(rnn.fit_predict(config), rnn.OUTPUT)
 
 
+def fit_by_type(blocks: DataFrame, elements: DataFrame, config: Mapping) -> DataFrame:
+    """``fit_forecast`` with the settings of each element's resource type, where ``by_type`` has any."""
+    by_type = config.get("by_type") or {}
+    common = {k: v for k, v in config.items() if k != "by_type"}
+    if not by_type:
+        return fit_forecast(blocks, common)
+    kinds = elements.select(*ELEMENT, "resourceType")
+    typed = blocks.join(kinds, ELEMENT)
+    rest = fit_forecast(typed.where(~F.coalesce(F.col("resourceType").isin(*by_type), F.lit(False))).drop("resourceType"), common)
+    for kind, own in by_type.items():
+        rest = rest.unionByName(fit_forecast(typed.where(F.col("resourceType") == kind).drop("resourceType"), {**common, **own}))
+    return rest
+
+
 def holdout_metrics(fitted: DataFrame) -> DataFrame:
     """Losses per element."""
     return (
@@ -64,12 +79,15 @@ def with_std(forecast: DataFrame) -> DataFrame:
     return forecast.withColumn("kpiStd", F.stddev_samp("forecastValue").over(Window.partitionBy(*SERIES)))
 
 
-def assemble(values: DataFrame, readings: DataFrame, kpi_rules: DataFrame, step: int,
+def assemble(values: DataFrame, elements: DataFrame, kpi_rules: DataFrame, step: int,
              run_time: dt.datetime) -> DataFrame:
-    """Forecast table from ``stepAhead`` values: times, deviation, element attributes, bands."""
+    """Forecast table from ``stepAhead`` values: times, deviation, element attributes, bands.
+
+    ``elements`` is an ``element_summary`` whose ``maxTime`` is each element's last slot.
+    """
     timed = (
         with_std(values)
-        .join(ts.element_summary(readings), ELEMENT)
+        .join(elements, ELEMENT)
         .withColumn("recordTime", shift(F.col("maxTime"), F.col("stepAhead") * step))
     )
     return forecast_bands(
@@ -77,6 +95,32 @@ def assemble(values: DataFrame, readings: DataFrame, kpi_rules: DataFrame, step:
     ).select(*FORECAST.names)
 
 
+def with_attributes(series: DataFrame, readings: DataFrame) -> DataFrame:
+    """A gridded series as a history: with the node, device set and resource type of each element."""
+    return series.select(*SERIES, "recordTime", "kpiValue").join(
+        ts.element_summary(readings).drop("maxTime"), ELEMENT)
+
+
+def incremental_inputs(raw: DataFrame, history: DataFrame, resource_rules: DataFrame, run_time: dt.datetime,
+                       history_days: int | None = 7) -> DataFrame:
+    """Rows newer than an element's history, and all rows in range of elements without one.
+
+    Where ``raw`` is stored by day in ``dt``, the range of days is a partition filter.
+    """
+    known = history.groupBy(*ELEMENT).agg(F.max("recordTime").alias("lastTime"))
+    return rows_after(in_days(history_scan(raw, resource_rules), run_time, history_days), known)
+
+
+def in_days(scan: DataFrame, run_time: dt.datetime, back: int | None) -> DataFrame:
+    """Rows of the last days up to the run, by their time and, where stored, by their day partition."""
+    if back is None:
+        return scan
+    first = dt.datetime.combine(run_time.date() - dt.timedelta(days=back), dt.time())
+    end = dt.datetime.combine(run_time.date() + dt.timedelta(days=1), dt.time())
+    kept = scan.where((F.col("recordTime") >= F.lit(first).cast("timestamp_ntz")) & (F.col("recordTime") < F.lit(end).cast("timestamp_ntz")))
+    return day_range(kept, run_time.date(), back) if "dt" in scan.columns else kept
+
+
 def forecast(
     raw: DataFrame,
     resource_rules: DataFrame,
@@ -87,25 +131,38 @@ def forecast(
     history: DataFrame | None = None,
     history_days: int | None = 7,
     fit_on_train: bool = True,
+    partitions: int | None = None,
+    active: DataFrame | None = None,
 ) -> DataFrame:
     """Banded forecast of one block of slots for every element.
 
-    ``raw`` holds readings in downstream names. With ``history`` (a gridded table)
-    only newer readings are added to it; otherwise the last ``history_days`` days
-    before the run are used, or everything when it is None.
+    ``raw`` holds readings in downstream names, from the last ``history_days`` days
+    before the run, or all when it is None. With ``history`` (``with_attributes`` of a
+    gridded table) only rows newer than an element's history are added to it; elements
+    without new rows are forecast from their history alone, unknown ones from all their
+    rows in range. ``active`` (with resId, such as ``active_elements``) limits the run
+    to these elements. ``model_config`` may hold settings per resource type under
+    ``by_type``. ``partitions`` is derived from the number of elements when not given.
     """
     config = {**MODEL_DEFAULTS, **(model_config or {})}
-    scan = history_scan(raw, resource_rules)
-    if history_days is not None and history is None:
-        day = F.to_date("recordTime")
-        scan = day_range(scan.withColumn("_day", day), run_time.date(), history_days, "_day").drop("_day")
+    if active is not None:
+        some = active.select("resId").distinct()
+        raw = raw.join(some, "resId", "left_semi")
+        history = None if history is None else history.join(some, "resId", "left_semi")
     if history is None:
-        prepared = prepare_series(scan, step)
+        scan = in_days(history_scan(raw, resource_rules), run_time, history_days)
+        partitions = partitions or ts.element_partitions(scan)
+        prepared, every = prepare_series(scan, step, partitions), scan
     else:
-        prepared = ts.by_element(ts.roll_history(history, ts.slot_cells(scan), step))
-    fitted = fit_forecast(model_blocks(prepared, config["block"], fit_on_train), config)
+        scan = incremental_inputs(raw, history, resource_rules, run_time, history_days)
+        partitions = partitions or ts.element_partitions(history)
+        prepared = ts.by_element(ts.roll_history(history, ts.slot_cells(scan, step), step, partitions), partitions)
+        same = [*ELEMENT, "recordTime", "nodeCode", "deviceSet", "resourceType"]
+        every = scan.select(*same).unionByName(history.select(*same))
+    elements = ts.element_summary(every, step)
+    fitted = fit_by_type(model_blocks(prepared, config["block"], fit_on_train), elements, config)
     values = fitted.select(
         *SERIES, "stepAhead",
         ts.unscale01(F.col("scaledValue"), F.col("yMin"), F.col("yMax")).alias("forecastValue"),
     )
-    return assemble(values, scan, kpi_rules, step, run_time)
+    return assemble(values, elements, kpi_rules, step, run_time)

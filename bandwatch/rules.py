@@ -7,7 +7,7 @@ size and broadcasts them only while they fit its threshold.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -64,7 +64,7 @@ DEVICE_SETS = {
     ],
 }
 
-# loads, failure counts and switch load; every other classified KPI is a rate or a volume
+# loads, failure counts and switch load; volumes; rates
 MIN_BEST = ["5gcUpfSysAvgLoadCpu", "5gcUpfSysAvgLoadMe"]
 SCALE_INCR = ["5gcSmfAvgSystemLoad", "5gcAmfAvgSysLoad", "5gcUpfPduSessModiFailNum", "Dcswitchcpuusage"]
 SCALE_DECR = [
@@ -76,12 +76,15 @@ SCALE_DECR = [
     "5gcUpfN9RecUsrPeakMaxKBRate", "5gcUpfN9SendUsrPeakMaxKBRate", "5gcUpf7560Num", "5gcUdmSubUserNum",
     "5gcUdm3gppActiUserNum",
 ]
-# the remaining element-level KPIs; port KPIs belong to no class
+# port KPIs belong to no class
 MAX_BEST = [
-    kpi
-    for kind in ("AMF", "SMF", "UPF", "UDM")
-    for kpi in KPI_SETS[kind]
-    if kpi not in MIN_BEST + SCALE_INCR + SCALE_DECR
+    "5gcAmfNotUserReasonAuthSuccRate", "5gcAmfAttSucRateWithOutUser", "5gcAmfFinReqSuccRate",
+    "5gcAmfN2SerReqSccRate", "5gcAmfSwit5gTo4gSuccRate", "5gcAmfSwit4gTo5gSuccRate",
+    "5gcAmfNet4gTo5gReqSuccRate", "5gcAmfNet5gTo4gSuccRate", "5gcAmfXnInterSwitSuccRate1",
+    "5gcAmfN2InterSwitSuccRate1", "5gcAmfInterSwitInSuccRate1", "5gcAmfInterSwitOutSuccRate1",
+    "5gcSmfIMSEstSucRate", "5gcSmfSessBuiSuccRate", "5gcSmfFallbackSuccRate", "5gcUpfPduSessSuccRate",
+    "5gcUpfShaXinZhuFaSucceRate", "5gcUpfXiaXinZhuFaSucceRate", "5gcUdmAmfSuccMessRate",
+    "5gcUdmSmfSuccMessRate", "5gcUdmSignSuccMessRate",
 ]
 CLASSES = {"MAX_BEST": MAX_BEST, "MIN_BEST": MIN_BEST, "SCALE_DECR": SCALE_DECR, "SCALE_INCR": SCALE_INCR}
 
@@ -137,6 +140,66 @@ HIGH_TIERS = [(1.4, 100), (1.2, 75), (1.1, 55), (1.0, 35)]
 ALARM_SCORE = 100
 ABNORMAL_SCORE = 200
 
+# share of each KPI in its resource type's score
+WEIGHTS = {
+    "AMF": {
+        "5gcAmfMaxRegStatusUserNum": "0.0666666666666667",
+        "5gcAmfNotUserReasonAuthSuccRate": "0.0666666666666667",
+        "5gcAmfAttSucRateWithOutUser": "0.0666666666666667",
+        "5gcAmfFinReqSuccRate": "0.0666666666666667",
+        "5gcAmfPageReqNum": "0.0666666666666667",
+        "5gcAmfN2SerReqSccRate": "0.0666666666666667",
+        "5gcAmfSwit5gTo4gSuccRate": "0.0666666666666667",
+        "5gcAmfSwit4gTo5gSuccRate": "0.0666666666666667",
+        "5gcAmfNet4gTo5gReqSuccRate": "0.0666666666666667",
+        "5gcAmfNet5gTo4gSuccRate": "0.0666666666666667",
+        "5gcAmfXnInterSwitSuccRate1": "0.0666666666666667",
+        "5gcAmfN2InterSwitSuccRate1": "0.0666666666666667",
+        "5gcAmfInterSwitInSuccRate1": "0.0666666666666667",
+        "5gcAmfInterSwitOutSuccRate1": "0.0666666666666667",
+        "5gcAmfAvgSysLoad": "0.0666666666666667",
+    },
+    "SMF": {
+        "5gcSmfAvgPduSessNum": "0.1000000000000000",
+        "5gcSmfMaxPduSessNum": "0.1000000000000000",
+        "5gcSmf4GAvgPduSessNum": "0.1000000000000000",
+        "5gcSmf4GMaxPduSessNum": "0.1000000000000000",
+        "5gcSmf45GAvgPduSessNum": "0.1000000000000000",
+        "5gcSmf45GMaxPduSessNum": "0.1000000000000000",
+        "5gcSmfIMSEstSucRate": "0.1000000000000000",
+        "5gcSmfSessBuiSuccRate": "0.1000000000000000",
+        "5gcSmfFallbackSuccRate": "0.1000000000000000",
+        "5gcSmfAvgSystemLoad": "0.1000000000000000",
+    },
+    "UPF": {
+        "5gcUpfPduSessSuccRate": "0.0555555555555556",
+        "5gcUpfPduSessModiFailNum": "0.0555555555555556",
+        "5gcUpfUsrCurrOnlSessNum": "0.0555555555555556",
+        "5gcUpfN3SaveGtp13MessThou": "0.0555555555555556",
+        "5gcUpfN3ReceGtpMaxKbMessRate": "0.0555555555555556",
+        "5gcUpfN3SendGtpMessThou": "0.0555555555555556",
+        "5gcUpfN3SendGtpMaxKbMessRate": "0.0555555555555556",
+        "5gcUpfN6SendGtp13MessThou": "0.0555555555555556",
+        "5gcUpfN6RecUsrPeakMaxKBRate": "0.0555555555555556",
+        "5gcUpfN6SendGtp14MessThou": "0.0555555555555556",
+        "5gcUpfN6SendUsrPeakMaxKBRate": "0.0555555555555556",
+        "5gcUpfN9RecUsrPeakMaxKBRate": "0.0555555555555556",
+        "5gcUpfN9SendUsrPeakMaxKBRate": "0.0555555555555556",
+        "5gcUpf7560Num": "0.0555555555555556",
+        "5gcUpfShaXinZhuFaSucceRate": "0.0555555555555556",
+        "5gcUpfXiaXinZhuFaSucceRate": "0.0555555555555556",
+        "5gcUpfSysAvgLoadCpu": "0.0555555555555556",
+        "5gcUpfSysAvgLoadMe": "0.0555555555555556",
+    },
+    "UDM": {
+        "5gcUdmSubUserNum": "0.2000000000000000",
+        "5gcUdm3gppActiUserNum": "0.2000000000000000",
+        "5gcUdmAmfSuccMessRate": "0.2000000000000000",
+        "5gcUdmSmfSuccMessRate": "0.2000000000000000",
+        "5gcUdmSignSuccMessRate": "0.2000000000000000",
+    },
+}
+
 # KPIs the weight table marks as rates
 RATE_FLAGGED = [
     "5gcAmfNotUserReasonAuthSuccRate", "5gcAmfFinReqSuccRate", "5gcAmfN2SerReqSccRate",
@@ -210,20 +273,12 @@ def resource_rules(
     return local_table(spark, rows, fields)
 
 
-def equal_weight(count: int) -> Decimal:
-    return (Decimal(1) / Decimal(count)).quantize(Decimal(1).scaleb(-16), ROUND_HALF_UP)
-
-
 def kpi_weights(spark: SparkSession) -> DataFrame:
-    """Weights that share a resource type's score equally among its KPIs.
-
-    Switches and ports carry no weights.
-    """
+    """The weight table; switches and ports carry no weights."""
     rows = [
-        dict(resourceType=kind, kpiId=kpi, kpiName=None, abnScoreWeight=equal_weight(len(KPI_SETS[kind])),
-             isRateKpi=int(kpi in RATE_FLAGGED))
-        for kind in ("AMF", "SMF", "UPF", "UDM")
-        for kpi in KPI_SETS[kind]
+        dict(resourceType=kind, kpiId=kpi, kpiName=None, abnScoreWeight=Decimal(weight), isRateKpi=int(kpi in RATE_FLAGGED))
+        for kind, own in WEIGHTS.items()
+        for kpi, weight in own.items()
     ]
     fields = {
         "resourceType": _TEXT, "kpiId": _TEXT, "kpiName": _TEXT,

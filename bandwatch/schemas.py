@@ -28,7 +28,7 @@ WEIGHT = _layout(
 )
 
 KPI_SCORE = _layout(
-    minId=_N, nodeCode=_S, resId=_S, resourceType=_S, vender=_S, kpiId=_S, kpiValue=_D, forecastValue=_D,
+    minId=_N, nodeCode=_S, resId=_S, itemPara=_S, resourceType=_S, vender=_S, kpiId=_S, kpiValue=_D, forecastValue=_D,
     forecastValueUpper=_D, forecastValueLower=_D, ifRangeFcst=_I, abnLevel=_I, abnScore=_D, createTime=_N,
 )
 

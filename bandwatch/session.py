@@ -16,6 +16,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
+    # streaming state on disk, so that it may outgrow an executor's memory
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -26,7 +28,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def work_root(spark: SparkSession) -> str:
-    """Folder for written tables and stream checkpoints, shared by all executors."""
+    """Folder for written tables and stream checkpoints, shared by all executors: spark.checkpoint.dir.
+
+    Only a local session, all of whose tasks run on this machine, may go without and gets a folder of its own.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root

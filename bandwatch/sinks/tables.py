@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandwatch import schemas
 from bandwatch.functions.values import record_id
-from bandwatch.session import work_dir
+from bandwatch.session import work_root
 
 
 def enforce_schema(df: DataFrame, layout: T.StructType) -> DataFrame:
@@ -45,38 +47,59 @@ def latest_per_id(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+def stored_table(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame | None:
+    """A written table, or None where nothing has been written yet."""
+    try:
+        return spark.read.schema(layout).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def upsert(df: DataFrame, path: str, key: Sequence[str], partition: Column, order: Sequence[Column] = (),
            partition_name: str = "part") -> DataFrame:
     """Keyed write: a row replaces the stored row with the same key.
 
-    Only partitions that receive rows are rewritten. ``order`` decides between
-    rows of one key inside the batch; all columns in order do when it is not given.
-    One writer at a time; a repeated call leaves the same table.
+    Only partitions that receive rows are rewritten. ``order`` decides between all
+    rows of one key, stored or new, so an older row never replaces a newer one; of
+    equal ones the new row stays. Without it new rows win, and among them the last
+    by all columns. One writer at a time; a repeated call leaves the same table.
+
+    Rows are staged in two folders that belong to the table and are emptied when
+    they are no longer needed.
     """
     spark = df.sparkSession
-    order = list(order) or [F.struct(*df.columns)]
-    fresh = latest_per_id(with_record_id(df, key), order).withColumn(partition_name, partition)
+    inside = list(order) or [F.struct(*df.columns)]
+    fresh = latest_per_id(with_record_id(df, key), inside).withColumn(partition_name, partition)
     # written out first: a stream batch is computed once, and a partition is never
     # read and overwritten by the same job
-    staged = work_dir(spark, "upsert")
-    fresh.write.parquet(f"{staged}/fresh")
-    fresh = spark.read.schema(fresh.schema).parquet(f"{staged}/fresh")
-    if not _exists(spark, path):
+    layout = fresh.schema
+    own = f"{work_root(spark).rstrip('/')}/upsert-{hashlib.md5(path.encode()).hexdigest()}"
+    fresh.write.mode("overwrite").parquet(f"{own}/fresh")
+    fresh = spark.read.schema(layout).parquet(f"{own}/fresh")
+    stored = stored_table(spark, path, layout)
+    if stored is None:
         _overwrite_parts(fresh, path, partition_name)
     elif not fresh.isEmpty():
-        stored = spark.read.schema(fresh.schema).parquet(path)
         touched = fresh.select(partition_name).distinct()
-        kept = stored.join(touched, partition_name, "left_semi").join(
-            fresh.select(partition_name, "_id"), [partition_name, "_id"], "left_anti"
+        kept = stored.join(touched, partition_name, "left_semi").withColumn("_new", F.lit(0))
+        last = F.struct(*order, "_new") if order else F.struct("_new")
+        rest = [c for c in layout.names if c not in ("_id", partition_name)]
+        merged = (
+            kept.unionByName(fresh.withColumn("_new", F.lit(1))).groupBy(partition_name, "_id")
+            .agg(F.max_by(F.struct(*rest), last).alias("_r")).select("_id", "_r.*", partition_name)
         )
-        kept.unionByName(fresh).write.parquet(f"{staged}/merged")
-        _overwrite_parts(spark.read.schema(fresh.schema).parquet(f"{staged}/merged"), path, partition_name)
-    return spark.read.schema(fresh.schema).parquet(path) if _exists(spark, path) else fresh
+        merged.write.mode("overwrite").parquet(f"{own}/merged")
+        _overwrite_parts(spark.read.schema(layout).parquet(f"{own}/merged"), path, partition_name)
+        _empty(spark, f"{own}/merged", layout)
+    _empty(spark, f"{own}/fresh", layout)
+    out = stored_table(spark, path, layout)
+    return spark.createDataFrame([], layout) if out is None else out
+
+
+def _empty(spark: SparkSession, path: str, layout: T.StructType) -> None:
+    spark.createDataFrame([], layout).write.mode("overwrite").parquet(path)
 
 
 def _overwrite_parts(df: DataFrame, path: str, partition_name: str) -> None:
@@ -98,15 +121,17 @@ def write_forecasts(forecast: DataFrame, path: str) -> DataFrame:
 
 
 def write_scores(scores: DataFrame, path: str) -> DataFrame:
-    """KPI result table by month."""
-    month = F.date_format("minId", "yyyyMM")
-    return upsert(enforce_schema(scores, schemas.KPI_SCORE), path, schemas.KPI_SCORE_KEY, month, (), "ym")
+    """KPI result table by hour, so that a run over one slot rewrites one hour."""
+    return upsert(enforce_schema(scores, schemas.KPI_SCORE), path, schemas.KPI_SCORE_KEY, hour("minId"), (), "hour")
 
 
 def write_windows(windows: DataFrame, path: str) -> DataFrame:
-    """Element window table by month."""
-    month = F.date_format("minId", "yyyyMM")
-    return upsert(enforce_schema(windows, schemas.ELEMENT_WINDOW), path, schemas.WINDOW_KEY, month, (), "ym")
+    """Element window table by hour."""
+    return upsert(enforce_schema(windows, schemas.ELEMENT_WINDOW), path, schemas.WINDOW_KEY, hour("minId"), (), "hour")
+
+
+def hour(time: str) -> Column:
+    return F.date_format(time, "yyyyMMddHH")
 
 
 def write_history(history: DataFrame, root: str, version: int) -> DataFrame:

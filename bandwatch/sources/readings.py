@@ -47,11 +47,18 @@ def device_kpis(resource_rules: DataFrame) -> DataFrame:
 
 
 def history_scan(readings: DataFrame, resource_rules: DataFrame) -> DataFrame:
-    """Readings of each resource type's devices and KPIs at its item level, all elements at once."""
+    """Readings of each resource type's devices and KPIs at its item level, all elements at once.
+
+    The rules are a small local table; their lists also go to the scan as filters.
+    """
+    rules = resource_rules.select("deviceSets", "kpiIds").collect()
+    listed = F.col("deviceSet").isin(sorted({d for r in rules for d in r.deviceSets})) & F.col("kpiId").isin(
+        sorted({k for r in rules for k in r.kpiIds}))
+    day = ["dt"] if "dt" in readings.columns else []
     return (
-        readings.join(device_kpis(resource_rules), ["deviceSet", "kpiId"])
+        readings.where(listed).join(device_kpis(resource_rules), ["deviceSet", "kpiId"])
         .where(item_level(F.col("resourceType"), F.col("itemPara")))
-        .select("resId", "nodeCode", "deviceSet", "itemPara", "recordTime", "kpiId", "kpiValue", "resourceType")
+        .select("resId", "nodeCode", "deviceSet", "itemPara", "recordTime", "kpiId", "kpiValue", "resourceType", *day)
     )
 
 
@@ -70,18 +77,26 @@ def slot_scan(readings: DataFrame, resource_rules: DataFrame, slot: Column | Non
 def rows_after(readings: DataFrame, last_seen: DataFrame) -> DataFrame:
     """Rows newer than each element's last known time; unknown elements come whole.
 
-    ``last_seen`` has ``resId`` and ``lastTime``.
+    ``last_seen`` has ``lastTime`` by ``resId``, or by ``resId`` and ``itemPara``.
     """
+    key = [c for c in ("resId", "itemPara") if c in last_seen.columns]
     return (
-        readings.join(last_seen, "resId", "left")
+        readings.join(last_seen, key, "left")
         .where(F.col("lastTime").isNull() | (F.col("recordTime") > F.col("lastTime")))
-        .drop("lastTime")
+        .select(*readings.columns)
     )
 
 
-def days_after(table: DataFrame, last_seen: DataFrame, day: str = "dt") -> DataFrame:
-    """Day partitions that can hold rows newer than any known element's last time."""
-    return table.where(F.col(day) >= last_seen.agg(F.to_date(F.min("lastTime"))).scalar())
+def days_after(table: DataFrame, last_seen: DataFrame, oldest: dt.date, day: str = "dt") -> DataFrame:
+    """Day partitions from ``oldest`` on that can hold rows newer than an element's last time.
+
+    ``oldest`` prunes the partitions, so one silent element does not make a run read all
+    days; within them each known element is read from the day of its last time, an
+    unknown one whole.
+    """
+    key = [c for c in ("resId", "itemPara") if c in last_seen.columns]
+    kept = table.where(F.col(day) >= F.lit(oldest)).join(last_seen, key, "left")
+    return kept.where(F.col("lastTime").isNull() | (F.col(day) >= F.to_date("lastTime"))).select(*table.columns)
 
 
 def forecast_slot_scan(forecasts: DataFrame, slot: Column | None = None, day: str = "dt") -> DataFrame:

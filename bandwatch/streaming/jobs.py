@@ -6,18 +6,23 @@ zone-free times.
 
 from __future__ import annotations
 
+import datetime as dt
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.listener import StreamingQueryListener
 
 from bandwatch.functions.values import level_of
-from bandwatch.operators.cleaning import cap_percentages, valid_readings
-from bandwatch.operators.scoring import deviation_score
-from bandwatch.operators.windows import flags
-from bandwatch.schemas import ELEMENT_DIMS
-from bandwatch.sinks.tables import upsert
+from bandwatch.operators.bands import reband
+from bandwatch.operators.cleaning import cap_percentages, latest_forecast, valid_readings
+from bandwatch.operators.scoring import deviation_score, element_scores, forecast_actual_join, kpi_scores, weighted_scores
+from bandwatch.operators.windows import flags, window_score
+from bandwatch.schemas import ELEMENT_DIMS, ELEMENT_WINDOW, WINDOW_KEY
+from bandwatch.sinks.tables import hour, upsert
 
 LATENESS = "25 minutes"
 CELL_DIMS = ["resId", "nodeCode", "deviceSet", "itemPara", "kpiId", "resourceType", "vender"]
@@ -111,17 +116,77 @@ def start(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -
     )
 
 
-def drain(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str) -> tuple[DataFrame, list[dict]]:
-    """Run to the end of the input; the written table and the progress of every batch."""
-    query = start(stream, path, checkpoint)
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
-    return spark.read.schema(stream.schema).parquet(path), [p for p in query.recentProgress]
+class LateRows(StreamingQueryListener):
+    """Counts rows that came behind the watermark, over all batches of the queries it hears of."""
 
+    def __init__(self):
+        self.rows, self.ended = 0, threading.Event()
 
-def late_rows(progress: list) -> int:
-    """Rows dropped because they came behind the watermark."""
-    return sum(
-        int(op["numRowsDroppedByWatermark"]) for p in progress for op in p["stateOperators"]
-    )
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.rows += sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.set()
+
+
+def drain(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str) -> tuple[DataFrame, int]:
+    """Run to the end of the input; the written table, and how many rows came too late for it."""
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        query = start(stream, path, checkpoint)
+        query.awaitTermination()
+        late.ended.wait(60)  # its last events come after the query's end
+    finally:
+        spark.streams.removeListener(late)
+    if query.exception() is not None:
+        raise query.exception()
+    return spark.read.schema(stream.schema).parquet(path), late.rows
+
+
+def score_closed_slots(readings: DataFrame, forecast_path: str, root: str, kpi_rules: DataFrame, weights: DataFrame,
+                       step: int = 300, lateness: str = LATENESS):
+    """A stream writer that scores slots as they close, against forecasts stored by then.
+
+    Each batch reads the day partitions of exactly its slots from the forecast table, so
+    forecasts written after the start are seen and the table may grow for ever. Element
+    scores and windows are kept by hour below ``root``; a batch's windows, and those of
+    the two slots after it, are formed from the stored scores. Keyed writes make a
+    repeated batch harmless. Start it with a trigger and a checkpoint.
+    """
+    cells = slot_stream(readings, step, lateness).select(slot_time().alias("minId"), *CELL_DIMS, "kpiValue")
+    dims = T.StructType([f for f in ELEMENT_WINDOW if f.name in ("minId", *ELEMENT_DIMS, "abnScore")])
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        held = batch.persist()
+        try:
+            days = [r.day for r in held.select(F.to_date("minId").alias("day")).distinct().collect()]
+            if not days:
+                return
+            banded = reband(latest_forecast(spark.read.parquet(forecast_path).where(F.col("dt").isin(days)).drop("dt").join(
+                held.select(F.col("minId").alias("recordTime")).distinct(), "recordTime", "left_semi")), kpi_rules)
+            actual = cap_percentages(valid_readings(held), kpi_rules).withColumn("recordTime", F.col("minId"))
+            joined = forecast_actual_join(cap_percentages(banded, kpi_rules, "forecastValue"), actual)
+            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+            elements = element_scores(weighted_scores(kpi_scores(joined, kpi_rules, now), weights), now)
+            scored = upsert(elements.select(*[F.col(f.name).cast(f.dataType) for f in dims]), f"{root}/elements", WINDOW_KEY,
+                            hour("minId"), (), "hour")
+            low, high = held.agg(F.min("minId"), F.max("minId")).first()
+        finally:
+            held.unpersist()
+        first, last = low - dt.timedelta(seconds=2 * step), high + dt.timedelta(seconds=2 * step)
+        time = F.col("minId")
+        near = scored.where((F.col("hour") >= first.strftime("%Y%m%d%H")) & (F.col("hour") <= last.strftime("%Y%m%d%H"))).where(
+            time.between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
+        windows = window_score(near.select(*dims.names), step).where(time >= F.lit(low).cast("timestamp_ntz"))
+        flagged = windows.withColumns({"abnLevel": level_of(F.col("abnScore")), **flags(F.col("windowScore"))})
+        upsert(flagged, f"{root}/windows", WINDOW_KEY, hour("minId"), (), "hour")
+
+    return cells.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", f"{root}/state")

@@ -67,18 +67,17 @@ def band(spark, kpi, forecast_values, **kw):
     }
 
 
-@pytest.mark.parametrize("large", [1_000_000, 0])
-def test_rebanding(spark, large):
+def test_rebanding(spark):
     # no typical rate: centre 90, all abnormal, fallback bounds
-    assert band(spark, RATE, [50.0, 50.0], large=large) == {50.0: (70.0, 100.0, True)}
-    assert band(spark, RATE, [90.0, 95.0, 60.0], large=large) == {
+    assert band(spark, RATE, [50.0, 50.0]) == {50.0: (70.0, 100.0, True)}
+    assert band(spark, RATE, [90.0, 95.0, 60.0]) == {
         90.0: (81.0, 100.0, False), 95.0: (85.5, 100.0, False), 60.0: (81.0, 100.0, True),
     }
-    assert band(spark, VOLUME, [1.0, 50000.0, 60000.0], large=large) == {
+    assert band(spark, VOLUME, [1.0, 50000.0, 60000.0]) == {
         1.0: (50000.0, 60000.0, True), 50000.0: (35000.0, 500000.0, False), 60000.0: (42000.0, 600000.0, False),
     }
     # centre 0: a relative distance of 6e5
-    out = band(spark, FAIL, [0.0, 0.0, 0.0, 600.0], large=large)
+    out = band(spark, FAIL, [0.0, 0.0, 0.0, 600.0])
     assert out[600.0] == (0.0, 0.0, True) and out[0.0] == (0.0, 95.0, False)
 
 
@@ -217,3 +216,12 @@ def test_record_id(spark):
     df = spark.createDataFrame([("a", None, 3)], "x string, y string, z int")
     got = df.select(values.record_id(F.col("x"), F.col("y"), F.col("z"))).first()[0]
     assert got == hashlib.md5(b"a--3").hexdigest()
+
+
+def test_all_active_elements_without_k(spark):
+    from bandwatch.operators import registry
+
+    data = [(f"e{i}", RATE, 0, 1.0) for i in range(1600)]
+    got = registry.active_elements(actual(spark, data), dt.datetime(2024, 3, 1, 1))
+    assert got.count() == 1600
+    assert registry.active_elements(actual(spark, data), dt.datetime(2024, 3, 1, 1), k=5).count() == 5

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from bandwatch import forecast, rules, schemas
 from bandwatch.models import rnn
+from bandwatch.sources.readings import history_scan
 from bandwatch.plans import forecasting as plan
 from bandwatch.schemas import RAW_TO_ACTUAL
 from tests.helpers import T0, at, cells
@@ -90,12 +91,53 @@ def test_history_days_limit_the_scan(spark):
 def test_incremental_forecast(spark):
     rows = raw(spark, 400)
     cut = F.lit(at(300)).cast("timestamp_ntz")
-    history = plan.prepare_series(rows.where(F.col("recordTime") < cut), 300)
+    old = history_scan(rows.where(F.col("recordTime") < cut), rules.resource_rules(spark))
+    history = plan.with_attributes(plan.prepare_series(old, 300), old)
     out = forecast(
         rows.where(F.col("recordTime") >= cut), rules.resource_rules(spark), rules.kpi_rules(spark), RUN,
         history=history,
     ).where("resId = 'sine'")
     assert out.agg(F.min("recordTime")).first()[0] == at(400)
+    # without any new row the history alone is forecast
+    silent = forecast(
+        rows.limit(0), rules.resource_rules(spark), rules.kpi_rules(spark), RUN, history=history,
+    ).where("resId = 'sine'")
+    assert silent.count() == 2 * 72 and silent.agg(F.min("recordTime")).first()[0] == at(300)
+    assert {tuple(r) for r in silent.select("nodeCode", "resourceType").distinct().collect()} == {("n", "UPF")}
+
+
+def test_times_follow_the_last_slot_not_the_last_reading(spark):
+    rows = raw(spark, 300)
+    last = rows.where(F.col("recordTime") == F.lit(at(299)).cast("timestamp_ntz")).withColumn(
+        "recordTime", F.expr("timestampadd(SECOND, 9, recordTime)"))
+    out = forecast(rows.unionByName(last), rules.resource_rules(spark), rules.kpi_rules(spark), RUN)
+    assert out.agg(F.min("recordTime")).first()[0] == at(300)
+
+
+def test_settings_by_type_and_active_elements(spark):
+    rows = raw(spark, 300)
+    args = (rules.resource_rules(spark), rules.kpi_rules(spark), RUN)
+    other = rows.where("resId = 'sine'").withColumns({"resId": F.lit("amf"), "deviceSet": F.lit(rules.DEVICE_SETS["AMF"][0])}).withColumn(
+        "kpiId", F.when(F.col("kpiId") == "5gcUpfSysAvgLoadCpu", "5gcAmfAvgSysLoad").otherwise(F.col("kpiId")))
+    both = rows.unionByName(other)
+    plain = forecast(both, *args, {"hidden_size": 4})
+    typed = forecast(both, *args, {"hidden_size": 4, "by_type": {"AMF": {"hidden_size": 7}}})
+    values = lambda df, who: sorted((r.kpiId, r.recordTime, r.forecastValue) for r in df.where(F.col("resId") == who).collect())
+    assert values(plain, "sine") == values(typed, "sine") and values(plain, "amf") != values(typed, "amf")
+    active = spark.createDataFrame([("amf",)], "resId string")
+    assert {r.resId for r in forecast(both, *args, {"hidden_size": 4}, active=active).select("resId").distinct().collect()} == {"amf"}
+
+
+def test_one_raw_scan_with_day_partitions(spark):
+    from bandwatch.session import work_dir
+
+    path = work_dir(spark, "raw")
+    raw(spark, 300).withColumn("dt", F.to_date("recordTime")).write.partitionBy("dt").parquet(path)
+    scan = plan.in_days(history_scan(spark.read.parquet(path), rules.resource_rules(spark)), RUN, 7)
+    text = scan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan parquet") == 1 and "PartitionFilters: [isnotnull(dt" in text
+    pushed = text[text.index("PushedFilters"):].split("\n")[0]
+    assert "In(deviceSet" in pushed and "IsNotNull(recordTime)" in pushed
 
 
 def test_losses(spark):
@@ -110,4 +152,5 @@ def test_training_is_spread_over_partitions(spark):
     blocks = plan.model_blocks(plan.prepare_series(raw(spark), 300), 72)
     text = plan.fit_forecast(blocks, SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in text
-    assert text.count("Exchange hashpartitioning(resId") == 3
+    # the cell aggregate, once more below the extents (reused when it runs), the extents, and the placement
+    assert text.count("Exchange hashpartitioning(resId") == 4

@@ -56,8 +56,10 @@ def test_day_partitions_are_pruned(spark):
     text = slot._jdf.queryExecution().executedPlan().toString()
     assert slot.count() == 1 and "PushedFilters: [IsNotNull(recordTime), EqualTo(recordTime" in text
     seen = spark.createDataFrame([("a", at(288 * 18))], "resId string, lastTime timestamp_ntz")
-    late = src.days_after(stored, seen)
+    late = src.days_after(stored, seen, dt.date(2024, 3, 15))
     assert late.select("dt").distinct().count() == 2
+    unknown = src.days_after(stored, seen.where("resId = 'b'"), dt.date(2024, 3, 15))
+    assert unknown.select("dt").distinct().count() == 6
     assert "PartitionFilters: [isnotnull(dt" in late._jdf.queryExecution().executedPlan().toString()
 
 
@@ -108,7 +110,7 @@ def test_result_tables(spark):
         path = work_dir(spark, "r")
         for _ in range(2):
             stored = write(df, path)
-        assert stored.count() == 4 and set(stored.columns) == {"_id", "ym", *df.columns}
+        assert stored.count() == 4 and set(stored.columns) == {"_id", "hour", *df.columns}
 
 
 def test_newer_forecast_replaces(spark):
@@ -123,3 +125,52 @@ def test_newer_forecast_replaces(spark):
     path = work_dir(spark, "f")
     tables.write_forecasts(old.unionByName(new), path)
     assert rows(tables.write_forecasts(new, path), "forecastValue") == [(6.0,), (7.0,)]
+
+
+def test_an_older_forecast_does_not_replace(spark):
+    from bandwatch import rules
+    from bandwatch.operators.bands import forecast_bands
+
+    base = forecasts(spark, [("a", "5gcUpf7560Num", 0, 5.0)])
+    old = forecast_bands(base.withColumns({"kpiStd": F.lit(0.0), "resourceType": F.lit("UPF")}), rules.kpi_rules(spark))
+    new = old.withColumns({"forecastValue": F.lit(7.0), "createTime": F.expr("timestampadd(HOUR, 5, createTime)")})
+    path = work_dir(spark, "f")
+    for batch in (new, old, new, old):
+        assert rows(tables.write_forecasts(batch, path), "forecastValue") == [(7.0,)]
+
+
+def test_ports_are_scored_and_stored_apart(spark):
+    from bandwatch import rules
+    from bandwatch.plans.scoring import score
+
+    data = [("a", "5gcUpfPduSessSuccRate", 0, 20.0)]
+    ports = lambda df: df.withColumn("itemPara", F.lit("p1")).unionByName(df.withColumn("itemPara", F.lit("p2")))
+    kpis, _ = score(ports(actual(spark, data)), ports(forecasts(spark, [(*data[0][:3], 95.0)])), rules.kpi_rules(spark),
+                    rules.kpi_weights(spark), dt.datetime(2024, 3, 2))
+    stored = tables.write_scores(kpis, work_dir(spark, "p"))
+    assert rows(stored, "itemPara", "abnScore") == [("p1", 100.0), ("p2", 100.0)]
+    assert stored.select("_id").distinct().count() == 2
+
+
+def test_a_run_touches_one_partition_and_leaves_no_copies(spark):
+    path = work_dir(spark, "u")
+    write = lambda slots, v: tables.upsert(actual(spark, [("a", "k", s, v) for s in slots]), path, KEY, tables.hour("minId"), (), "hour")
+    out = write(range(0, 48, 6), 1.0)
+    before = dict(rows(out.select("hour", F.input_file_name().alias("f")), "hour", "f"))
+    for v in (2.0, 3.0):
+        after = dict(rows(write([6], v).select("hour", F.input_file_name().alias("f")), "hour", "f"))
+    assert {h for h in before if before[h] != after[h]} == {"2024030100"} and len(before) == 4
+    import glob
+    import hashlib
+
+    own = f"{spark.conf.get('spark.checkpoint.dir')}/upsert-{hashlib.md5(path.encode()).hexdigest()}"
+    assert all(spark.read.parquet(p).count() == 0 for p in glob.glob(f"{own}/*"))
+
+
+def test_values_without_a_fraction_keep_their_size(spark):
+    from bandwatch.functions.values import decimal2, round2
+
+    df = spark.createDataFrame([(2e17,), (-3e18,), (1e17 + 64,), (1.005,), (-2.5,), (None,)], "v double")
+    got = [r.r for r in df.select(round2(F.col("v")).alias("r")).collect()]
+    assert got == [2e17, -3e18, 1e17 + 64, 1.0, -2.5, None] or got == [2e17, -3e18, 1e17 + 64, 1.01, -2.5, None]
+    assert df.select(decimal2(F.col("v")).cast("double")).first()[0] == 2e17
