@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandwatch.llm.stage import per_batch, staged
+from bandwatch.llm.stage import below_share, per_batch
 
 GRAMS = (1, 2, 3)
 BUCKETS = 1 << 15
@@ -162,10 +162,7 @@ def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: i
     seen = _document_frequencies(train)
     idf = np.log((1.0 + seen[-1]) / (1.0 + seen[:-1])) + 1.0
     order = F.xxhash64("doc_id", "lang")
-    # the bound of the sample from ids alone, so that no text is sorted
-    near = train.select(order.alias("o"), "doc_id").orderBy("o", "doc_id").limit(max_fit + max_calibrate)
-    last = near.agg(F.max("o")).first()[0]
-    if last is None:
+    if not seen[-1]:
         return LanguageModel([], idf, np.zeros((BUCKETS + 1, 0)))
     shared = docs.sparkSession.sparkContext.broadcast(idf)
 
@@ -175,7 +172,7 @@ def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: i
             [batch.column(0), pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
              pa.array([w.astype("<f4").tobytes() for _, w in rows], pa.binary()), batch.column(2)], ["doc_id", "at", "w", "lang"])
 
-    sample = train.where(order <= last).select("doc_id", "text", "lang").mapInArrow(
+    sample = train.where(below_share(order, max_fit + max_calibrate, int(seen[-1]))).select("doc_id", "text", "lang").mapInArrow(
         per_batch(vectors, 500), "doc_id long, at binary, w binary, lang string")
     rows = sample.withColumn("o", order).orderBy("o", "doc_id", "w").limit(max_fit + max_calibrate).collect()
     labels = sorted({r.lang for r in rows[:max_fit]})

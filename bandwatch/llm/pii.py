@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bandwatch.llm.stage import id_and_text, per_batch, staged
+from bandwatch.llm.stage import below_share, id_and_text, per_batch, staged
 
 KINDS = ("email", "ip", "card", "phone")
 LABELERS = ("strict", "shape", "gazetteer", "context", "border", "variety")
@@ -238,7 +238,8 @@ def fit_span_model(voted: DataFrame, max_fit: int = MAX_FIT) -> SpanModel:
         patterns[row["kind"]][tuple(row["votes"])] = row["count"]
     reliability = {k: reliabilities(p) for k, p in patterns.items() if p}
     order = F.xxhash64("doc_id", "s", "kind")
-    rows = every.select(order.alias("o"), "doc_id", "s", "kind", "votes", "x").orderBy("o", "doc_id", "s", "kind").limit(max_fit).collect()
+    total = sum(n for p in patterns.values() for n in p.values())
+    rows = every.where(below_share(order, max_fit, total)).select(order.alias("o"), "doc_id", "s", "kind", "votes", "x").orderBy("o", "doc_id", "s", "kind").limit(max_fit).collect()
     width = len(KINDS) + 3 * len(LABELERS) + 4 + CONTEXT_BUCKETS
     if not rows:
         return SpanModel({}, np.zeros(width))

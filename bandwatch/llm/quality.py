@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandwatch.llm.shingles import byte_word_hashes
-from bandwatch.llm.stage import per_batch, staged
+from bandwatch.llm.stage import below_share, per_batch, staged
 
 BUCKET_BITS = 20
 BUCKETS = 1 << BUCKET_BITS
@@ -119,7 +119,9 @@ def fit_quality(docs: DataFrame, ratings: DataFrame, grades: int = len(GRADES),
     A document rated more than once has its lowest grade. Without ratings every grade is as likely as any other.
     """
     rated = ratings.where("grade is not null and doc_id is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
-    chosen = rated.select("doc_id", "grade", F.xxhash64("doc_id").alias("o")).orderBy("o", "doc_id").limit(max_fit)
+    order = F.xxhash64("doc_id")
+    chosen = rated.where(below_share(order, max_fit, rated.count())).select("doc_id", "grade", order.alias("o")).orderBy(
+        "o", "doc_id").limit(max_fit)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
     def vectors(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -33,6 +33,15 @@ def lower_ascii_sql(c: str) -> str:
     return f"translate({c}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
+def below_share(order: Column, most: int, total: int) -> Column:
+    """Whether a 64-bit hash lies among the least, so that about twice ``most`` of ``total`` rows do.
+
+    For a sample of the ``most`` least hashes: with it no task has ``most`` rows to send for the sort.
+    """
+    share = min(1.0, (2 * most + 100) / max(1, total))
+    return F.lit(True) if share == 1 else order < F.lit(int(-(2**63) + share * 2**64)).cast("long")
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], rows: int = 1000):
     """Function for ``mapInArrow`` that hands on slices of at most ``rows`` rows, which bounds what a task holds."""
 
