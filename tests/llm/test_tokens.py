@@ -145,3 +145,29 @@ def test_neighbours_on_the_curve_share_language(spark):
     same = np.mean([a.lang == b.lang for a, b in zip(rows, rows[1:])])
     chance = sum((n / len(rows)) ** 2 for n in (sum(r.lang == x for r in rows) for x in {r.lang for r in rows}))
     assert same > chance + 0.2
+
+
+def test_queries_equal_brute_force(spark):
+    from bandwatch.llm.queries import QUERIES
+
+    sf_dir = "/root/testdata/sf0.001"
+    docs = sorted(spark.read.parquet(f"{sf_dir}/documents.parquet").collect(), key=lambda r: r.doc_id)
+    start, want = 0, []
+    for doc_id, ids in brute_tokens(docs, BYTE_BPE, 0):
+        want.append((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    got = QUERIES["op3_token_files"](spark, sf_dir).select("doc_id", "start", "n_tokens", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == want
+    lengths = sorted(n - 1 for _, _, n, _ in want)
+    got = QUERIES["op6_token_counts"](spark, sf_dir).collect()
+    assert sorted(n for r in got for n in [r.length] * r.n_docs) == lengths
+    ids = dict(brute_tokens(docs, WORD_BPE, 2))
+    pieces = QUERIES["op7_packing"](spark, sf_dir).collect()
+    filled = {}
+    for r in sorted(pieces, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == filled.get(r.sequence_id, 0) and r.doc_tokens == len(ids[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[r.doc_id][r.start:r.start + r.length], "<u4").tobytes())
+        filled[r.sequence_id] = r.offset + r.length
+    covered = sorted((r.doc_id, r.start, r.length) for r in pieces)
+    assert sum(n for _, _, n in covered) == sum(map(len, ids.values())) and max(filled.values()) <= 4096
+    assert [n for _, n in sorted(filled.items())][:-1] == [4096] * (len(filled) - 1)
