@@ -147,7 +147,7 @@ def window_score(spark, sf):
 def window_alarm(spark, sf):
     _, table = plan.score(
         fx.actual(spark, sf), stored_forecasts(spark, sf), fx.kpi_rules(spark), fx.weights(spark),
-        fx.RUN_TIME, fx.STEP,
+        fx.RUN_TIME, fx.STEP, staged=False,
     )
     return table
 

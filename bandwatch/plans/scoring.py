@@ -44,11 +44,11 @@ def score(
     weights: DataFrame,
     run_time: dt.datetime,
     step: int = 300,
-    staged: bool = False,
+    staged: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """KPI result table and element window table.
 
-    ``staged`` writes the newest forecasts and the KPI results to the shared folder
+    ``staged`` (left out only for small tables) writes the newest forecasts and the KPI results to the shared folder
     first: re-banding passes over the forecasts four times, and both results build
     on the KPI table.
     """
