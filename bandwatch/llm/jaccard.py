@@ -346,11 +346,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         "component", F.coalesce("component", "doc_id"))
     blocks = staged(_blocks(known), "blocks")
     signed = staged(_signatures(blocks), "signatures")
-    homes = tokens.join(blocks.select("doc_id", "n", "block", "component"), ["doc_id", "n"]).select("token", "block", "component").distinct()
-    mixed = homes.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    homes = tokens.join(blocks.select("doc_id", "n", "block", "component"), ["doc_id", "n"]).groupBy("token", "block").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"))
+    mixed = homes.groupBy("token").agg(F.min("lo").alias("least"), F.max("hi").alias("most")).where("least <> most").select("token")
     homes = staged(homes.join(mixed, "token", "left_semi"), "homes")
-    other = homes.select("token", F.col("block").alias("y"), F.col("component").alias("of"))
-    crossed = homes.join(other, "token").where("(block < y or block = y and component < of) and component <> of").groupBy(F.col("block").alias("x"), "y").agg(F.count(F.lit(1)).alias("shared"))
+    other = homes.select("token", F.col("block").alias("y"), F.col("lo").alias("y_lo"), F.col("hi").alias("y_hi"))
+    # all four equal: both blocks of one component as far as this token goes
+    crossed = homes.join(other, "token").where("block < y and (lo <> y_hi or hi <> y_lo)").groupBy(F.col("block").alias("x"), "y").agg(
+        F.count(F.lit(1)).alias("shared"))
+    within = signed.where("c_min <> c_max").select(F.col("block").alias("x"), F.col("block").alias("y"), F.lit(None).cast("long").alias("shared"))
+    crossed = crossed.unionByName(within)
     more = _compare(slim, blocks, signed, _pairs(crossed, signed, percent), words, percent, once)
     final = components(found.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more))
 
