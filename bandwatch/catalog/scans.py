@@ -252,7 +252,8 @@ def time_anchors(spark, sf):
     return rows.select("event_id", *named, *texts)
 
 
-@register("run_time_stamp", query("""SELECT DISTINCT resId, '2024-02-01 00:00:00' AS createTime FROM cells"""))
+@register("run_time_stamp", query(f"""SELECT resId, {text('max(recordTime) + INTERVAL 1 HOUR')} AS createTime FROM cells GROUP BY resId"""))
 def run_time_stamp(spark, sf):
-    now = F.lit(fx.RUN_TIME).cast("timestamp_ntz")
-    return cells(spark, sf).select("resId", times.format_time(now, 1).alias("createTime")).distinct()
+    """Stamp of the first run that has all of an element's readings: the slot after its last one, in text form 1."""
+    last = cells(spark, sf).groupBy("resId").agg(F.max("recordTime").alias("t"))
+    return last.select("resId", times.format_time(times.shift(F.col("t"), fx.STEP), 1).alias("createTime"))
