@@ -76,11 +76,11 @@ def incremental_scan(spark, sf):
 
 @register("forecast_slot_scan", query(f"""SELECT resId, itemPara, {text('recordTime')} AS recordTime,
     {text('createTime')} AS createTime, kpiId, forecastValue, nodeCode, deviceSet FROM forecasts
-    WHERE recordTime = TIMESTAMP '2024-01-15 08:00:00'"""))
+    WHERE recordTime = TIMESTAMP '2024-01-07 08:00:00'"""))
 def forecast_slot_scan(spark, sf):
     """One slot from the day partition of a stored table."""
     stored = append_by_day(fx.forecast(spark, sf), work_dir(spark, "forecast"), "recordTime")
-    return src.forecast_slot_scan(stored, F.lit("2024-01-15 08:00:00").cast("timestamp_ntz"))
+    return src.forecast_slot_scan(stored, F.lit("2024-01-07 08:00:00").cast("timestamp_ntz"))
 
 
 @register("kpi_weight_dim", query("""SELECT DISTINCT resourceType, kpiId, 0.2::DOUBLE AS abnScoreWeight,
