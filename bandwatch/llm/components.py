@@ -23,18 +23,23 @@ def _toward_minimum(edges: DataFrame, larger: bool) -> DataFrame:
         "a <> b").distinct()
 
 
+def _all_stars(edges: DataFrame) -> bool:
+    """Whether every id is tied to one id, which is tied to none."""
+    ends = edges.select("a", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("b").alias("a"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    held = ends.groupBy("a").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return held.where("up > 1 or (up > 0 and down > 0)").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, component) for every id of (a, b) links; a component is named by its least id.
 
-    Stars toward larger and smaller neighbours in turn until nothing changes, about log(ids) rounds. Each round is
-    a written table, so a lost executor costs one round. Self-links and repeated links change nothing.
+    Stars toward larger and smaller neighbours in turn until all ids are tied to a least one, about log(ids)
+    rounds. Each round is a written table, so a lost executor costs one round. Self-links and repeated links change
+    nothing.
     """
-    edges = staged(links.where("a <> b").select("a", "b").distinct(), "links")
-    before = None
-    while True:
+    edges = staged(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    while not _all_stars(edges):
         edges = staged(_toward_minimum(_toward_minimum(edges, True), False), "stars")
-        seen = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if seen == before:
-            return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-                edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
-        before = seen
+    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
+        edges.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())

@@ -220,9 +220,12 @@ def _asked(blocks: DataFrame, signatures: DataFrame, pairs: DataFrame, percent:
     return both.join(alive, ["x", "y"], "left_semi").unionByName(own)
 
 
-def linked_leaves(ids: list[int], start: list[int], side: list[int], sets: list[np.ndarray], percent: int, within: bool) -> list[tuple[int, int]]:
-    """Links that join the leaves of one pair of blocks; those between leaves joined already are not looked for."""
-    root = list(range(len(ids)))
+def linked_leaves(start: list[int], side: list[int], sets: list[np.ndarray], percent: int, within: bool) -> list[tuple[int, int]]:
+    """(component, least component joined with it) of the leaves of one pair of blocks, whose components are ``start``.
+
+    Links between leaves that are joined already are not looked for.
+    """
+    root = list(range(len(start)))
 
     def find(i: int) -> int:
         while root[i] != i:
@@ -233,13 +236,12 @@ def linked_leaves(ids: list[int], start: list[int], side: list[int], sets: list[
     named: dict[int, int] = {}
     for i, c in enumerate(start):
         root[i] = named.setdefault(c, i)
-    left, right = [i for i in range(len(ids)) if side[i] == 0], [i for i in range(len(ids)) if side[i] == (0 if within else 1)]
+    left, right = [i for i in range(len(start)) if side[i] == 0], [i for i in range(len(start)) if side[i] == (0 if within else 1)]
     sizes = np.array([len(sets[i]) for i in right])
     owner = np.repeat(np.arange(len(right)), sizes)
     token = np.concatenate([sets[i] for i in right]) if right else np.empty(0, np.uint64)
     order = np.argsort(token, kind="stable")
     token, owner = token[order], owner[order]
-    found = []
     for i in left:
         n = len(sets[i])
         fit = np.flatnonzero((sizes * 100 >= n * percent) & (n * 100 >= sizes * percent))
@@ -254,8 +256,10 @@ def linked_leaves(ids: list[int], start: list[int], side: list[int], sets: list[
             a, b = find(i), find(right[j])
             if a != b:
                 root[b] = a
-                found.append((ids[i], ids[right[j]]))
-    return found
+    least: dict[int, int] = {}
+    for c, i in named.items():
+        least[find(i)] = min(c, least.get(find(i), c))
+    return [(c, least[find(i)]) for c, i in named.items() if c != least[find(i)]]
 
 
 def _compare(docs: DataFrame, blocks: DataFrame, signatures: DataFrame, pairs: DataFrame, words: int, percent: int, once) -> DataFrame:
@@ -288,11 +292,10 @@ def _compare(docs: DataFrame, blocks: DataFrame, signatures: DataFrame, pairs: D
         per_batch(cut), "doc_id long, h1 long, h2 long, tokens binary")
 
     def compare(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        found = linked_leaves(pdf["doc_id"].tolist(), pdf["component"].tolist(), pdf["side"].tolist(),
-                              [np.frombuffer(x, np.uint64) for x in pdf["tokens"]], percent, key[0] == key[1])
+        found = linked_leaves(pdf["component"].tolist(), pdf["side"].tolist(), [np.frombuffer(x, np.uint64) for x in pdf["tokens"]], percent, key[0] == key[1])
         return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
 
-    return asked.join(once(sets), ["doc_id", "h1", "h2"]).select("x", "y", "doc_id", "component", "side", "tokens").groupBy(
+    return asked.join(once(sets), ["doc_id", "h1", "h2"]).select("x", "y", "component", "side", "tokens").groupBy(
         "x", "y").applyInPandas(compare, "a long, b long")
 
 

@@ -93,6 +93,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
             row += len(ids)
 
         yield from per_batch(some, 500)(batches)
+        code.settle()
 
     return id_and_text(docs).mapInArrow(encode, "row long, doc_id long, key long, n long, ids binary")
 

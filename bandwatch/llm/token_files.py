@@ -121,6 +121,7 @@ def write_token_files(docs: DataFrame, path: str | None = None, tokenizer: str |
                         out = store.open_output_stream(f"{folder}/{name}", compression=None)
                         writer = TokenFileWriter(out, width)
                     writer.add(doc_id, np.frombuffer(code.encode(text or "") + last, "<u4"))
+        code.settle()
         if writer is not None:
             writer.finish()
             out.close()

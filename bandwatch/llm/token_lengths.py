@@ -18,12 +18,17 @@ def encoded_lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """(doc_id, n_tokens) of whole texts; null text is empty and has none."""
     tokenizer = tokenizer or vocabulary(BYTE_BPE)
 
-    def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(tokenizer)
-        lengths = [len(code.encode(x)) // 4 if x else 0 for x in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
 
-    return id_and_text(docs).mapInArrow(per_batch(count), "doc_id long, n_tokens long")
+        def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            lengths = [len(code.encode(x)) // 4 if x else 0 for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
+
+        yield from per_batch(count)(batches)
+        code.settle()
+
+    return id_and_text(docs).mapInArrow(run, "doc_id long, n_tokens long")
 
 
 def length_table(lengths: DataFrame) -> DataFrame:

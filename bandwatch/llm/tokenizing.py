@@ -17,7 +17,7 @@ from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
 LONGEST_CACHED = 48
 MARKS = ".,;:!?|#$%&*()"  # a run of them after letters is a piece of its own
 
@@ -74,6 +74,11 @@ class TextEncoder:
         self._pieces = self.tokenizer.model.tokenize
         self._bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
+    def settle(self) -> None:
+        """At a task's end: keep the younger words only, since the process goes on to other work."""
+        if self.encode != self._whole:
+            self.words.old = {}
+
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
