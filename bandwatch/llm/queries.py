@@ -89,9 +89,9 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("op1_top_k", """
-with v as (select vec_id, list_transform(embedding, x -> floor(256 * x::double)) as q from embeddings
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as q from embeddings
   where embedding is not null and vec_id is not null and list_count(embedding) = len(embedding)
-    and len(list_filter(embedding, x -> not isfinite(x))) = 0),
+    and len(list_filter(embedding, lambda x: not isfinite(x))) = 0),
 scored as (select a.vec_id as query_id, b.vec_id, list_dot_product(a.q, b.q)::bigint as score
   from v a join v b on a.vec_id % 50 = 0 and a.vec_id <> b.vec_id and len(a.q) = len(b.q)),
 ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from scored)
