@@ -42,6 +42,15 @@ def below_share(order: Column, most: int, total: int) -> Column:
     return F.lit(True) if share == 1 else order < F.lit(int(-(2**63) + share * 2**64)).cast("long")
 
 
+def quotas(totals: dict, most: int) -> dict:
+    """How many rows of each class a sample of ``most`` takes: as many of each, what small classes leave goes to larger ones."""
+    out, left = {}, most
+    for i, (k, n) in enumerate(sorted(totals.items(), key=lambda kn: (kn[1], kn[0]))):
+        out[k] = min(n, left // (len(totals) - i))
+        left -= out[k]
+    return out
+
+
 def per_batch(fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], rows: int = 1000):
     """Function for ``mapInArrow`` that hands on slices of at most ``rows`` rows, which bounds what a task holds."""
 

@@ -52,3 +52,36 @@ def test_odd_rows(spark):
 def test_marks_count_by_share():
     at, x = q.text_features("a b c d ### e")
     assert len(at) == 6 and sorted(x)[-1] == 1 and len(q.text_features(None)[0]) == 0
+
+
+def test_toxic_documents_of_every_language_are_caught(spark):
+    """All held-out toxic documents count, with insults of the English list or without."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    fit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 != 0
+    ratings = labels.withColumn("grade", q.grade(F.col("quality"), F.col("toxic")).cast("int"))
+    model = q.fit_quality(docs, ratings.where(fit).select("doc_id", "grade"))
+    rows = q.grade_documents(docs, model).join(ratings.where(~fit).select("doc_id", "grade"), "doc_id").join(
+        docs.select("doc_id", "lang"), "doc_id").collect()
+    kept = {x: np.mean([r.keep for r in rows if r.grade == 0 and r.lang == x]) for x in ("en", "fr", "de", "es")}
+    assert max(kept.values()) < 0.25 and np.mean([r.keep for r in rows if r.grade == 0]) < 0.12, kept
+    for x in kept:
+        assert np.mean([r.keep for r in rows if r.grade == 2 and r.lang == x]) > 0.98
+
+
+def test_sample_is_drawn_by_grade(spark):
+    """A grade of 1 in 200 keeps all its documents in a sample of 120, and the thresholds follow the true shares."""
+    docs = spark.range(4000).selectExpr("id as doc_id", "if(id % 200 = 0, 'vile text', 'nice text') as text")
+    ratings = docs.selectExpr("doc_id", "cast(if(doc_id % 200 = 0, 0, 2) as int) as grade")
+    model = q.fit_quality(docs, ratings, max_fit=120)
+    rows = q.grade_documents(docs, model).collect()
+    assert all(r.keep == (r.doc_id % 200 != 0) for r in rows)
+    assert abs(np.mean([r.p_at_least_1 for r in rows]) - 0.995) < 0.02
+
+
+def test_stems_are_characters_of_any_length():
+    text = "Éclairs éclat abc réeuxment, ÉCLA"
+    h = q.stem_hashes(text)
+    assert len(h) == 4 and h[0] == h[1] == h[3] != h[2]
+    assert (q.stem_hashes("漢字漢字漢 word") == np.concatenate([q.stem_hashes("漢字漢字"), q.stem_hashes("wordy")])).all()
+    assert len(q.stem_hashes("")) == len(q.stem_hashes("a é 漢字漢")) == 0
