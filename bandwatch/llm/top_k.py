@@ -123,8 +123,9 @@ def best_of_tile(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndar
     edge = np.partition(scores, scores.shape[1] - n, axis=1)[:, scores.shape[1] - n]
     for row, own, least in zip(scores, q_ids, edge):
         reach = np.flatnonzero(row >= least)
+        reach = reach[c_ids[reach] != own]  # before sorting: the least long has no negative
         top = reach[np.argsort(-row[reach], kind="stable")][:n]
-        yield from ((int(own), int(c_ids[i]), int(row[i])) for i in top if c_ids[i] != own and row[i] != np.iinfo(np.int64).min)
+        yield from ((int(own), int(c_ids[i]), int(row[i])) for i in top)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame | None = None, k: int = K, vec_id: str = "vec_id", embedding: str = "embedding",

@@ -48,3 +48,12 @@ def test_repeated_and_missing_rows(spark):
     assert sorted(tuple(r) for r in t.top_k(frame).collect()) == [(0, 1, 7, 131072), (0, 2, 7, 131072), (0, 3, 8, 98304)]
     assert t.top_k(frame.limit(0)).count() == 0
     assert t.top_k(frame, queries=frame.where(F.col("vec_id") == 8)).count() == 4
+
+
+def test_a_shard_with_more_own_rows_than_k(spark):
+    rows = [(0, [1.0])] * 3 + [(i, [float(x)]) for i, x in ((1, 10), (2, 40), (3, 20), (4, 30))]
+    assert found(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)) == brute(rows)
+    rows = [(0, [1.0])] * 9 + [(i, [float(i)]) for i in range(1, 5)]
+    assert found(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1)) == brute(rows)
+    q, c = np.array([0]), np.array([0] * 9 + [3, 2])
+    assert list(t.best_of_tile(q, np.ones((1, 1)), c, np.arange(11.0)[:, None], 5)) == [(0, 2, 10), (0, 3, 9)]
