@@ -60,11 +60,14 @@ class TextEncoder:
 
     def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self._added = [a.content for a in added]  # found in the text before it is cut into pieces
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         pre = spec["pre_tokenizer"] or {}
-        if pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec["normalizer"]:
+        if any(a.normalized for a in added):  # looked for in normalized text
+            self.encode = self._whole
+        elif pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec["normalizer"]:
             self.encode, self.words = self._spaced, _Words(self._spaced_word, cached_words)
         elif [p.get("type") for p in pre.get("pretokenizers", [])] == ["Split", "ByteLevel"] and pre["pretokenizers"][0]["invert"] \
                 and pre["pretokenizers"][0]["behavior"] == "Removed":
@@ -97,6 +100,8 @@ class TextEncoder:
 
     # words that carry the space before them
     def _spaced(self, text: str) -> bytes:
+        if any(a in text for a in self._added):
+            return self._whole(text)
         if " ".join(text.split()) != text.replace("\n", " "):  # white space beside white space, or other than space and line end
             return self._whole(text)
         words = text.replace("\n", " \n").split(" ")
@@ -121,6 +126,8 @@ class TextEncoder:
 
     # words without any white space
     def _bare(self, text: str) -> bytes:
+        if any(a in text for a in self._added):
+            return self._whole(text)
         kept = self.words
         return b"".join([kept[w] for w in text.replace("\n", " ").split(" ") if w])
 

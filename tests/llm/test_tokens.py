@@ -40,6 +40,33 @@ def test_real_texts(spark, name):
         assert np.frombuffer(CODERS[name].encode(text), "<u4").tolist() == e.ids
 
 
+PLAIN = {name: Tokenizer.from_file(vocabulary(name)) for name in CODERS}  # as the library gives it, no flag set
+PARTS = ["<|endoftext|>", "<|startoftext|>", "<|EndOfText|>", "<|", "|>", "a", " ", "\n", "  ", "é", "it's", "1.", "endoftext"]
+
+
+@pytest.mark.parametrize("name", list(CODERS))
+@settings(max_examples=400, deadline=None)
+@given(text=st.lists(st.sampled_from(PARTS), max_size=12).map("".join))
+def test_added_tokens_are_those_of_the_untouched_tokenizer(name, text):
+    assert np.frombuffer(CODERS[name].encode(text), "<u4").tolist() == PLAIN[name].encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_in_the_operators(spark):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b"), (2, "c <|startoftext|>d"), (3, "e")], "doc_id long, text string")
+    assert PLAIN[BYTE_BPE].encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
+    ids = {name: {r.doc_id: t.encode(r.text, add_special_tokens=False).ids for r in docs.collect()} for name, t in PLAIN.items()}
+    start, want = 0, []
+    for doc_id, found in sorted(ids[BYTE_BPE].items()):
+        want.append((doc_id, start, len(found) + 1, [*found, 0]))
+        start += len(found) + 1
+    got = token_files.read_token_files(token_files.write_token_files(docs)).collect()
+    assert sorted(map(tuple, got)) == want
+    counts = sorted(n for r in token_lengths.token_counts(docs).collect() for n in [r.length] * r.n_docs)
+    assert counts == sorted(map(len, ids[BYTE_BPE].values()))
+    packed = {r.doc_id: r.ids for r in packing.pack(docs, size=64).collect()}
+    assert packed == {k: [*v, 2] for k, v in ids[WORD_BPE].items()}
+
+
 def odd_documents(spark):
     rows = [(5, "one two three", "x", "y", "z"), (None, "no id", None, None, None), (2, None, "", "", ""), (3, "", "", "", ""),
             (2, "again two", "", "", ""), (5, "one two three", "x", "y", "z"), (9, "long word " * 30_000, "", "", ""),
