@@ -149,11 +149,17 @@ def _document_frequencies(train: DataFrame) -> np.ndarray:
     return out
 
 
+def set_apart(n: int, max_fit: int, max_calibrate: int) -> np.ndarray:
+    """Which of ``n`` rows in order of their hashes the temperature is fitted on: a fixed share, never the first."""
+    i = np.arange(n)
+    return (i + 1) * max_calibrate // (max_fit + max_calibrate) > i * max_calibrate // (max_fit + max_calibrate)
+
+
 def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: int = MAX_CALIBRATE) -> LanguageModel:
     """Learn from text and non-null lang of documents that ``held_out`` does not name.
 
-    Document frequencies use all of them. The regression sees the ``max_fit`` ones whose ids have the least hashes
-    and the temperature the ``max_calibrate`` ones after those; both bounds are rows sent to the driver as sparse
+    Document frequencies use all of them. The sample are the ``max_fit + max_calibrate`` ones whose ids have the
+    least hashes; at every size the temperature sees ``max_calibrate`` in so many, the regression the others. Bounds are rows sent to the driver as sparse
     vectors. Languages are those that occur in the rows fitted on. Without such rows every prediction is ``und``.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
@@ -175,13 +181,14 @@ def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: i
     sample = train.where(below_share(order, max_fit + max_calibrate, int(seen[-1]))).select("doc_id", "text", "lang").mapInArrow(
         per_batch(vectors, 500), "doc_id long, at binary, w binary, lang string")
     rows = sample.withColumn("o", order).orderBy("o", "doc_id", "w").limit(max_fit + max_calibrate).collect()
-    labels = sorted({r.lang for r in rows[:max_fit]})
+    kept_apart = set_apart(len(rows), max_fit, max_calibrate)
+    labels = sorted({r.lang for r, out in zip(rows, kept_apart) if not out})
     name = {x: i for i, x in enumerate(labels)}
     x = [(np.frombuffer(r.at, "<i4"), np.frombuffer(r.w, "<f4").astype(float)) for r in rows]
     y = np.array([name.get(r.lang, -1) for r in rows])
-    model = LanguageModel(labels, idf, fit_ftrl(x[:max_fit], y[:max_fit], len(labels)))
-    apart = [i for i in range(max_fit, len(rows)) if y[i] >= 0]
-    if apart:
+    model = LanguageModel(labels, idf, fit_ftrl([v for v, out in zip(x, kept_apart) if not out], y[~kept_apart], len(labels)))
+    apart = np.flatnonzero(kept_apart & (y >= 0))
+    if len(apart):
         model.temperature = fit_temperature(np.array([model.logits(*x[i]) for i in apart]), y[apart])
     return model
 

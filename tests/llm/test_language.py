@@ -61,3 +61,11 @@ def test_odd_rows(spark):
     assert nothing.count() == 0
     unlabelled = language.identify_languages(spark.createDataFrame([(1, "the", None, 0.0, "")], schema)).collect()
     assert [(r.lang_pred, r.score) for r in unlabelled] == [("und", 0.0)]
+
+
+def test_small_tables_are_calibrated(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    assert language.fit_language_model(docs).temperature != 1.0
+    for n in (1, 4, 5, 800, 5000):
+        out = language.set_apart(n, 4000, 1000)
+        assert out.sum() == n // 5 and not out[0]
