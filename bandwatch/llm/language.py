@@ -19,11 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from bandwatch.llm.stage import below_share, per_batch
+from bandwatch.llm.stage import per_batch, quotas
 
 GRAMS = (1, 2, 3)
 BUCKETS = 1 << 15
-MAX_FIT = 4000  # labelled documents the regression is fitted on, those with the least hashes
+MAX_FIT = 4000  # labelled documents the regression is fitted on, of each language those with the least hashes
 MAX_CALIBRATE = 1000
 EPOCHS = 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.3, 0.1
@@ -158,16 +158,19 @@ def set_apart(n: int, max_fit: int, max_calibrate: int) -> np.ndarray:
 def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: int = MAX_CALIBRATE) -> LanguageModel:
     """Learn from text and non-null lang of documents that ``held_out`` does not name.
 
-    Document frequencies use all of them. The sample are the ``max_fit + max_calibrate`` ones whose ids have the
-    least hashes; at every size the temperature sees ``max_calibrate`` in so many, the regression the others. Bounds are rows sent to the driver as sparse
-    vectors. Languages are those that occur in the rows fitted on. Without such rows every prediction is ``und``.
+    Languages are all that occur in these documents, and document frequencies use all of them. The sample are at most
+    ``max_fit + max_calibrate`` documents, or one of each language where there are more: of each language those with
+    the least hashes, in equal numbers as far as it has as many; copies of a document count once in it. Of each
+    language, at every size, the temperature sees ``max_calibrate`` in so many and the regression the others. Biases
+    are then corrected for the languages' shares among all documents. The sample goes to the driver as sparse vectors.
+    Without labelled documents every prediction is ``und``.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     train = slim.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     seen = _document_frequencies(train)
     idf = np.log((1.0 + seen[-1]) / (1.0 + seen[:-1])) + 1.0
-    order = F.xxhash64("doc_id", "lang")
+    order = F.xxhash64("doc_id", "lang", "text")
     if not seen[-1]:
         return LanguageModel([], idf, np.zeros((BUCKETS + 1, 0)))
     shared = docs.sparkSession.sparkContext.broadcast(idf)
@@ -178,18 +181,36 @@ def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: i
             [batch.column(0), pa.array([a.astype("<i4").tobytes() for a, _ in rows], pa.binary()),
              pa.array([w.astype("<f4").tobytes() for _, w in rows], pa.binary()), batch.column(2)], ["doc_id", "at", "w", "lang"])
 
-    sample = train.where(below_share(order, max_fit + max_calibrate, int(seen[-1]))).select("doc_id", "text", "lang").mapInArrow(
+    by_lang = train.select("lang", order.alias("o")).groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("o").alias("different")).collect()
+    most = {x: max(1, q) for x, q in quotas({r.lang: r.different for r in by_lang}, max_fit + max_calibrate).items()}
+    # a row per language is sent to the texts, which a join by language would put into as few tasks as there are languages;
+    # about twice as many as wanted pass the first cut; the exact ones follow from their hashes alone
+    cuts = [(r.lang, int(-(2**63) + min(1.0, (2 * most[r.lang] + 100) / r.different) * (2**64 - 1))) for r in by_lang]
+    cuts = [(x, min(c, 2**63 - 1)) for x, c in cuts]
+    found: dict[str, list[int]] = {x: [] for x in most}
+    marked = train.withColumn("o", order)
+    near = marked.join(F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut long")), "lang").where("o <= cut")
+    for r in near.select("lang", "o").distinct().collect():
+        found[r.lang].append(r.o)
+    exact = [(x, sorted(o)[min(most[x], len(o)) - 1]) for x, o in found.items() if o]
+    chosen = marked.join(F.broadcast(docs.sparkSession.createDataFrame(exact, "lang string, cut long")), "lang").where("o <= cut")
+    sample = chosen.dropDuplicates(["lang", "o"]).select("doc_id", "text", "lang").mapInArrow(
         per_batch(vectors, 500), "doc_id long, at binary, w binary, lang string")
-    rows = sample.withColumn("o", order).orderBy("o", "doc_id", "w").limit(max_fit + max_calibrate).collect()
-    kept_apart = set_apart(len(rows), max_fit, max_calibrate)
-    labels = sorted({r.lang for r, out in zip(rows, kept_apart) if not out})
+    rows = sample.collect()
+    rows.sort(key=lambda r: (r.lang, zlib.crc32(str(r.doc_id).encode()), r.doc_id, r.w))
+    labels = sorted(most)
     name = {x: i for i, x in enumerate(labels)}
     x = [(np.frombuffer(r.at, "<i4"), np.frombuffer(r.w, "<f4").astype(float)) for r in rows]
-    y = np.array([name.get(r.lang, -1) for r in rows])
+    y = np.array([name[r.lang] for r in rows])
+    drawn = np.bincount(y, minlength=len(labels))
+    kept_apart = np.concatenate([set_apart(n, max_fit, max_calibrate) for n in drawn])  # rows are in order of language
     model = LanguageModel(labels, idf, fit_ftrl([v for v, out in zip(x, kept_apart) if not out], y[~kept_apart], len(labels)))
-    apart = np.flatnonzero(kept_apart & (y >= 0))
+    apart = np.flatnonzero(kept_apart)
     if len(apart):
         model.temperature = fit_temperature(np.array([model.logits(*x[i]) for i in apart]), y[apart])
+    share = np.array([r.n for r in sorted(by_lang, key=lambda r: name[r.lang])]) / int(seen[-1])
+    model.weights[-1] += model.temperature * np.log(share / (drawn / len(rows)))
     return model
 
 

@@ -69,3 +69,22 @@ def test_small_tables_are_calibrated(spark):
     for n in (1, 4, 5, 800, 5000):
         out = language.set_apart(n, 4000, 1000)
         assert out.sum() == n // 5 and not out[0]
+
+
+def test_a_rare_language_is_learned_and_biases_follow_the_shares(spark):
+    """1 in 500 rows; the other languages are 9 in 10 and 1 in 10."""
+    docs = spark.range(5000).selectExpr(
+        "id as doc_id", "case when id % 500 = 7 then 'xx' when id % 10 = 0 then 'de' else 'en' end as lang").selectExpr(
+        "*", "case lang when 'xx' then 'qo zuq qozi' when 'de' then 'und der die' else 'the and of' end || ' ' || doc_id as text")
+    model = language.fit_language_model(docs, max_fit=40, max_calibrate=10)
+    assert model.labels == ["de", "en", "xx"]
+    got = language.predict_language(docs, model).collect()
+    assert {(r.lang, r.lang_pred) for r in got} == {(x, x) for x in model.labels}
+    b = model.weights[-1] / model.temperature
+    assert b[1] > b[0] > b[2]
+
+
+def test_copies_do_not_push_a_language_out(spark):
+    rows = [(1, "the and of", "en")] * 3000 + [(i, "und der die", "de") for i in (2, 3, 4)]
+    model = language.fit_language_model(spark.createDataFrame(rows, "doc_id long, text string, lang string"), max_fit=8, max_calibrate=2)
+    assert model.labels == ["de", "en"]
