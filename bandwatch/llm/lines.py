@@ -128,7 +128,7 @@ def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = M
                                                             for c in cuts), F.lit(0))), "line-places")
     runs = LineRuns(places, fan_in)
     for batch in range(len(cuts) + 1):
-        keys = places.where(F.col("batch") == batch).groupBy(*HASH).agg(
+        keys = places.where(F.col("batch") == batch).select(*HASH, "doc_id").distinct().groupBy(*HASH).agg(
             F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep"))
         runs.add(keys)
     hot = staged(runs.totals().where(F.col("n_docs") >= min_docs).select(*HASH, "keep"), "line-hot")
@@ -153,9 +153,9 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     """Documents without their repeated lines: doc_id, n_lines, n_dropped, kept (``digest``: kept_sha256).
 
     A line's key is the line stripped of ASCII white space with A-Z in lower case. Keys of ``min_chars`` code
-    points or more that ``min_docs`` document rows hold lose all their lines but in the largest doc_id.
+    points or more that ``min_docs`` documents (distinct ids) hold lose all their lines but in the largest doc_id.
 
-    Null or empty text: one empty line. Rows with one doc_id count one by one and all keep or lose a line
+    Null or empty text: one empty line. Rows with one doc_id count as one document and all keep or lose a line
     together. A null doc_id is smaller than every other; where only such rows hold a key, all keep it. An empty
     table gives an empty result. Columns besides id and text are not read.
     """

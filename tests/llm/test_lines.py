@@ -57,3 +57,9 @@ def test_stage_keeps_columns_and_nulls(spark):
 def test_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert lines.dedup_lines(empty).count() == 0 and lines.without_repeated_lines(empty).count() == 0
+
+
+def test_repeated_rows_of_a_document_count_once(spark):
+    text = long_line(1)
+    frame = spark.createDataFrame([(1, text)] * 4 + [(2, text)], "doc_id long, text string")
+    assert {r.n_dropped for r in lines.dedup_lines(frame).collect()} == {0}
