@@ -28,7 +28,6 @@ from collections.abc import Iterator
 from typing import Any
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -84,16 +83,16 @@ PROFILE = ["doc_id", "n", "h1", "h2", "first", "chunk", "counts"]
 def _rarity(chunks: DataFrame) -> np.ndarray:
     """Rank of each sketch cell by its count; chunk sums are added up in two levels, and the sketch has a fixed size."""
 
-    def add(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
+    def add(key: tuple[Any, ...], rows: pa.Table) -> pa.Table:
         total = np.zeros(1 << CHUNK_BITS, np.uint32)
-        for x in pdf["counts"]:
-            total += np.frombuffer(zlib.decompress(x), np.uint32)
-        return pd.DataFrame({"chunk": [key[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
+        for x in rows["counts"]:
+            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "counts": [zlib.compress(total.tobytes(), 1)]})
 
     dealt = chunks.select("chunk", "counts", F.pmod(F.xxhash64("counts"), F.lit(64)).alias("part"))
-    first = dealt.groupBy("chunk", "part").applyInPandas(add, "chunk int, counts binary")
+    first = dealt.groupBy("chunk", "part").applyInArrow(add, "chunk int, counts binary")
     total = np.zeros(1 << SKETCH_BITS, np.uint32)
-    for row in first.groupBy("chunk").applyInPandas(add, "chunk int, counts binary").collect():
+    for row in first.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect():
         total[row.chunk << CHUNK_BITS:(row.chunk + 1) << CHUNK_BITS] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
     return np.minimum(np.log(np.maximum(total, 1)) / np.log(LEVEL), 63).astype(np.uint8)
 
@@ -291,12 +290,13 @@ def _compare(docs: DataFrame, blocks: DataFrame, signatures: DataFrame, pairs: D
     sets = docs.select("doc_id", "text", place.alias("place")).mapInArrow(
         per_batch(cut), "doc_id long, h1 long, h2 long, tokens binary")
 
-    def compare(key: tuple[Any, ...], pdf: pd.DataFrame) -> pd.DataFrame:
-        found = linked_leaves(pdf["component"].tolist(), pdf["side"].tolist(), [np.frombuffer(x, np.uint64) for x in pdf["tokens"]], percent, key[0] == key[1])
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    def compare(key: tuple[Any, ...], rows: pa.Table) -> pa.Table:
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows["tokens"]]
+        found = linked_leaves(rows["component"].to_pylist(), rows["side"].to_pylist(), sets, percent, key[0] == key[1])
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
 
     return asked.join(once(sets), ["doc_id", "h1", "h2"]).select("x", "y", "component", "side", "tokens").groupBy(
-        "x", "y").applyInPandas(compare, "a long, b long")
+        "x", "y").applyInArrow(compare, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:

@@ -155,6 +155,12 @@ def set_apart(n: int, max_fit: int, max_calibrate: int) -> np.ndarray:
     return (i + 1) * max_calibrate // (max_fit + max_calibrate) > i * max_calibrate // (max_fit + max_calibrate)
 
 
+def _cuts(docs: DataFrame, rows: list[tuple[str, int]]) -> DataFrame:
+    """(lang, cut) as a local table, whose size Spark knows, and which needs no Python workers to be read."""
+    return docs.sparkSession.createDataFrame(pa.table(
+        {"lang": pa.array([x for x, _ in rows], pa.string()), "cut": pa.array([c for _, c in rows], pa.int64())}))
+
+
 def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: int = MAX_CALIBRATE) -> LanguageModel:
     """Learn from text and non-null lang of documents that ``held_out`` does not name.
 
@@ -184,17 +190,16 @@ def fit_language_model(docs: DataFrame, max_fit: int = MAX_FIT, max_calibrate: i
     by_lang = train.select("lang", order.alias("o")).groupBy("lang").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("o").alias("different")).collect()
     most = {x: max(1, q) for x, q in quotas({r.lang: r.different for r in by_lang}, max_fit + max_calibrate).items()}
-    # a row per language is sent to the texts, which a join by language would put into as few tasks as there are languages;
     # about twice as many as wanted pass the first cut; the exact ones follow from their hashes alone
     cuts = [(r.lang, int(-(2**63) + min(1.0, (2 * most[r.lang] + 100) / r.different) * (2**64 - 1))) for r in by_lang]
     cuts = [(x, min(c, 2**63 - 1)) for x, c in cuts]
     found: dict[str, list[int]] = {x: [] for x in most}
     marked = train.withColumn("o", order)
-    near = marked.join(F.broadcast(docs.sparkSession.createDataFrame(cuts, "lang string, cut long")), "lang").where("o <= cut")
+    near = marked.join(_cuts(docs, cuts), "lang").where("o <= cut")
     for r in near.select("lang", "o").distinct().collect():
         found[r.lang].append(r.o)
     exact = [(x, sorted(o)[min(most[x], len(o)) - 1]) for x, o in found.items() if o]
-    chosen = marked.join(F.broadcast(docs.sparkSession.createDataFrame(exact, "lang string, cut long")), "lang").where("o <= cut")
+    chosen = marked.join(_cuts(docs, exact), "lang").where("o <= cut")
     sample = chosen.dropDuplicates(["lang", "o"]).select("doc_id", "text", "lang").mapInArrow(
         per_batch(vectors, 500), "doc_id long, at binary, w binary, lang string")
     rows = sample.collect()

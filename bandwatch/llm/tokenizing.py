@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
 CACHED_WORDS = 200_000
+KEPT_WORDS = 50_000  # outlast a task, some 10 MB
 LONGEST_CACHED = 48
 MARKS = ".,;:!?|#$%&*()"  # a run of them after letters is a piece of its own
 
@@ -78,9 +81,13 @@ class TextEncoder:
         self._bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size())]
 
     def settle(self) -> None:
-        """At a task's end: keep the younger words only, since the process goes on to other work."""
+        """At a task's end: keep the words that came first, the frequent ones, since the process goes on to other work."""
         if self.encode != self._whole:
+            kept = dict(islice((self.words.old or self.words).items(), KEPT_WORDS))
             self.words.old = {}
+            self.words.clear()
+            self.words.update(kept)
+        pa.default_memory_pool().release_unused()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
