@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from bandwatch.llm.collocations import collocations
 from bandwatch.llm.decontaminate import benchmark_passages
 from bandwatch.llm.jaccard import jaccard_components
 from bandwatch.llm.language import identify_languages
 from bandwatch.llm.lines import dedup_lines
+from bandwatch.llm.near_vectors import near_vectors
 from bandwatch.llm.packing import pack
 from bandwatch.llm.pii import personal_data
 from bandwatch.llm.quality import document_quality
@@ -104,3 +106,44 @@ def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_quality")
 def quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_near_vectors", """
+with recursive v as (select vec_id, embedding::double[] as e from embeddings
+  where embedding is not null and vec_id is not null and list_count(embedding) = len(embedding)
+    and len(list_filter(embedding, lambda x: not isfinite(x))) = 0 and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_cosine_similarity(a.e, b.e) >= 0.9),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+select e.vec_id, (select count(*) from links l where l.a = e.vec_id) as n_links,
+  least(e.vec_id, coalesce((select min(b) from reach r where r.a = e.vec_id), e.vec_id)) as component_id,
+  e.vec_id <= coalesce((select min(b) from reach r where r.a = e.vec_id), e.vec_id) as kept
+from embeddings e
+""")
+def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_collocations", f"""
+with cut as (select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({lower_ascii_sql("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')) as piece
+  from documents),
+pieces as (select lang, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') as w from cut),
+totals as (select lang, sum(len(w))::hugeint as n from pieces group by lang),
+grams as (select lang, k, list_slice(w, i, i + k - 1) as p from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i
+  from pieces, (select unnest(range(1, 6)) as k))),
+counts as (select lang, k, p, count(*) as f from grams group by all having count(*) >= 100),
+cuts as (select lang, k, p, f, unnest(range(1, k)) as c from counts where k > 1),
+made as (select x.lang, x.k, x.p, x.f as a, c, l.f as l, r.f as r, n, 1000::hugeint * x.f * n // (l.f::hugeint * r.f) as score
+  from cuts x join counts l on l.lang = x.lang and l.p = list_slice(x.p, 1, c)
+  join counts r on r.lang = x.lang and r.p = list_slice(x.p, c + 1, x.k) join totals t on t.lang = x.lang),
+best as (select * from made qualify row_number() over (partition by lang, p order by score, c) = 1),
+inner_parts as (select lang, list_slice(p, i, i + s - 1) as p, max(a) as longer from (
+  select lang, p, a, s, unnest(range(1, k - s + 2)) as i from (select *, unnest(range(2, k)) as s from best where k > 2)) group by all),
+kept as (select b.lang, array_to_string(b.p, ' ') as phrase, a, l, r, n, score from best b
+  left join inner_parts i on i.lang = b.lang and i.p = b.p where longer is null or 100 * longer < 100 * a),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score
+from ranked where rank <= 2000
+""")
+def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
