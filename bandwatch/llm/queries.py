@@ -15,6 +15,7 @@ from bandwatch.llm.near_vectors import near_vectors
 from bandwatch.llm.packing import pack
 from bandwatch.llm.pii import personal_data
 from bandwatch.llm.quality import document_quality
+from bandwatch.llm.runs import periodic_runs
 from bandwatch.llm.stage import lower_ascii_sql
 from bandwatch.llm.token_files import read_token_files, write_token_files
 from bandwatch.llm.token_lengths import token_counts
@@ -147,3 +148,8 @@ from ranked where rank <= 2000
 """)
 def phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op11_runs")
+def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs(table(spark, sf_dir, "documents"), test_tails=True, digest=True)
