@@ -206,17 +206,22 @@ def repeated_tail(words: list[bytes], doc_id: int | None) -> list[bytes]:
     return words[:a] + (unit * ((n - a) // p + 1))[:n - a]
 
 
-@dataclass
+class Numbers(dict):
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class Lot:
     """Documents that are worked on together."""
 
-    numbers: dict[bytes, int]
-    laid: list[np.ndarray]
-    words: list[list[bytes]]
-    size: int = 0
+    def __init__(self):
+        self.numbers, self.size = Numbers(), 0
+        self.laid: list[np.ndarray] = []
+        self.words: list[list[bytes]] = []
 
     def add(self, words: list[bytes]) -> None:
-        self.laid.append(np.fromiter((self.numbers.setdefault(w, len(self.numbers)) for w in words), np.int64, len(words)))
+        self.laid.append(np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words)))
         self.words.append(words)
         self.size += len(words)
 
@@ -284,13 +289,13 @@ def periodic_runs(docs: DataFrame, test_tails: bool = False, digest: bool = Fals
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids: list[int | None] = []
-        lot = Lot({}, [], [])
+        lot = Lot()
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 words = text.as_buffer().to_pybytes().split() if text.is_valid else []
                 if ids and lot.size + len(words) > LOT:
                     yield told(ids, lot)
-                    ids, lot = [], Lot({}, [], [])
+                    ids, lot = [], Lot()
                 ids.append(doc_id)
                 lot.add(repeated_tail(words, doc_id) if test_tails else words)
         if ids:

@@ -47,7 +47,7 @@ def brute(doc_id, text):
 
 
 def of(docs):
-    lot = rn.Lot({}, [], [])
+    lot = rn.Lot()
     for d in docs:
         lot.add([str(x).encode() for x in d])
     return [list(zip(s.tolist(), e.tolist(), q.tolist())) for _, s, e, q in lot.runs()]
