@@ -176,23 +176,57 @@ def local_counts(words: DataFrame, k: int, shorter: np.ndarray | None) -> DataFr
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(some), salt)), pa.array(some), pa.array(n[start:start + (1 << 16)])], ["salt", "key", "n"])
 
-    rows = words.select("lang", "salt", "h").mapInArrow(run, "salt long, key long, n long")
-    return rows.groupBy("salt", "key").agg(F.sum("n").alias("n"))
+    return words.select("lang", "salt", "h").mapInArrow(run, "salt long, key long, n long")
 
 
-def mined(words: DataFrame, support: int, longest: int) -> list[np.ndarray]:
-    """For every length a filter of the phrases that are frequent in a shard, by their hash in their language."""
+def local_supports(words: DataFrame, support: int) -> DataFrame:
+    """(salt, need, rest): a language's support in a shard, and the most it can have without being frequent in any shard."""
     sizes = words.groupBy("lang", "salt").agg(F.sum("words").cast("decimal(20,0)").alias("words")).where("words > 0")
     whole = sizes.groupBy("lang").agg(F.sum("words").alias("all"))
-    need = F.ceil(F.col("words") * support / F.col("all"))
-    least = staged(
-        sizes.join(whole, "lang").select("salt", need.cast("long").alias("need"))
-        .groupBy("salt").agg(F.min("need").alias("need")), "shard-supports")
+    need = staged(sizes.join(whole, "lang").select(
+        "lang", "salt", F.ceil(F.col("words") * support / F.col("all")).cast("long").alias("need")), "shard-supports")
+    rest = need.groupBy("lang").agg(F.sum(F.col("need") - 1).alias("rest"))
+    return need.join(rest, "lang").groupBy("salt").agg(F.min("need").alias("need"), F.max("rest").alias("rest"))
+
+
+def possible(local: DataFrame, supports: DataFrame, support: int) -> DataFrame:
+    """(key, salts): phrases that are frequent in the shards ``salts`` and can reach ``support`` over all.
+
+    A shard that counted a phrase holds it as often, one that did not at most as often as keeps it below the local
+    support. All rows of a phrase are placed together once, for the counts by shard and for the bound.
+    """
+    per_shard = local.repartition("key").groupBy("key", "salt").agg(F.sum("n").alias("n")).join(supports, "salt")
+    bound = F.sum("n") + F.max("rest") - F.sum(F.col("need") - 1)
+    return per_shard.groupBy("key").agg(
+        bound.alias("most"), F.collect_list(F.when(F.col("n") >= F.col("need"), F.col("salt"))).alias("salts")).where(
+        (F.col("most") >= support) & (F.size("salts") > 0)).select("key", "salts")
+
+
+def words_of_phrases(words: DataFrame, pairs: np.ndarray) -> DataFrame:
+    """(key) of the words that stand in a frequent phrase of two words: the only ones whose counts are asked for."""
+    shared = words.sparkSession.sparkContext.broadcast(pairs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (lang, salt), parts in _in_buffers(batches, 4):
+            h = np.concatenate([y for x in parts for y in (np.frombuffer(x, np.uint32), np.zeros(1, np.uint32))]).astype(np.uint64)
+            at, keys = gram_keys(h, 2, lang)
+            at = at[passes(shared.value, keys ^ np.int64(salt).view(np.uint64))]
+            found = np.unique(gram_keys(np.unique(np.concatenate([h[at], h[at + 1]])), 1, lang)[1])
+            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["key"])
+
+    return words.select("lang", "salt", "h").mapInArrow(run, "key long").distinct()
+
+
+def mined(words: DataFrame, support: int, longest: int) -> list[np.ndarray]:
+    """For every length a filter of the phrases that are frequent in a shard, by their hash in their language."""
+    supports = staged(local_supports(words, support), "local-supports")
     shorter, found = None, []
     for k in range(1, longest + 1):
-        frequent = staged(local_counts(words, k, shorter).join(least, "salt").where("n >= need").select("salt", "key"), f"frequent-{k}")
-        shorter = filter_of(frequent, F.col("key").bitwiseXOR(F.col("salt")))
+        frequent = staged(possible(local_counts(words, k, shorter), supports, support), f"frequent-{k}")
+        shorter = filter_of(frequent.select("key", F.explode("salts").alias("salt")), F.col("key").bitwiseXOR(F.col("salt")))
         found.append(filter_of(frequent, F.col("key")))
+        if k == 2:
+            found[0] &= filter_of(words_of_phrases(words, shorter), F.col("key"))
     return found
 
 
