@@ -12,7 +12,7 @@ from bandwatch.functions.values import vendor_of
 from bandwatch.plans import scoring as plan
 from bandwatch.schemas import KPI_SCORE_KEY
 from bandwatch.session import work_dir
-from bandwatch.sinks.tables import append_by_day
+from bandwatch.sinks.tables import append_by_day, open_table
 from bandwatch.streaming import jobs
 
 # slots the watermark has passed at the end of the input
@@ -86,7 +86,7 @@ def stream_keyed_upsert(spark, sf):
         .trigger(availableNow=True).start()
     )
     job.awaitTermination()
-    return spark.read.parquet(f"{root}/table").drop("part")
+    return open_table(spark, f"{root}/table").drop("part")
 
 
 @register("stream_dedup", query(f"""SELECT DISTINCT resId, itemPara, kpiId, {text('recordTime')} AS slot FROM readings"""))
@@ -145,4 +145,4 @@ def stream_rolling_forecast(spark, sf):
     finally:
         if query_ is not None:
             query_.stop()
-    return spark.read.parquet(f"{root}/windows").drop("_id", "hour")
+    return open_table(spark, f"{root}/windows").drop("_id", "hour")

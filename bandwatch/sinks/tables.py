@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from bandwatch import schemas
 from bandwatch.functions.values import record_id
-from bandwatch.session import work_root
+from bandwatch.session import work_dir
+from bandwatch.sinks.log import SNAPSHOT, Snapshot, TableLog, replace_parts
+
+NO_PART = "__HIVE_DEFAULT_PARTITION__"  # folder name Spark gives to null
 
 
 def enforce_schema(df: DataFrame, layout: T.StructType) -> DataFrame:
@@ -47,69 +48,80 @@ def latest_per_id(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     )
 
 
-def stored_table(spark: SparkSession, path: str, layout: T.StructType) -> DataFrame | None:
-    """A written table, or None where nothing has been written yet."""
-    try:
-        return spark.read.schema(layout).parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+def upsert(df: DataFrame, path: str, key: Sequence[str], partition: Column, order: Sequence[Column] = (),
+           partition_name: str = "part", **more) -> DataFrame:
+    """``merge_into``, and the whole table after it."""
+    spark = df.sparkSession
+    state, layout = merge_into(df, path, key, partition, order, partition_name, **more)
+    return TableLog(spark, path).read(layout, state)
 
 
-def upsert(df: DataFrame, path: str, key: Sequence[str], partition: Column, order: Sequence[Column] = (),
-           partition_name: str = "part") -> DataFrame:
+def merge_into(df: DataFrame, path: str, key: Sequence[str], partition: Column, order: Sequence[Column] = (),
+               partition_name: str = "part", writer: str | None = None, number: int | None = None, notes: dict | None = None,
+               step: Callable[[str], None] = lambda name: None) -> tuple[Snapshot, T.StructType]:
     """Keyed write: a row replaces the stored row with the same key.
 
-    Only partitions that receive rows are rewritten. ``order`` decides between all
-    rows of one key, stored or new, so an older row never replaces a newer one; of
-    equal ones the new row stays. Without it new rows win, and among them the last
-    by all columns. One writer at a time; a repeated call leaves the same table.
+    The table is a ``sinks.log`` table: partitions that receive rows get new files, and one new log entry puts them in
+    the place of the old ones. Stopped at any point, the table is as before or as after the write, and a repeated call
+    completes it; readers never see it in between, and writers at the same time lose no rows.
 
-    Rows are staged in two folders that belong to the table and are emptied when
-    they are no longer needed.
+    ``order`` decides between all rows of one key, stored or new, so an older row never replaces a newer one; of equal
+    ones the new row stays. Without it new rows win, and among them the last by all columns. ``writer`` and ``number``
+    name a write of a stream: one that is committed already is left out. ``step`` hears how far the write is.
     """
     spark = df.sparkSession
     inside = list(order) or [F.struct(*df.columns)]
     fresh = latest_per_id(with_record_id(df, key), inside).withColumn(partition_name, partition)
-    # written out first: a stream batch is computed once, and a partition is never
-    # read and overwritten by the same job
     layout = fresh.schema
-    own = f"{work_root(spark).rstrip('/')}/upsert-{hashlib.md5(path.encode()).hexdigest()}"
-    fresh.write.mode("overwrite").parquet(f"{own}/fresh")
-    fresh = spark.read.schema(layout).parquet(f"{own}/fresh")
-    stored = stored_table(spark, path, layout)
-    if stored is None:
-        _overwrite_parts(fresh, path, partition_name)
-    elif not fresh.isEmpty():
-        touched = fresh.select(partition_name).distinct()
-        kept = stored.join(touched, partition_name, "left_semi").withColumn("_new", F.lit(0))
+    log = TableLog(spark, path)
+    # written out first: a batch is computed once, however often it has to be merged
+    own = work_dir(spark, "upsert")
+    fresh.write.parquet(own)
+    fresh = spark.read.schema(layout).parquet(own)
+    step("staged")
+    part = F.coalesce(F.nullif(F.col(partition_name).cast("string"), F.lit("")), F.lit(NO_PART))
+    touched = {r[0] for r in fresh.select(part).distinct().collect()}
+
+    def merged(state: Snapshot) -> DataFrame:
+        if not touched & state.parts():
+            return fresh
+        kept = log.read(layout, state, touched).withColumn("_new", F.lit(0))
         last = F.struct(*order, "_new") if order else F.struct("_new")
         rest = [c for c in layout.names if c not in ("_id", partition_name)]
-        merged = (
+        return (
             kept.unionByName(fresh.withColumn("_new", F.lit(1))).groupBy(partition_name, "_id")
             .agg(F.max_by(F.struct(*rest), last).alias("_r")).select("_id", "_r.*", partition_name)
         )
-        merged.write.mode("overwrite").parquet(f"{own}/merged")
-        _overwrite_parts(spark.read.schema(layout).parquet(f"{own}/merged"), path, partition_name)
-        _empty(spark, f"{own}/merged", layout)
-    _empty(spark, f"{own}/fresh", layout)
-    out = stored_table(spark, path, layout)
-    return spark.createDataFrame([], layout) if out is None else out
 
-
-def _empty(spark: SparkSession, path: str, layout: T.StructType) -> None:
-    spark.createDataFrame([], layout).write.mode("overwrite").parquet(path)
-
-
-def _overwrite_parts(df: DataFrame, path: str, partition_name: str) -> None:
-    (
-        df.hint("rebalance", partition_name)
-        .write.partitionBy(partition_name)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    try:
+        if touched or writer is not None:
+            state = replace_parts(log, merged, touched, partition_name, writer, number, notes, step)
+            if state.version and state.version % SNAPSHOT == 0:
+                log.vacuum()
+        else:
+            state = log.snapshot()
+    finally:
+        drop_folder(spark, own)
+    return state, layout
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged rows."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def open_table(spark: SparkSession, path: str, parts: Iterable[str] | None = None, part: str = "dt") -> DataFrame:
+    """A stored table, written by ``upsert`` or as plain Parquet; with ``parts`` only these partitions of it."""
+    log = TableLog(spark, path)
+    if log.exists():
+        state = log.snapshot()
+        if not state.files:
+            raise ValueError(f"no rows have been stored in {path}")
+        layout = spark.read.parquet(f"{log.path}/{next(iter(state.files))}").schema
+        return log.read(layout, state, parts)
+    table = spark.read.parquet(path)
+    return table if parts is None else table.where(F.col(part).cast("string").isin(sorted(parts)))
 
 
 def write_forecasts(forecast: DataFrame, path: str) -> DataFrame:

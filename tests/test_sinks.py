@@ -161,10 +161,8 @@ def test_a_run_touches_one_partition_and_leaves_no_copies(spark):
         after = dict(rows(write([6], v).select("hour", F.input_file_name().alias("f")), "hour", "f"))
     assert {h for h in before if before[h] != after[h]} == {"2024030100"} and len(before) == 4
     import glob
-    import hashlib
 
-    own = f"{spark.conf.get('spark.checkpoint.dir')}/upsert-{hashlib.md5(path.encode()).hexdigest()}"
-    assert all(spark.read.parquet(p).count() == 0 for p in glob.glob(f"{own}/*"))
+    assert not glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/upsert-*")
 
 
 def test_values_without_a_fraction_keep_their_size(spark):

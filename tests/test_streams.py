@@ -9,6 +9,7 @@ from bandwatch.operators.cleaning import latest_forecast
 from bandwatch.operators.bands import reband
 from bandwatch.plans.scoring import score
 from bandwatch.session import work_dir
+from bandwatch.sinks.tables import open_table
 from bandwatch.streaming import jobs
 from tests.helpers import actual, forecasts, rows
 
@@ -58,4 +59,4 @@ def test_repeated_batches_leave_one_row_per_key(spark):
     batch = actual(spark, [("a", KPI, 0, 1.0), ("b", KPI, 0, 2.0)])
     for number in (0, 0, 1):
         write(batch, number)
-    assert spark.read.parquet(f"{root}/t").count() == 2
+    assert open_table(spark, f"{root}/t").count() == 2
