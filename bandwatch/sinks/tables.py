@@ -10,10 +10,7 @@ from pyspark.sql import types as T
 
 from bandwatch import schemas
 from bandwatch.functions.values import record_id
-from bandwatch.session import work_dir
-from bandwatch.sinks.log import SNAPSHOT, Snapshot, TableLog, replace_parts
-
-NO_PART = "__HIVE_DEFAULT_PARTITION__"  # folder name Spark gives to null
+from bandwatch.sinks.log import SNAPSHOT, Snapshot, TableLog, replace_parts, write_files
 
 
 def enforce_schema(df: DataFrame, layout: T.StructType) -> DataFrame:
@@ -74,43 +71,31 @@ def merge_into(df: DataFrame, path: str, key: Sequence[str], partition: Column,
     fresh = latest_per_id(with_record_id(df, key), inside).withColumn(partition_name, partition)
     layout = fresh.schema
     log = TableLog(spark, path)
-    # written out first: a batch is computed once, however often it has to be merged
-    own = work_dir(spark, "upsert")
-    fresh.write.parquet(own)
-    fresh = spark.read.schema(layout).parquet(own)
+    # written first, as files the table may take as they are: a batch is computed once, however often it has to be merged
+    files = write_files(log, fresh, partition_name)
     step("staged")
-    part = F.coalesce(F.nullif(F.col(partition_name).cast("string"), F.lit("")), F.lit(NO_PART))
-    touched = {r[0] for r in fresh.select(part).distinct().collect()}
+    touched = {f["part"] for f in files}
 
-    def merged(state: Snapshot) -> DataFrame:
+    def merged(state: Snapshot) -> DataFrame | None:
         if not touched & state.parts():
-            return fresh
+            return None
         kept = log.read(layout, state, touched).withColumn("_new", F.lit(0))
+        new = log.read(layout, Snapshot(files={f["file"]: f for f in files})).withColumn("_new", F.lit(1))
         last = F.struct(*order, "_new") if order else F.struct("_new")
         rest = [c for c in layout.names if c not in ("_id", partition_name)]
         return (
-            kept.unionByName(fresh.withColumn("_new", F.lit(1))).groupBy(partition_name, "_id")
+            kept.unionByName(new).groupBy(partition_name, "_id")
             .agg(F.max_by(F.struct(*rest), last).alias("_r")).select("_id", "_r.*", partition_name)
         )
 
-    try:
-        if touched or writer is not None:
-            state = replace_parts(log, merged, touched, partition_name, writer, number, notes, step)
-            if state.version and state.version % SNAPSHOT == 0:
-                log.vacuum()
-        else:
-            state = log.snapshot()
-    finally:
-        drop_folder(spark, own)
+    if not touched and writer is None:
+        return log.snapshot(), layout
+    state = replace_parts(log, files, merged, touched, partition_name, writer, number, notes, step)
+    if state.version and state.version % SNAPSHOT == 0:
+        log.vacuum()
     return state, layout
 
 
-def drop_folder(spark: SparkSession, path: str) -> None:
-    """Delete a folder of staged rows."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
 def open_table(spark: SparkSession, path: str, parts: Iterable[str] | None = None, part: str = "dt") -> DataFrame:
     """A stored table, written by ``upsert`` or as plain Parquet; with ``parts`` only these partitions of it."""
     log = TableLog(spark, path)
