@@ -128,21 +128,43 @@ _WINDOWS = f"""SELECT {text('minId')} AS "minId", nodeCode, resId, resourceType,
 
 @register("stream_rolling_forecast", query(_WINDOWS))
 def stream_rolling_forecast(spark, sf):
-    """A running stream that has consumed the first half of the events when the forecasts of the second half are written."""
+    """Running streams that have consumed the first half of the events when the forecasts of the second half are written.
+
+    One scores slots as they close, the other keeps three scores of each element as its state.
+    """
     root, middle = work_dir(spark, "rolling"), F.lit("2024-01-16").cast("timestamp_ntz")
     events, forecasts = fx.events(spark, sf), stored_forecasts(spark, sf)
     halves = (events.where(F.col("ts") < middle), forecasts.where(F.col("recordTime") < middle)), (
         events.where(F.col("ts") >= middle), forecasts.where(F.col("recordTime") >= middle))
-    query_ = None
+    running = []
     try:
         for e, f in halves:
             append_by_day(f, f"{root}/forecast", "recordTime")
             e.write.mode("append").parquet(f"{root}/source")
-            if query_ is None:
+            if not running:
                 stream = as_readings(stream_source(spark, f"{root}/source", events.schema))
-                query_ = jobs.score_closed_slots(stream, f"{root}/forecast", root, fx.kpi_rules(spark), fx.weights(spark), fx.STEP).start()
-            query_.processAllAvailable()
+                running.append(jobs.score_closed_slots(
+                    stream, f"{root}/forecast", root, fx.kpi_rules(spark), fx.weights(spark), fx.STEP).start())
+                running.append(
+                    jobs.rolling_windows(spark, root, fx.STEP).writeStream.format("parquet").option("path", f"{root}/windows")
+                    .option("checkpointLocation", f"{root}/window-state").start())
+            for job in running:
+                job.processAllAvailable()
     finally:
-        if query_ is not None:
-            query_.stop()
-    return open_table(spark, f"{root}/windows").drop("_id", "hour")
+        for job in running:
+            job.stop()
+    return spark.read.parquet(f"{root}/windows")
+
+
+@register("stream_late_corrections", query(_WINDOWS))
+def stream_late_corrections(spark, sf):
+    """Error events come after the stream has passed the month; their slots are scored again, and the windows are those of all events."""
+    root = work_dir(spark, "corrections")
+    events = fx.events(spark, sf)
+    append_by_day(stored_forecasts(spark, sf), f"{root}/forecast", "recordTime")
+    for late in (False, True):
+        events.where((F.col("event_type") == "error") == late).write.mode("append").parquet(f"{root}/source")
+        stream = as_readings(stream_source(spark, f"{root}/source", events.schema))
+        job = jobs.score_with_corrections(stream, f"{root}/forecast", root, fx.kpi_rules(spark), fx.weights(spark), fx.STEP, by="day")
+        job.trigger(availableNow=True).start().awaitTermination()
+    return open_table(spark, f"{root}/windows").drop("_id", "day")

@@ -8,23 +8,29 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
+from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
+from bandwatch.functions.times import epoch, from_epoch, slot_of
 from bandwatch.functions.values import level_of
 from bandwatch.operators.bands import reband
 from bandwatch.operators.cleaning import cap_percentages, latest_forecast, valid_readings
 from bandwatch.operators.scoring import deviation_score, element_scores, forecast_actual_join, kpi_scores, weighted_scores
 from bandwatch.operators.windows import flags, window_score
 from bandwatch.schemas import ELEMENT_DIMS, ELEMENT_WINDOW, WINDOW_KEY
-from bandwatch.sinks.tables import hour, upsert
+from bandwatch.session import work_dir
+from bandwatch.sinks.log import TableLog
+from bandwatch.sinks.tables import merge_into, open_table, upsert
 
 LATENESS = "25 minutes"
+ELEMENT_SCORE = T.StructType([f for f in ELEMENT_WINDOW if f.name in ("minId", *ELEMENT_DIMS, "abnScore")])
 CELL_DIMS = ["resId", "nodeCode", "deviceSet", "itemPara", "kpiId", "resourceType", "vender"]
 
 
@@ -150,43 +156,172 @@ def drain(spark: SparkSession, stream: DataFrame, path: str, checkpoint: str) ->
     return spark.read.schema(stream.schema).parquet(path), late.rows
 
 
+def closed_scores(cells: DataFrame, forecasts: DataFrame, kpi_rules: DataFrame, weights: DataFrame) -> DataFrame:
+    """Element scores of cells (with their slot as ``minId``) against stored forecasts of the same slots."""
+    of_slots = forecasts.join(cells.select(F.col("minId").alias("recordTime")).distinct(), "recordTime", "left_semi")
+    banded = reband(latest_forecast(of_slots), kpi_rules)
+    actual = cap_percentages(valid_readings(cells), kpi_rules).withColumn("recordTime", F.col("minId"))
+    joined = forecast_actual_join(cap_percentages(banded, kpi_rules, "forecastValue"), actual)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    elements = element_scores(weighted_scores(kpi_scores(joined, kpi_rules, now), weights), now)
+    return elements.select(*[F.col(f.name).cast(f.dataType) for f in ELEMENT_SCORE])
+
+
 def score_closed_slots(readings: DataFrame, forecast_path: str, root: str, kpi_rules: DataFrame, weights: DataFrame,
                        step: int = 300, lateness: str = LATENESS):
-    """A stream writer that scores slots as they close, against forecasts stored by then.
+    """A stream writer that scores the elements of slots as they close, against forecasts stored by then.
 
-    Each batch reads the day partitions of exactly its slots from the forecast table, so
-    forecasts written after the start are seen and the table may grow for ever. Element
-    scores and windows are kept by hour below ``root``; a batch's windows, and those of
-    the two slots after it, are formed from the stored scores. Keyed writes make a
-    repeated batch harmless. Start it with a trigger and a checkpoint.
+    Each batch reads the day partitions of exactly its slots from the forecast table, so forecasts written after the
+    start are seen and the table may grow for ever. A batch's scores appear below ``root`` as one folder, at once and
+    one time only, however often the batch is repeated; ``rolling_windows`` goes on from there. Start it with a trigger.
     """
     cells = slot_stream(readings, step, lateness).select(slot_time().alias("minId"), *CELL_DIMS, "kpiValue")
-    dims = T.StructType([f for f in ELEMENT_WINDOW if f.name in ("minId", *ELEMENT_DIMS, "abnScore")])
+    _folder(readings.sparkSession, f"{root}/elements")
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
+        files, done = _folder(spark, f"{root}/elements"), spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/elements/b{number:012d}")
+        if files.exists(done):
+            return
         held = batch.persist()
         try:
-            days = [r.day for r in held.select(F.to_date("minId").alias("day")).distinct().collect()]
+            days = [str(r.day) for r in held.select(F.to_date("minId").alias("day")).distinct().collect()]
             if not days:
                 return
-            banded = reband(latest_forecast(spark.read.parquet(forecast_path).where(F.col("dt").isin(days)).drop("dt").join(
-                held.select(F.col("minId").alias("recordTime")).distinct(), "recordTime", "left_semi")), kpi_rules)
-            actual = cap_percentages(valid_readings(held), kpi_rules).withColumn("recordTime", F.col("minId"))
-            joined = forecast_actual_join(cap_percentages(banded, kpi_rules, "forecastValue"), actual)
-            now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-            elements = element_scores(weighted_scores(kpi_scores(joined, kpi_rules, now), weights), now)
-            scored = upsert(elements.select(*[F.col(f.name).cast(f.dataType) for f in dims]), f"{root}/elements", WINDOW_KEY,
-                            hour("minId"), (), "hour")
-            low, high = held.agg(F.min("minId"), F.max("minId")).first()
+            draft = work_dir(spark, "elements")
+            forecasts = open_table(spark, forecast_path, days).drop("dt")
+            closed_scores(held, forecasts, kpi_rules, weights).hint("rebalance").write.parquet(draft)
         finally:
             held.unpersist()
-        first, last = low - dt.timedelta(seconds=2 * step), high + dt.timedelta(seconds=2 * step)
-        time = F.col("minId")
-        near = scored.where((F.col("hour") >= first.strftime("%Y%m%d%H")) & (F.col("hour") <= last.strftime("%Y%m%d%H"))).where(
-            time.between(F.lit(first).cast("timestamp_ntz"), F.lit(last).cast("timestamp_ntz")))
-        windows = window_score(near.select(*dims.names), step).where(time >= F.lit(low).cast("timestamp_ntz"))
-        flagged = windows.withColumns({"abnLevel": level_of(F.col("abnScore")), **flags(F.col("windowScore"))})
-        upsert(flagged, f"{root}/windows", WINDOW_KEY, hour("minId"), (), "hour")
+        files.rename(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(draft), done)
 
     return cells.writeStream.foreachBatch(write).outputMode("append").option("checkpointLocation", f"{root}/state")
+
+
+def _folder(spark: SparkSession, path: str):
+    """The file system of a folder, which is made where it is missing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(where)
+    return files
+
+
+class RollingSum(StatefulProcessor):
+    """Sum over an element's last three slots. State: its scores in them, gone once the watermark has left them behind."""
+
+    def __init__(self, step: int):
+        self.step = step
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.recent = handle.getListState("recent", "at long, score double")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
+        held = sorted(tuple(x) for x in self.recent.get())
+        for at, score in sorted(((r.at, r.abnScore) for r in rows), key=lambda x: x[0]):
+            if held and at <= held[-1][0]:
+                continue  # a slot is scored once
+            held = [x for x in held if x[0] > at - 3 * self.step] + [(at, score)]
+            known = [s for _, s in held if s is not None]
+            yield Row(*key, at=at, abnScore=score, windowScore=sum(known) if known else None)
+        self.recent.put(held)
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        self.handle.registerTimer(1000 * (held[-1][0] + 3 * self.step))
+
+    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
+        self.recent.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def rolling_windows(spark: SparkSession, root: str, step: int = 300) -> DataFrame:
+    """Streaming windows over the scores that ``score_closed_slots`` delivers: one row per element and closed slot.
+
+    Slots are delivered in order, and the state holds three scores of each element that has reported within three slots.
+    """
+    _folder(spark, f"{root}/elements")
+    scores = spark.readStream.schema(ELEMENT_SCORE).option("recursiveFileLookup", "true").parquet(f"{root}/elements")
+    keyed = scores.select(
+        *ELEMENT_DIMS, epoch(F.col("minId")).alias("at"), F.col("abnScore").cast("double").alias("abnScore"),
+        F.col("minId").cast("timestamp").alias("ts")).withWatermark("ts", seconds(step))
+    dims = ", ".join(f"{c} string" for c in ELEMENT_DIMS)
+    summed = keyed.groupBy(*ELEMENT_DIMS).transformWithState(
+        RollingSum(step), f"{dims}, at long, abnScore double, windowScore double", "append", "eventTime")
+    return summed.select(
+        from_epoch(F.col("at")).alias("minId"), *ELEMENT_DIMS, "windowScore", "abnScore", level_of(F.col("abnScore")).alias("abnLevel"),
+        *[c.alias(n) for n, c in flags(F.col("windowScore")).items()])
+
+
+# partitions of the kept tables: by hour for runs of every few minutes, by day for coarse slots
+PARTS = {"hour": ("yyyyMMddHH", "%Y%m%d%H"), "day": ("yyyyMMdd", "%Y%m%d")}
+
+
+def _parts(slots: Iterable[int], by: str) -> set[str]:
+    return {dt.datetime.fromtimestamp(s, dt.timezone.utc).strftime(PARTS[by][1]) for s in slots}
+
+
+def _slot_table(spark: SparkSession, slots: Iterable[int]) -> DataFrame:
+    times = [dt.datetime.fromtimestamp(s, dt.timezone.utc).replace(tzinfo=None) for s in sorted(slots)]
+    return spark.createDataFrame(pa.table({"minId": pa.array(times, pa.timestamp("us"))}))
+
+
+def score_with_corrections(readings: DataFrame, forecast_path: str, root: str, kpi_rules: DataFrame, weights: DataFrame,
+                           step: int = 300, lateness: int = 1500, by: str = "hour"):
+    """A stream writer that scores slots as they close and scores a slot again when a reading comes too late for it.
+
+    A slot closes once a reading ``lateness`` seconds past its end has come in an earlier batch. Below ``root``:
+    ``cells``, the largest value of each series and slot, late ones included; ``quarantine``, the late readings as
+    they came, a folder for each batch with any; ``elements`` and ``windows``, all kept ``by`` hour or day. Late readings put their
+    slots and the two windows after each back to work, so in the end the tables are those of a batch run over all
+    readings. What each batch saw as the newest reading is part of the cells' log entry, so a repeated batch closes the
+    same slots. Of the tables only these slots' partitions are read; slots, not rows, reach the driver.
+    """
+    keys = ["minId", "resId", "itemPara", "kpiId"]
+    part = F.date_format("minId", PARTS[by][0])
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        held = batch.withColumn("minId", slot_of(F.col("ts").cast("timestamp_ntz"), step)).persist()
+        try:
+            start = epoch(F.col("minId"))
+            low, high = held.agg(F.min(start), F.max(F.unix_seconds("ts"))).first()
+            if low is None:
+                return
+            log = TableLog(spark, f"{root}/cells")
+            mark = log.snapshot().marks.get("readings")
+            if mark is None:
+                before = None
+            else:
+                before = mark["notes"]["before" if mark["number"] == number else "after"]
+            after = high if before is None else max(before, high)
+            late_before = -(2**62) if before is None else before - lateness  # slots that end by then were closed
+            late = held.where(start + step <= late_before)
+            again = {r.at for r in late.select(start.alias("at")).distinct().collect()}
+            if again:
+                late.drop("minId").write.mode("overwrite").parquet(f"{root}/quarantine/b{number:012d}")
+            cells = held.groupBy("minId", *CELL_DIMS).agg(F.max("kpiValue").alias("kpiValue"))
+            state, layout = merge_into(cells, f"{root}/cells", keys, part, [F.col("kpiValue")], by,
+                                       writer="readings", number=number, notes={"before": before, "after": after})
+        finally:
+            held.unpersist()
+        # the slots whose end the watermark passes with this batch, from the first one there is
+        closed = after - lateness
+        first = low if before is None else (late_before - step) // step * step + step
+        todo = again | set(range(first, closed - step + 1, step))
+        if not todo:
+            return
+        scored = log.read(layout, state, _parts(todo, by)).join(_slot_table(spark, todo), "minId", "left_semi")
+        days = {f"{d[:4]}-{d[4:6]}-{d[6:]}" for d in _parts(todo, "day")}
+        elements = closed_scores(scored, open_table(spark, forecast_path, days).drop("dt"), kpi_rules, weights)
+        state, layout = merge_into(elements, f"{root}/elements", WINDOW_KEY, part, (), by)
+        windows = {s + k * step for s in todo for k in range(3) if s + (k + 1) * step <= closed}
+        near = TableLog(spark, f"{root}/elements").read(layout, state, _parts((w - k * step for w in windows for k in range(3)), by))
+        summed = window_score(near.select(*ELEMENT_SCORE.names), step).join(_slot_table(spark, windows), "minId", "left_semi")
+        flagged = summed.withColumns({"abnLevel": level_of(F.col("abnScore")), **flags(F.col("windowScore"))})
+        merge_into(flagged, f"{root}/windows", WINDOW_KEY, part, (), by)
+
+    return readings.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/state")
+
