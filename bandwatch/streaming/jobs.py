@@ -8,15 +8,15 @@ from __future__ import annotations
 
 import datetime as dt
 import threading
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
-from pyspark.sql.streaming.stateful_processor import ExpiredTimerInfo, TimerValues
 
 from bandwatch.functions.times import epoch, from_epoch, slot_of
 from bandwatch.functions.values import level_of
@@ -28,6 +28,10 @@ from bandwatch.schemas import ELEMENT_DIMS, ELEMENT_WINDOW, WINDOW_KEY
 from bandwatch.session import work_dir
 from bandwatch.sinks.log import TableLog
 from bandwatch.sinks.tables import merge_into, open_table, upsert
+from bandwatch.streaming import state as window_state
+
+# the processor travels with its module, so executors need no installed copy
+cloudpickle.register_pickle_by_value(window_state)
 
 LATENESS = "25 minutes"
 ELEMENT_SCORE = T.StructType([f for f in ELEMENT_WINDOW if f.name in ("minId", *ELEMENT_DIMS, "abnScore")])
@@ -206,37 +210,6 @@ def _folder(spark: SparkSession, path: str):
     return files
 
 
-class RollingSum(StatefulProcessor):
-    """Sum over an element's last three slots. State: its scores in them, gone once the watermark has left them behind."""
-
-    def __init__(self, step: int):
-        self.step = step
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.recent = handle.getListState("recent", "at long, score double")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
-        held = sorted(tuple(x) for x in self.recent.get())
-        for at, score in sorted(((r.at, r.abnScore) for r in rows), key=lambda x: x[0]):
-            if held and at <= held[-1][0]:
-                continue  # a slot is scored once
-            held = [x for x in held if x[0] > at - 3 * self.step] + [(at, score)]
-            known = [s for _, s in held if s is not None]
-            yield Row(*key, at=at, abnScore=score, windowScore=sum(known) if known else None)
-        self.recent.put(held)
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(1000 * (held[-1][0] + 3 * self.step))
-
-    def handleExpiredTimer(self, key: tuple, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
-        self.recent.clear()
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
-
 def rolling_windows(spark: SparkSession, root: str, step: int = 300) -> DataFrame:
     """Streaming windows over the scores that ``score_closed_slots`` delivers: one row per element and closed slot.
 
@@ -249,7 +222,7 @@ def rolling_windows(spark: SparkSession, root: str, step: int = 300) -> DataFram
         F.col("minId").cast("timestamp").alias("ts")).withWatermark("ts", seconds(step))
     dims = ", ".join(f"{c} string" for c in ELEMENT_DIMS)
     summed = keyed.groupBy(*ELEMENT_DIMS).transformWithState(
-        RollingSum(step), f"{dims}, at long, abnScore double, windowScore double", "append", "eventTime")
+        window_state.RollingSum(step, ELEMENT_DIMS), f"{dims}, at long, abnScore double, windowScore double", "append", "eventTime")
     return summed.select(
         from_epoch(F.col("at")).alias("minId"), *ELEMENT_DIMS, "windowScore", "abnScore", level_of(F.col("abnScore")).alias("abnLevel"),
         *[c.alias(n) for n, c in flags(F.col("windowScore")).items()])

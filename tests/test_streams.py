@@ -60,3 +60,52 @@ def test_repeated_batches_leave_one_row_per_key(spark):
     for number in (0, 0, 1):
         write(batch, number)
     assert open_table(spark, f"{root}/t").count() == 2
+
+
+def test_late_readings_are_set_aside_and_scored(spark):
+    """Three arrivals: two slots' worth, a reading hours later, then one for the closed first slots."""
+    root = work_dir(spark, "l")
+    kpi_rules, weights = rules.kpi_rules(spark), rules.kpi_weights(spark)
+    grid = [(r, KPI, s, 95.0) for r in ("a", "b") for s in range(8)]
+    stored = forecasts(spark, [*grid, ("a", KPI, 60, 95.0)]).withColumn("dt", F.to_date("recordTime"))
+    stored.write.partitionBy("dt").parquet(f"{root}/forecast")
+    arrivals = [[("a", KPI, s, 40.0) for s in range(6)] + [("b", KPI, 3, 90.0)], [("a", KPI, 60, 95.0)], [("b", KPI, 2, 20.0), ("b", KPI, 3, 30.0)]]
+    for rows_ in arrivals:
+        actual(spark, rows_).withColumn("ts", F.col("recordTime").cast("timestamp")).write.mode("append").parquet(f"{root}/in")
+        job = jobs.score_with_corrections(source(spark, f"{root}/in"), f"{root}/forecast", root, kpi_rules, weights)
+        job.trigger(availableNow=True).start().awaitTermination()
+    late = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/quarantine")
+    assert rows(late, "resId", "kpiValue") == [("b", 20.0), ("b", 30.0)]
+    best = actual(spark, [r for a in arrivals for r in a if r[2] < 60 and r != ("b", KPI, 3, 30.0)])
+    _, window = score(best, forecasts(spark, grid), kpi_rules, weights, RUN)
+    columns = ["minId", "resId", "windowScore", "abnScore", "isWindowAlarm"]
+    got = open_table(spark, f"{root}/windows")
+    assert rows(got, *columns) == rows(window.withColumn("windowScore", F.col("windowScore").cast("long")), *columns)
+
+
+def test_window_state_gives_one_row_per_slot_and_forgets(spark):
+    root = work_dir(spark, "w")
+    layout = jobs.ELEMENT_SCORE
+
+    def deliver(number, rows_):
+        acts = actual(spark, [(r, KPI, s, v) for r, s, v in rows_])
+        acts.select("minId", "nodeCode", "resId", "resourceType", "vender", F.col("kpiValue").alias("abnScore")).select(
+            *[F.col(f.name).cast(f.dataType) for f in layout]).write.parquet(f"{root}/elements/b{number}")
+
+    def go():
+        job = jobs.rolling_windows(spark, root).writeStream.format("parquet").option("path", f"{root}/out").option(
+            "checkpointLocation", f"{root}/state").trigger(availableNow=True).start()
+        job.awaitTermination()
+        return job.recentProgress
+
+    deliver(0, [("a", s, 40.0) for s in range(4)] + [("b", 0, 10.0), ("b", 3, 10.0), ("c", 0, None)])
+    go()
+    deliver(1, [("a", 4, 50.0), ("a", 3, 99.0), ("d", 100, 1.0)])
+    go()
+    deliver(2, [("d", 101, 1.0)])
+    held = [p.stateOperators[0].numRowsTotal for p in go() if p.stateOperators]
+    out = {(r.resId, r.minId): r.windowScore for r in spark.read.parquet(f"{root}/out").collect()}
+    sums = [v for (r, _), v in sorted(out.items(), key=lambda x: x[0][1]) if r == "a"]
+    assert sums == [40.0, 80.0, 120.0, 120.0, 130.0]
+    assert sorted(v for (r, _), v in out.items() if r == "b") == [10.0, 10.0] and [v for (r, _), v in out.items() if r == "c"] == [None]
+    assert len(out) == 10 and held[-1] <= 4  # only the element that still reports, and its timer
