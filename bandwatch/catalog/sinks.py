@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from bandwatch import fixtures as fx
@@ -10,7 +11,10 @@ from bandwatch.catalog.base import register
 from bandwatch.catalog.sql import query, text
 from bandwatch.schemas import KPI_SCORE_KEY
 from bandwatch.session import work_dir
+from bandwatch.sources.readings import rename_raw
 from bandwatch.sinks import tables
+from bandwatch.sinks.audit import differences
+from bandwatch.sinks.history import HistoryStore
 
 
 @register("forecast_day_sink", query("""SELECT CAST(CAST(recordTime AS DATE) AS VARCHAR) AS dt, count(*) AS n,
@@ -125,3 +129,40 @@ def recovered_upsert_sink(spark, sf):
 
     tables.upsert(fixed, path, KPI_SCORE_KEY, day, step=meanwhile)
     return tables.open_table(spark, path).drop("part")
+
+
+_CHANGED = "kpiId = 'click' AND hour(minId) = 5 AND CAST(minId AS DATE) = DATE '2024-01-09'"
+_SWAPPED = "kpiId = 'error' AND hour(minId) = 7 AND CAST(minId AS DATE) = DATE '2024-01-20'"
+
+
+@register("write_fingerprint_audit", query(f"""SELECT CAST(CAST(minId AS DATE) AS VARCHAR) AS "day", {text('minId')} AS "minId", resId, kpiId,
+    'changed' AS kind FROM actual WHERE {_CHANGED}
+    UNION ALL SELECT CAST(CAST(minId AS DATE) AS VARCHAR), {text('minId')}, resId, kpiId, 'missing' FROM actual WHERE {_SWAPPED}
+    UNION ALL SELECT CAST(CAST(minId AS DATE) AS VARCHAR), {text('minId')}, resId || '-x', kpiId, 'extra' FROM actual WHERE {_SWAPPED}"""))
+def write_fingerprint_audit(spark, sf):
+    """A stored copy with as many rows as were offered, of which some have another value and some another element."""
+    cells = fx.actual(spark, sf).select("minId", "resId", "kpiId", "kpiValue").withColumn("day", F.to_date("minId"))
+    spoilt = cells.withColumn("kpiValue", F.when(F.expr(_CHANGED), F.col("kpiValue") + 1).otherwise(F.col("kpiValue"))).withColumn(
+        "resId", F.when(F.expr(_SWAPPED), F.concat("resId", F.lit("-x"))).otherwise(F.col("resId")))
+    offered, _ = tables.audited_write(cells, work_dir(spark, "offered"), "offered")
+    stored, _ = tables.audited_write(spoilt, work_dir(spark, "stored"), "stored")
+    return differences(offered, stored, ["minId", "resId", "kpiId"], ["day"])
+
+
+@register("history_versions", query(f"""SELECT resId, kpiId, {text('recordTime')} AS recordTime, kpiValue, 2 AS version FROM (
+      SELECT *, row_number() OVER (PARTITION BY resId ORDER BY recordTime DESC, kpiId DESC) AS back FROM cells) WHERE back > 3"""))
+def history_versions(spark, sf):
+    """Histories with text times whose tails are unreadable: version 3 is damaged, version 4 never completed; version 2 is read."""
+    store = HistoryStore(spark, work_dir(spark, "history"))
+    rows = rename_raw(fx.raw_cells(fx.events(spark, sf))).select("resId", "kpiId", "recordTime", "kpiValue")
+    place = Window.partitionBy("resId").orderBy("recordTime", "kpiId")
+    back = Window.partitionBy("resId").orderBy(F.desc("recordTime"), F.desc("kpiId"))
+    texts = rows.withColumns({"position": F.row_number().over(place), "back": F.row_number().over(back)}).select(
+        "resId", "kpiId", F.when(F.col("back") <= 3, "cut o").otherwise(F.date_format("recordTime", "yyyy-MM-dd HH:mm:ss")).alias("recordTime"),
+        "kpiValue", "position")
+    for factor in (0.0, 1.0, 2.0):
+        store.write(texts.withColumn("kpiValue", F.col("kpiValue") * factor))
+    texts.limit(5).write.mode("overwrite").parquet(store.path(3))
+    texts.limit(7).write.parquet(store.path(4))
+    version, history = store.read()
+    return history.select("resId", "kpiId", "recordTime", "kpiValue", F.lit(version).alias("version"))
