@@ -172,3 +172,20 @@ def test_values_without_a_fraction_keep_their_size(spark):
     got = [r.r for r in df.select(round2(F.col("v")).alias("r")).collect()]
     assert got == [2e17, -3e18, 1e17 + 64, 1.0, -2.5, None] or got == [2e17, -3e18, 1e17 + 64, 1.01, -2.5, None]
     assert df.select(decimal2(F.col("v")).cast("double")).first()[0] == 2e17
+
+
+def test_files_are_chosen_by_what_they_hold(spark):
+    from bandwatch.sources.filestats import add_stats, files_with_news, rows_after_by_files
+
+    root = work_dir(spark, "f")
+    for day, elements in ((0, "ab"), (1, "ab"), (2, "abc"), (3, "b")):
+        table = tables.append_by_day(actual(spark, [(e, "k", 288 * day + s, 1.0) for e in elements for s in (1, 2)]), f"{root}/t", "recordTime")
+        stats = add_stats(table, f"{root}/stats")
+    assert stats.select("file").distinct().count() == len(table.inputFiles()) == 4
+    assert add_stats(table, f"{root}/stats").count() == stats.count()
+    seen = spark.createDataFrame([("a", at(288 + 1)), ("b", at(288 * 5)), ("c", at(288 * 2 + 2))], "resId string, lastTime timestamp_ntz")
+    got, opened = rows_after_by_files(table, stats, seen)
+    assert {(r.resId, r.recordTime) for r in got.collect()} == {("a", at(288 + 2)), ("a", at(288 * 2 + 1)), ("a", at(288 * 2 + 2))} and opened == 2
+    assert len(files_with_news(stats, seen.where("resId <> 'c'"))) == 2 and len(files_with_news(stats, seen.where("resId = 'a'"))) == 4
+    none, opened = rows_after_by_files(table, stats, seen.withColumn("lastTime", F.lit(at(9999)).cast("timestamp_ntz")))
+    assert (none.count(), opened) == (0, 0)
