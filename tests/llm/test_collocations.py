@@ -75,3 +75,18 @@ def test_products_past_64_bits(spark):
     totals = spark.createDataFrame([("en", n)], "lang string, n long")
     row = scored(counts, totals).collect()[0]
     assert (row.l, row.r, row.score) == (l, r, 1000 * a * n // (l * r))
+
+
+def test_lots_keep_groups_apart_and_everything(monkeypatch):
+    import pyarrow as pa
+
+    import bandwatch.llm.collocations as c
+
+    monkeypatch.setattr(c, "BUFFER", 10)
+    rows = [("en" if i % 3 else "de", bytes([i]) * (i % 7)) for i in range(60)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows[i:i + 13]]), pa.array([b for _, b in rows[i:i + 13]], pa.binary())],
+                                          ["lang", "h"]) for i in range(0, 60, 13)]
+    lots = list(c._in_buffers(iter(batches), 1))
+    assert len(lots) > 4
+    for lang in ("en", "de"):
+        assert [b for (x,), some in lots if x == lang for b in some] == [b for x, b in rows if x == lang]
