@@ -11,6 +11,7 @@ from bandwatch.catalog.base import register, rounded
 from bandwatch.catalog.sql import level, query, r2, r6, text
 from bandwatch.functions.values import decimal2
 from bandwatch.operators import bands, scoring, windows
+from bandwatch.operators.skew import merge_bins
 from bandwatch.plans import scoring as plan
 from bandwatch.schemas import ELEMENT_DIMS
 from bandwatch.session import work_dir
@@ -88,6 +89,18 @@ def reband_forecast(spark, sf):
     return plan.rebanded(stored_forecasts(spark, sf), fx.kpi_rules(spark))
 
 
+@register("reband_stored_bins", query(f"""SELECT resId, itemPara, {text('recordTime')} AS recordTime, kpiId,
+    forecastValue, forecastValueUpper, forecastValueLower, abnormal FROM rebanded"""))
+def reband_stored_bins(spark, sf):
+    """Forecasts that came in three batches, each stored with its sketch; bands from the sketches added up."""
+    rules, rows = fx.kpi_rules(spark), stored_forecasts(spark, sf)
+    batch = F.pmod(F.xxhash64("resId"), F.lit(3))
+    sketches = [plan.stage(bands.forecast_bins(rows.where(batch == k), rules), "bins") for k in range(3)]
+    bins = plan.stage(merge_bins(*sketches, keys=bands.SLOT_KPI), "bins")
+    return plan.rebanded(rows, rules, bins).select(
+        "resId", "itemPara", "recordTime", "kpiId", "forecastValue", "forecastValueUpper", "forecastValueLower", "abnormal")
+
+
 @register("forecast_actual_join", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, itemPara, kpiId, kpiValue,
     forecastValue, forecastValueUpper, forecastValueLower FROM joined"""))
 def forecast_actual_join(spark, sf):

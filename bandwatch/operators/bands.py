@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwatch.functions.values import clamp, is_number, round2
-from bandwatch.operators.skew import group_median
+from bandwatch.operators.skew import middle_bins, ranked_values, value_bin, value_bins
 
 SLOT_KPI = ["recordTime", "kpiId"]
 CENTRE_FIELDS = ["medGt", "medLe", "medLt"]
@@ -35,57 +35,104 @@ def forecast_bands(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
     return clamp_bounds(banded)
 
 
-def _with_centre_input(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
+ABNORMAL = (
+    "abs(forecastValue - center) / (center + eps) > thr"
+    " and if(side = 'below', forecastValue < center, forecastValue > center)"
+)
+
+
+def _banded_rows(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
+    """Forecasts of KPIs with a band, each marked whether it counts for its centre."""
     typical = F.expr(
-        "if(coalesce(forecastValue > medGt, true) and coalesce(forecastValue <= medLe, true)"
-        " and coalesce(forecastValue < medLt, true), forecastValue, null)"
+        "coalesce(forecastValue > medGt, true) and coalesce(forecastValue <= medLe, true)"
+        " and coalesce(forecastValue < medLt, true)"
     )
     rules = kpi_rules.where(F.col("bandRule").isNotNull()).select("kpiId", *CENTRE_FIELDS)
     return (
         forecast.where(is_number(F.col("forecastValue")))
         .join(rules, "kpiId")
-        .withColumn("_typical", typical)
-        .drop(*CENTRE_FIELDS)
+        .select(*SLOT_KPI, F.col("forecastValue").cast("double").alias("v"), typical.alias("typical"))
     )
 
 
-def robust_center(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
-    """Median of the typical forecasts of each slot and KPI over all elements, or the rule's default."""
-    rows = _with_centre_input(forecast, kpi_rules)
-    defaults = kpi_rules.select("kpiId", "medDefault")
-    return (
-        group_median(rows, SLOT_KPI, F.col("_typical"), "center")
-        .join(defaults, "kpiId")
-        .select(*SLOT_KPI, F.coalesce("center", "medDefault").alias("center"))
+def forecast_bins(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
+    """Sketch of the forecasts of each slot and KPI, counting the typical ones.
+
+    Stored next to a batch of forecasts and added up with ``skew.merge_bins``, it saves
+    re-banding a pass over all of them.
+    """
+    return value_bins(_banded_rows(forecast, kpi_rules), SLOT_KPI, F.col("v"), F.col("typical"))
+
+
+def centre_statistics(forecast: DataFrame, kpi_rules: DataFrame, bins: DataFrame | None = None) -> DataFrame:
+    """Per slot and KPI over all elements: the median of the typical forecasts, or the rule's default,
+    and the least and greatest forecast (``_min``, ``_max``) that is not abnormal against it.
+
+    The sketch gives the bins that hold the median; the limit of normal forecasts follows
+    from it and falls into a known range of bins too. One pass fetches the distinct values
+    of these bins, all other bins lie on one side of the limit and count with their ends.
+    ``bins``: the ``forecast_bins`` of exactly these forecasts.
+    """
+    bins = forecast_bins(forecast, kpi_rules) if bins is None else bins
+    limits = kpi_rules.where(F.col("bandRule").isNotNull()).select("kpiId", "side", "thr", "eps", "medDefault")
+    group = Window.partitionBy(*SLOT_KPI)
+    low, high = F.col("_low"), F.col("_high")
+    way = F.when(F.col("side") == "below", F.lit(-1.0)).otherwise(F.lit(1.0)) * F.col("thr")
+    edges = [c + way * (c + F.col("eps")) for c in (low, high)]
+    slack = F.lit(1e-9) * (1 + F.col("thr")) * (F.abs(low) + F.abs(high) + F.col("eps"))
+    near = F.col("bin").between(value_bin(F.least(*edges) - slack) - 1, value_bin(F.greatest(*edges) + slack) + 1)
+    marked = (
+        middle_bins(bins, SLOT_KPI)
+        .join(limits, "kpiId")
+        .withColumns({"_low": F.coalesce(F.min(F.when(F.col("middle"), F.col("low"))).over(group), F.col("medDefault")),
+                      "_high": F.coalesce(F.max(F.when(F.col("middle"), F.col("high"))).over(group), F.col("medDefault"))})
+        .withColumn("watched", F.col("middle") | near)
+    )
+    place = [*SLOT_KPI, "bin", "before", "rank1", "rank2", "middle"]
+    values = (
+        _banded_rows(forecast, kpi_rules)
+        .withColumn("bin", value_bin(F.col("v")))
+        .join(marked.where("watched").select(*place), [*SLOT_KPI, "bin"])
+        .groupBy(*place, "v").agg(F.count_if("typical").alias("n"))
     )
+    rest = marked.where(~F.col("watched")).select(
+        *place, F.explode(F.array("low", "high")).alias("v"), F.lit(0).cast("long").alias("n"))
+    median = F.lit(0.5) * F.max("first").over(group) + F.lit(0.5) * F.max("second").over(group)
+    judged = (
+        ranked_values(values.unionByName(rest), SLOT_KPI)
+        .withColumn("_median", median)
+        .join(limits, "kpiId")
+        .withColumns({"center": F.coalesce("_median", "medDefault"), "forecastValue": F.col("v")})
+        .withColumn("normal", ~F.expr(ABNORMAL))
+    )
+    return judged.groupBy(*SLOT_KPI).agg(
+        F.max("center").alias("center"),
+        F.min(F.when(F.col("normal"), F.col("v"))).alias("_min"), F.max(F.when(F.col("normal"), F.col("v"))).alias("_max"))
 
 
-def reband(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
+def robust_center(forecast: DataFrame, kpi_rules: DataFrame, bins: DataFrame | None = None) -> DataFrame:
+    """Median of the typical forecasts of each slot and KPI over all elements, or the rule's default."""
+    return centre_statistics(forecast, kpi_rules, bins).select(*SLOT_KPI, "center")
+
+
+def reband(forecast: DataFrame, kpi_rules: DataFrame, bins: DataFrame | None = None) -> DataFrame:
     """Bands for scoring, each forecast judged against all elements in its slot and KPI.
 
     Rows far on the wrong side of the centre are abnormal and get the range of the
     normal ones. The statistics hold one row per slot and KPI: while they are small
     Spark broadcasts them and the forecasts stay where they are, beyond that the
-    joins shuffle and hot groups are split by the skew-join settings.
+    join shuffles and hot groups are split by the skew-join settings. With ``bins``
+    stored beside them, the forecasts are read twice: for the statistics and here.
     """
     f = F.col("forecastValue")
     thresholds = kpi_rules.where(F.col("bandRule").isNotNull()).select("kpiId", "side", "thr", "eps")
-    abnormal = F.expr(
-        "abs(forecastValue - center) / (center + eps) > thr"
-        " and if(side = 'below', forecastValue < center, forecastValue > center)"
-    )
     judged = (
         forecast.where(is_number(f))
-        .join(robust_center(forecast, kpi_rules), SLOT_KPI)
+        .join(centre_statistics(forecast, kpi_rules, bins), SLOT_KPI)
         .join(thresholds, "kpiId")
-        .withColumn("abnormal", abnormal)
+        .withColumn("abnormal", F.expr(ABNORMAL))
         .drop("side", "thr", "eps", "center")
     )
-    normal = (
-        judged.where(~F.col("abnormal"))
-        .groupBy(*SLOT_KPI)
-        .agg(F.min("forecastValue").alias("_min"), F.max("forecastValue").alias("_max"))
-    )
 
     bands = kpi_rules.select(
         "kpiId", "lowerFactor", "upperKind", "upperValue",
@@ -103,8 +150,7 @@ def reband(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
         " else 95.0D end"
     )
     return (
-        judged.join(normal, SLOT_KPI, "left")
-        .join(bands, "kpiId")
+        judged.join(bands, "kpiId")
         .select(
             "resId", "itemPara", "recordTime", "createTime", "kpiId",
             round2(f).alias("forecastValue"), round2(upper).alias("forecastValueUpper"),

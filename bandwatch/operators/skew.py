@@ -8,40 +8,88 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str, accuracy: int = 10_000) -> DataFrame:
-    """Exact median of ``value`` per group, null for groups without values.
+BINS = 200  # bins per factor e of a value: each is 0.5 % wide
+
+
+def value_bin(v: Column, accuracy: int = BINS) -> Column:
+    """Bin of a value on a logarithmic scale for both signs, 0 for zero; never falls as the value grows."""
+    size = F.floor(F.least(F.ln(F.abs(v)), F.lit(720.0)) * accuracy) + 1000 * accuracy
+    return F.when(v > 0, size).when(v < 0, -size).when(v == 0, F.lit(0))
 
-    The built-in median keeps every distinct value of a group. So a quantile sketch
-    first gives each group a narrow interval that must hold the median, and values
-    outside it are moved to its ends, which leaves the median as it is: the second
-    aggregate then keeps about ``4 / accuracy`` of a large group's distinct values.
-    Both aggregates combine before their shuffle. The intervals hold one row per
-    group and are joined by key: broadcast while small, else shuffled with hot
-    groups split by the skew-join settings. A rank check turns a wrong interval
-    into an error instead of a wrong median.
+
+def value_bins(df: DataFrame, keys: Sequence[str], value: Column, counted: Column | None = None,
+               accuracy: int = BINS) -> DataFrame:
+    """Sketch of the values of every group: a row per bin with ``n`` values, the least and the greatest of them.
+
+    Where ``counted`` is given, ``n`` counts only its rows. Counts are exact, so the bin
+    that holds a rank is known for certain. Sketches of batches add up: ``merge_bins``.
     """
-    keys = list(keys)
-    facts = df.select(*keys, value.alias("_v"))
-    margin = 2.0 / accuracy
-    interval = facts.groupBy(*keys).agg(
-        F.percentile_approx("_v", [0.5 - margin, 0.5 + margin], accuracy).alias("_in")
-    )
-    low, high = F.get("_in", F.lit(0)), F.get("_in", F.lit(1))
     v = F.col("_v")
-    moved = F.when(v < low, low).when(v > high, high).otherwise(v)
-    half = F.floor((F.count(v) - 1) / 2)
-    outside = F.greatest(F.count_if(v < low), F.count_if(v > high))
+    hit = v.isNotNull() if counted is None else F.col("_counted")
+    extra = [] if counted is None else [counted.alias("_counted")]
+    return (
+        df.select(*keys, value.alias("_v"), *extra)
+        .groupBy(*keys, value_bin(v, accuracy).alias("bin"))
+        .agg(F.count_if(hit).alias("n"), F.min(v).alias("low"), F.max(v).alias("high"))
+    )
+
+
+def merge_bins(first: DataFrame, *others: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Sketch of all rows from the sketches of batches that share no row."""
+    for o in others:
+        first = first.unionByName(o)
+    return first.groupBy(*keys, "bin").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+
+
+def _holds(rank: str) -> Column:
+    return (F.col("n") > 0) & (F.col("before") < F.col(rank)) & (F.col("before") + F.col("n") >= F.col(rank))
+
+
+def middle_bins(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each bin with the number of values before it, its group's two middle ranks, and whether it holds one."""
+    group = Window.partitionBy(*keys)
+    total = F.sum("n").over(group)
     return (
-        facts.join(interval, keys)
-        .groupBy(*keys)
-        .agg(F.median(moved).alias("_median"), (outside <= half).alias("_inside"))
-        .select(
-            *keys,
-            F.when(F.col("_median").isNull() | F.col("_inside"), F.col("_median"))
-            .otherwise(F.raise_error(F.lit("median interval too narrow: raise accuracy")).cast("double"))
-            .alias(name),
-        )
+        bins.withColumns({
+            "before": F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"),
+            "rank1": F.floor((total + 1) / 2), "rank2": F.floor(total / 2) + 1,
+        })
+        .withColumn("middle", _holds("rank1") | _holds("rank2"))
+    )
+
+
+def ranked_values(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct values ``v`` with their counts ``n``, and as ``first`` and ``second`` those that hold a middle rank."""
+    within = Window.partitionBy(*keys, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = values.withColumn("before", F.col("before") + F.sum("n").over(within) - F.col("n"))
+    held = {name: F.when(F.col("middle") & _holds(r), F.col("v")) for name, r in (("first", "rank1"), ("second", "rank2"))}
+    return ranked.withColumns(held)
+
+
+def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str, accuracy: int = BINS,
+                 bins: DataFrame | None = None) -> DataFrame:
+    """Exact median of ``value`` per group, null for groups without values.
+
+    The built-in median keeps every distinct value of a group in one task's memory. So a
+    sketch of exact counts per narrow bin (``bins``, or made here) says which bins hold the
+    two middle ranks, and a second pass sorts the distinct values of these bins only. Rows
+    are counted before each shuffle, the sorting spills, and there is no bracket that could
+    miss. Bins hold few rows per group and are joined by key: broadcast while small, else
+    shuffled with hot groups split by the skew-join settings. Two zeros of different sign are one value.
+    """
+    keys = list(keys)
+    facts = df.select(*keys, value.alias("v"))
+    bins = value_bins(facts, keys, F.col("v"), accuracy=accuracy) if bins is None else bins
+    marked = middle_bins(bins, keys)
+    watched = marked.where("middle").select(*keys, "bin", "before", "rank1", "rank2", "middle")
+    values = (
+        facts.withColumn("bin", value_bin(F.col("v"), accuracy))
+        .join(watched, [*keys, "bin"])
+        .groupBy(*keys, "bin", "before", "rank1", "rank2", "middle", "v").agg(F.count(F.lit(1)).alias("n"))
     )
+    empty = marked.where(F.col("rank1") == 0).select(*keys).distinct().withColumn(name, F.lit(None).cast("double"))
+    median = F.lit(0.5) * F.max("first") + F.lit(0.5) * F.max("second")
+    return ranked_values(values, keys).groupBy(*keys).agg(median.alias(name)).unionByName(empty)
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,

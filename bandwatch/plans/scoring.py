@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwatch.operators import scoring as sc
-from bandwatch.operators.bands import reband
+from bandwatch.operators.bands import forecast_bins, reband
 from bandwatch.operators.cleaning import cap_percentages, latest_forecast, valid_readings
 from bandwatch.operators.windows import window_alarm
 from bandwatch.session import work_dir
@@ -19,14 +19,15 @@ def clean_actuals(actual: DataFrame, kpi_rules: DataFrame) -> DataFrame:
     return cap_percentages(valid_readings(actual.distinct()), kpi_rules)
 
 
-def rebanded(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
-    return cap_percentages(reband(latest_forecast(forecast), kpi_rules), kpi_rules, "forecastValue")
+def rebanded(forecast: DataFrame, kpi_rules: DataFrame, bins: DataFrame | None = None) -> DataFrame:
+    """Bands of the newest forecasts; ``bins`` is their ``forecast_bins`` where it is stored."""
+    return cap_percentages(reband(latest_forecast(forecast), kpi_rules, bins), kpi_rules, "forecastValue")
 
 
 def kpi_score_table(actual: DataFrame, forecast: DataFrame, kpi_rules: DataFrame,
-                    run_time: dt.datetime) -> DataFrame:
+                    run_time: dt.datetime, bins: DataFrame | None = None) -> DataFrame:
     """Every reading with a forecast, scored."""
-    joined = sc.forecast_actual_join(rebanded(forecast, kpi_rules), clean_actuals(actual, kpi_rules))
+    joined = sc.forecast_actual_join(rebanded(forecast, kpi_rules, bins), clean_actuals(actual, kpi_rules))
     return sc.kpi_scores(joined, kpi_rules, run_time)
 
 
@@ -49,12 +50,14 @@ def score(
     """KPI result table and element window table.
 
     ``staged`` (left out only for small tables) writes the newest forecasts and the KPI results to the shared folder
-    first: re-banding passes over the forecasts four times, and both results build
-    on the KPI table.
+    first: re-banding passes over the forecasts three times, and both results build
+    on the KPI table. The sketch of the forecasts is small and staged too.
     """
+    bins = None
     if staged:
         forecast = stage(latest_forecast(forecast), "forecasts")
-    kpis = kpi_score_table(actual, forecast, kpi_rules, run_time)
+        bins = stage(forecast_bins(forecast, kpi_rules), "bins")
+    kpis = kpi_score_table(actual, forecast, kpi_rules, run_time, bins)
     if staged:
         kpis = stage(kpis, "scores")
     elements = sc.element_scores(sc.weighted_scores(kpis, weights), run_time)

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from bandwatch.operators.skew import group_median, top_k_per_group
+from bandwatch.operators.skew import group_median, merge_bins, top_k_per_group, value_bin, value_bins
 
 
 @pytest.fixture(scope="module")
@@ -29,9 +29,28 @@ def test_median_is_exact(lopsided, accuracy):
     assert got == want
 
 
-def test_rows_stay_in_place_while_the_intervals_are_small(lopsided):
+def test_no_group_is_kept_whole(lopsided):
     plan = group_median(lopsided, ["g"], F.col("v"), "m")._jdf.queryExecution().executedPlan().toString()
-    assert "partial_percentile" in plan and "Limit" not in plan and "SinglePartition" not in plan
+    assert "percentile" not in plan and "median" not in plan and "raise_error" not in plan and "SinglePartition" not in plan
+
+
+def test_bins_keep_the_order(spark):
+    rng = np.random.default_rng(5)
+    values = np.unique(np.concatenate([rng.normal(0, 1, 500), rng.normal(0, 1e-200, 50), rng.normal(0, 1e200, 50),
+                                       [0.0, 5e-324, -5e-324, 1.7e308, -1.7e308, np.inf, -np.inf]]))
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", value_bin(F.col("v")).alias("b")).collect()
+    bins = [r.b for r in sorted(rows, key=lambda r: r.v)]
+    assert bins == sorted(bins) and None not in bins
+
+
+def test_sketches_of_batches_add_up(lopsided):
+    batch = F.pmod(F.xxhash64("v"), F.lit(3))
+    parts = [value_bins(lopsided.where(F.coalesce(batch, F.lit(0)) == k), ["g"], F.col("v")) for k in range(3)]
+    whole = value_bins(lopsided, ["g"], F.col("v"))
+    merged = merge_bins(*parts, keys=["g"])
+    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.collect()))
+    one, two = (sorted(map(str, group_median(lopsided, ["g"], F.col("v"), "m", bins=b).collect())) for b in (None, merged))
+    assert one == two
 
 
 def test_top_k(spark):
