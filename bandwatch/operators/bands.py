@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwatch.functions.values import clamp, is_number, round2
-from bandwatch.operators.skew import middle_bins, ranked_values, value_bin, value_bins
+from bandwatch.operators.skew import in_middle, middle_bins, ranked_values, value_bin, value_bins
 
 SLOT_KPI = ["recordTime", "kpiId"]
 CENTRE_FIELDS = ["medGt", "medLe", "medLt"]
@@ -35,10 +35,11 @@ def forecast_bands(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
     return clamp_bounds(banded)
 
 
-ABNORMAL = (
-    "abs(forecastValue - center) / (center + eps) > thr"
-    " and if(side = 'below', forecastValue < center, forecastValue > center)"
-)
+def is_abnormal(value: Column) -> Column:
+    """Far on the wrong side of the centre: relative distance beyond ``thr``."""
+    c, below = F.col("center"), F.col("side") == "below"
+    wrong = F.when(below, value < c).otherwise(value > c)
+    return (F.abs(value - c) / (c + F.col("eps")) > F.col("thr")) & wrong
 
 
 def _banded_rows(forecast: DataFrame, kpi_rules: DataFrame) -> DataFrame:
@@ -75,39 +76,34 @@ def centre_statistics(forecast: DataFrame, kpi_rules: DataFrame, bins: DataFrame
     """
     bins = forecast_bins(forecast, kpi_rules) if bins is None else bins
     limits = kpi_rules.where(F.col("bandRule").isNotNull()).select("kpiId", "side", "thr", "eps", "medDefault")
-    group = Window.partitionBy(*SLOT_KPI)
-    low, high = F.col("_low"), F.col("_high")
+    low, high = F.coalesce("low1", "medDefault"), F.coalesce("high2", "medDefault")
     way = F.when(F.col("side") == "below", F.lit(-1.0)).otherwise(F.lit(1.0)) * F.col("thr")
     edges = [c + way * (c + F.col("eps")) for c in (low, high)]
     slack = F.lit(1e-9) * (1 + F.col("thr")) * (F.abs(low) + F.abs(high) + F.col("eps"))
-    near = F.col("bin").between(value_bin(F.least(*edges) - slack) - 1, value_bin(F.greatest(*edges) + slack) + 1)
-    marked = (
+    ranges = (
         middle_bins(bins, SLOT_KPI)
         .join(limits, "kpiId")
-        .withColumns({"_low": F.coalesce(F.min(F.when(F.col("middle"), F.col("low"))).over(group), F.col("medDefault")),
-                      "_high": F.coalesce(F.max(F.when(F.col("middle"), F.col("high"))).over(group), F.col("medDefault"))})
-        .withColumn("watched", F.col("middle") | near)
+        .withColumns({"near1": value_bin(F.least(*edges) - slack) - 1, "near2": value_bin(F.greatest(*edges) + slack) + 1})
+        .drop("low1", "high2")
     )
-    place = [*SLOT_KPI, "bin", "before", "rank1", "rank2", "middle"]
+    # rows of other bins become one row on each side of the limit
+    middle = in_middle(F.col("bin"))
+    watched = middle | F.col("bin").between(F.col("near1"), F.col("near2"))
+    group = [c for c in ranges.columns if c not in ("bin1", "bin2", "near1", "near2")]
     values = (
         _banded_rows(forecast, kpi_rules)
         .withColumn("bin", value_bin(F.col("v")))
-        .join(marked.where("watched").select(*place), [*SLOT_KPI, "bin"])
-        .groupBy(*place, "v").agg(F.count_if("typical").alias("n"))
-    )
-    rest = marked.where(~F.col("watched")).select(
-        *place, F.explode(F.array("low", "high")).alias("v"), F.lit(0).cast("long").alias("n"))
-    median = F.lit(0.5) * F.max("first").over(group) + F.lit(0.5) * F.max("second").over(group)
-    judged = (
-        ranked_values(values.unionByName(rest), SLOT_KPI)
-        .withColumn("_median", median)
-        .join(limits, "kpiId")
-        .withColumns({"center": F.coalesce("_median", "medDefault"), "forecastValue": F.col("v")})
-        .withColumn("normal", ~F.expr(ABNORMAL))
+        .join(ranges, SLOT_KPI)
+        .groupBy(*group, F.when(watched, F.col("v")).alias("v"), (F.col("bin") > F.col("near2")).alias("_side"))
+        .agg(F.count_if(middle & F.col("typical")).alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
     )
+    whole = Window.partitionBy(*SLOT_KPI)
+    median = F.lit(0.5) * F.max("first").over(whole) + F.lit(0.5) * F.max("second").over(whole)
+    judged = ranked_values(values, SLOT_KPI).withColumn("center", F.coalesce(median, "medDefault"))
+    low, high = (F.when(~is_abnormal(F.col(c)), F.col(c)) for c in ("low", "high"))
     return judged.groupBy(*SLOT_KPI).agg(
         F.max("center").alias("center"),
-        F.min(F.when(F.col("normal"), F.col("v"))).alias("_min"), F.max(F.when(F.col("normal"), F.col("v"))).alias("_max"))
+        F.least(F.min(low), F.min(high)).alias("_min"), F.greatest(F.max(low), F.max(high)).alias("_max"))
 
 
 def robust_center(forecast: DataFrame, kpi_rules: DataFrame, bins: DataFrame | None = None) -> DataFrame:
@@ -130,7 +126,7 @@ def reband(forecast: DataFrame, kpi_rules: DataFrame, bins: DataFrame | None = N
         forecast.where(is_number(f))
         .join(centre_statistics(forecast, kpi_rules, bins), SLOT_KPI)
         .join(thresholds, "kpiId")
-        .withColumn("abnormal", F.expr(ABNORMAL))
+        .withColumn("abnormal", is_abnormal(f))
         .drop("side", "thr", "eps", "center")
     )
 

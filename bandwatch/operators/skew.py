@@ -41,29 +41,43 @@ def merge_bins(first: DataFrame, *others: DataFrame, keys: Sequence[str]) -> Dat
     return first.groupBy(*keys, "bin").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
 
 
-def _holds(rank: str) -> Column:
-    return (F.col("n") > 0) & (F.col("before") < F.col(rank)) & (F.col("before") + F.col("n") >= F.col(rank))
-
-
 def middle_bins(bins: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Each bin with the number of values before it, its group's two middle ranks, and whether it holds one."""
+    """One row per group: the bins of its two middle ranks (null without values), both ranks counted
+    from the first one's start, and the least value of the first and greatest of the second bin."""
     group = Window.partitionBy(*keys)
-    total = F.sum("n").over(group)
+    before, n, total = F.col("_before"), F.col("n"), F.sum("n").over(group)
+    one, two = (F.col("_holds1"), F.col("_holds2"))
+
+    def holds(rank):
+        return (n > 0) & (before < rank) & (before + n >= rank)
+
     return (
         bins.withColumns({
-            "before": F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"),
-            "rank1": F.floor((total + 1) / 2), "rank2": F.floor(total / 2) + 1,
+            "_before": F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)) - n,
+            "_r1": F.floor((total + 1) / 2), "_r2": F.floor(total / 2) + 1,
         })
-        .withColumn("middle", _holds("rank1") | _holds("rank2"))
+        .withColumns({"_holds1": holds(F.col("_r1")), "_holds2": holds(F.col("_r2"))})
+        .groupBy(*keys)
+        .agg(F.min(F.when(one, F.col("bin"))).alias("bin1"), F.min(F.when(two, F.col("bin"))).alias("bin2"),
+             F.min(F.when(one, F.col("_r1") - before)).alias("rank1"), F.min(F.when(one, F.col("_r2") - before)).alias("rank2"),
+             F.min(F.when(one, F.col("low"))).alias("low1"), F.max(F.when(two, F.col("high"))).alias("high2"))
     )
 
 
+def in_middle(bin_: Column) -> Column:
+    return F.coalesce((bin_ == F.col("bin1")) | (bin_ == F.col("bin2")), F.lit(False))
+
+
 def ranked_values(values: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Distinct values ``v`` with their counts ``n``, and as ``first`` and ``second`` those that hold a middle rank."""
-    within = Window.partitionBy(*keys, "bin").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = values.withColumn("before", F.col("before") + F.sum("n").over(within) - F.col("n"))
-    held = {name: F.when(F.col("middle") & _holds(r), F.col("v")) for name, r in (("first", "rank1"), ("second", "rank2"))}
-    return ranked.withColumns(held)
+    """Distinct values ``v`` with their counts ``n`` in the middle bins; ``first`` and ``second`` where they hold a middle rank.
+
+    No value of a group lies between its two bins, so one running count serves both.
+    """
+    order = Window.partitionBy(*keys).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    n, upto = F.col("n"), F.col("_upto")
+    held = {name: F.when((n > 0) & (upto >= F.col(r)) & (upto - n < F.col(r)), F.col("v"))
+            for name, r in (("first", "rank1"), ("second", "rank2"))}
+    return values.withColumn("_upto", F.sum("n").over(order)).withColumns(held)
 
 
 def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str, accuracy: int = BINS,
@@ -74,22 +88,19 @@ def group_median(df: DataFrame, keys: Sequence[str], value: Column, name: str, a
     sketch of exact counts per narrow bin (``bins``, or made here) says which bins hold the
     two middle ranks, and a second pass sorts the distinct values of these bins only. Rows
     are counted before each shuffle, the sorting spills, and there is no bracket that could
-    miss. Bins hold few rows per group and are joined by key: broadcast while small, else
+    miss. The bins are one row per group and are joined by key: broadcast while small, else
     shuffled with hot groups split by the skew-join settings. Two zeros of different sign are one value.
     """
     keys = list(keys)
-    facts = df.select(*keys, value.alias("v"))
-    bins = value_bins(facts, keys, F.col("v"), accuracy=accuracy) if bins is None else bins
-    marked = middle_bins(bins, keys)
-    watched = marked.where("middle").select(*keys, "bin", "before", "rank1", "rank2", "middle")
+    facts = df.select(*keys, value.alias("_v"))
+    bins = value_bins(facts, keys, F.col("_v"), accuracy=accuracy) if bins is None else bins
+    v = F.when(in_middle(value_bin(F.col("_v"), accuracy)), F.col("_v"))
     values = (
-        facts.withColumn("bin", value_bin(F.col("v"), accuracy))
-        .join(watched, [*keys, "bin"])
-        .groupBy(*keys, "bin", "before", "rank1", "rank2", "middle", "v").agg(F.count(F.lit(1)).alias("n"))
+        facts.join(middle_bins(bins, keys), keys)
+        .groupBy(*keys, "rank1", "rank2", v.alias("v")).agg(F.count(v).alias("n"))
     )
-    empty = marked.where(F.col("rank1") == 0).select(*keys).distinct().withColumn(name, F.lit(None).cast("double"))
     median = F.lit(0.5) * F.max("first") + F.lit(0.5) * F.max("second")
-    return ranked_values(values, keys).groupBy(*keys).agg(median.alias(name)).unionByName(empty)
+    return ranked_values(values, keys).groupBy(*keys).agg(median.alias(name))
 
 
 def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int,
