@@ -36,6 +36,21 @@ def rnn_forecast(spark, sf):
         F.when(F.col("kpiId") == "purchase", up).alias("fixedUpper"), F.when(F.col("kpiId") != "click", low).alias("fixedLower"))
 
 
+@register("forecast_by_type", query(f"""SELECT e.resId, e.itemPara, k.kpiId, {text("maxTime + g.i * INTERVAL 1 HOUR")} AS recordTime,
+    w.resourceType, true AS finite, w.resourceType = 'T1' AS own
+    FROM extents e JOIN (SELECT DISTINCT resId, itemPara, kpiId FROM cells) k ON e.resId = k.resId AND e.itemPara = k.itemPara
+    JOIN (SELECT DISTINCT resId, resourceType FROM actual) w ON e.resId = w.resId, generate_series(1, 72) g(i)"""))
+def forecast_by_type(spark, sf):
+    """One type with settings of its own, in one grouped call; ``own``: forecasts that differ from those of the common settings."""
+    args = (cells(spark, sf), fx.resource_rules(spark), fx.kpi_rules(spark), fx.RUN_TIME)
+    quick = {"epochs": 5}
+    key, f = ["resId", "itemPara", "kpiId", "recordTime"], F.col("forecastValue")
+    usual = plan.forecast(*args, quick, step=fx.STEP, history_days=None).select(*key, f.alias("usual"), F.col("kpiStd").alias("usualStd"))
+    typed = plan.forecast(*args, {**quick, "by_type": {"T1": {"epochs": 9}}}, step=fx.STEP, history_days=None)
+    # a single value may meet a limit in both, the deviation of the unlimited series does not
+    return typed.join(usual, key).select(*key, "resourceType", (~F.isnan(f)).alias("finite"), (F.col("kpiStd") != F.col("usualStd")).alias("own"))
+
+
 @register("rnn_holdout_metrics", query("""SELECT resId, itemPara, count(DISTINCT kpiId) AS kpis, true AS lossFell, true AS finite
     FROM blocks GROUP BY resId, itemPara"""))
 def rnn_holdout_metrics(spark, sf):

@@ -240,6 +240,21 @@ def element_summary(readings: DataFrame, step: int | None = None) -> DataFrame:
     )
 
 
+def attributed_cells(readings: DataFrame, step: int) -> DataFrame:
+    """``slot_cells`` that also carry what ``element_summary`` takes from their readings, so these are read once."""
+    return readings.groupBy(*SERIES, slot_of(F.col("recordTime"), step).alias("recordTime")).agg(
+        F.max("kpiValue").alias("kpiValue"), F.min("resourceType").alias("resourceType"), first_reading().alias("_f"))
+
+
+def cell_elements(cells: DataFrame) -> DataFrame:
+    """``element_summary`` from attributed cells."""
+    return (
+        cells.groupBy(*ELEMENT)
+        .agg(F.max("recordTime").alias("maxTime"), F.min("resourceType").alias("resourceType"), F.min("_f").alias("_f"))
+        .select(*ELEMENT, "maxTime", "resourceType", "_f.nodeCode", "_f.deviceSet")
+    )
+
+
 def pivot_kpis(cells: DataFrame, kpis: list[str], strict: bool = False) -> DataFrame:
     """One column per named KPI; of several readings of a cell the largest, or with ``strict`` an error."""
     value = F.max("kpiValue")

@@ -13,6 +13,7 @@ from bandwatch.functions.times import shift
 from bandwatch.models import rnn
 from bandwatch.operators import series as ts
 from bandwatch.operators.bands import forecast_bands
+from bandwatch.plans.scoring import stage
 from bandwatch.rules import MODEL_DEFAULTS
 from bandwatch.schemas import ELEMENT, FORECAST, SERIES
 from bandwatch.sources.readings import day_range, history_scan, rows_after
@@ -27,8 +28,12 @@ def prepare_series(readings: DataFrame, step: int, partitions: int | None = None
     Readings count for the slot they fall into. A series without any value stays
     empty through imputation and drops out. ``partitions``: see ``element_partitions``.
     """
-    grid = ts.regular_grid(ts.slot_cells(readings, step), step, partitions)
-    return ts.impute_median(grid).where(F.col("kpiValue").isNotNull())
+    return series_of_cells(ts.slot_cells(readings, step), step, partitions)
+
+
+def series_of_cells(cells: DataFrame, step: int, partitions: int | None = None) -> DataFrame:
+    """``prepare_series`` of readings that are in their slots already."""
+    return ts.impute_median(ts.regular_grid(cells, step, partitions)).where(F.col("kpiValue").isNotNull())
 
 
 def model_blocks(series: DataFrame, block: int, fit_on_train: bool = True) -> DataFrame:
@@ -42,26 +47,35 @@ def fit_forecast(blocks: DataFrame, config: Mapping) -> DataFrame:
 
     The blocks are still placed by element, so training needs no exchange.
     """
-    slim = blocks.select(
+    return slim_blocks(blocks).groupBy(*ELEMENT).applyInPandas(rnn.fit_predict(config), rnn.OUTPUT)
+
+
+def slim_blocks(blocks: DataFrame) -> DataFrame:
+    """The columns of ``model_blocks`` that training reads."""
+    return blocks.select(
         *SERIES, "blockId", "step", "split",
         F.col("x_scaled").alias("x"), F.col("y_scaled").alias("y"),
         F.col("y_min").alias("yMin"), F.col("y_max").alias("yMax"),
     )
-    return slim.groupBy(*ELEMENT).applyInPandas(rnn.fit_predict(config), rnn.OUTPUT)
 
 
 def fit_by_type(blocks: DataFrame, elements: DataFrame, config: Mapping) -> DataFrame:
-    """``fit_forecast`` with the settings of each element's resource type, where ``by_type`` has any."""
+    """``fit_forecast`` with the settings of each element's resource type, where ``by_type`` has any.
+
+    All types train in one grouped call: the type travels with the blocks and picks its settings there.
+    """
     by_type = config.get("by_type") or {}
     common = {k: v for k, v in config.items() if k != "by_type"}
     if not by_type:
         return fit_forecast(blocks, common)
-    kinds = elements.select(*ELEMENT, "resourceType")
-    typed = blocks.join(kinds, ELEMENT)
-    rest = fit_forecast(typed.where(~F.coalesce(F.col("resourceType").isin(*by_type), F.lit(False))).drop("resourceType"), common)
-    for kind, own in by_type.items():
-        rest = rest.unionByName(fit_forecast(typed.where(F.col("resourceType") == kind).drop("resourceType"), {**common, **own}))
-    return rest
+    usual = rnn.fit_predict(common)
+    own = {kind: rnn.fit_predict({**common, **settings}) for kind, settings in by_type.items()}
+
+    def run(pdf):
+        return own.get(pdf["resourceType"].iat[0], usual)(pdf)
+
+    typed = slim_blocks(blocks).join(elements.select(*ELEMENT, "resourceType"), ELEMENT)
+    return typed.groupBy(*ELEMENT).applyInPandas(run, rnn.OUTPUT)
 
 
 def holdout_metrics(fitted: DataFrame) -> DataFrame:
@@ -143,6 +157,9 @@ def forecast(
     rows in range. ``active`` (with resId, such as ``active_elements``) limits the run
     to these elements. ``model_config`` may hold settings per resource type under
     ``by_type``. ``partitions`` is derived from the number of elements when not given.
+
+    ``raw`` is read once: its cells with their element's attributes are staged in the
+    shared folder, and counts, extents, attributes and series come from there.
     """
     config = {**MODEL_DEFAULTS, **(model_config or {})}
     if active is not None:
@@ -150,16 +167,16 @@ def forecast(
         raw = raw.join(some, "resId", "left_semi")
         history = None if history is None else history.join(some, "resId", "left_semi")
     if history is None:
-        scan = in_days(history_scan(raw, resource_rules), run_time, history_days)
-        partitions = partitions or ts.element_partitions(scan)
-        prepared, every = prepare_series(scan, step, partitions), scan
+        cells = stage(ts.attributed_cells(in_days(history_scan(raw, resource_rules), run_time, history_days), step), "cells")
+        prepared = series_of_cells(cells, step, partitions or ts.element_partitions(cells))
+        elements = ts.cell_elements(cells)
     else:
-        scan = incremental_inputs(raw, history, resource_rules, run_time, history_days)
-        partitions = partitions or ts.element_partitions(history)
-        prepared = ts.by_element(ts.roll_history(history, ts.slot_cells(scan, step), step, partitions), partitions)
-        same = [*ELEMENT, "recordTime", "nodeCode", "deviceSet", "resourceType"]
-        every = scan.select(*same).unionByName(history.select(*same))
-    elements = ts.element_summary(every, step)
+        fresh = incremental_inputs(raw, history, resource_rules, run_time, history_days)
+        cells = stage(ts.attributed_cells(fresh, step), "cells")
+        # elements without a history are not among its, so both are counted
+        both = history.select(*ELEMENT).unionByName(cells.select(*ELEMENT))
+        prepared = ts.roll_history(history, cells, step, partitions or ts.element_partitions(both))
+        elements = ts.cell_elements(cells.unionByName(ts.attributed_cells(history, step)))
     fitted = fit_by_type(model_blocks(prepared, config["block"], fit_on_train), elements, config)
     values = fitted.select(
         *SERIES, "stepAhead",

@@ -154,3 +154,12 @@ def test_training_is_spread_over_partitions(spark):
     assert "REPARTITION_BY_NUM" in text
     # the cell aggregate, once more below the extents (reused when it runs), the extents, and the placement
     assert text.count("Exchange hashpartitioning(resId") == 4
+
+
+def test_raw_is_read_once_and_trained_once(spark, tmp_path):
+    raw(spark, 300).write.parquet(f"{tmp_path}/raw")
+    stored = spark.read.parquet(f"{tmp_path}/raw")
+    args = (stored, rules.resource_rules(spark), rules.kpi_rules(spark), RUN)
+    for config in (None, {"by_type": {"UPF": {"hidden_size": 7}, "AMF": {"hidden_size": 5}}}):
+        text = forecast(*args, config)._jdf.queryExecution().executedPlan().toString()
+        assert f"{tmp_path}/raw" not in text and text.count("FlatMapGroupsInPandas") == 1
