@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from bandwatch.operators.skew import merge_bins
 from bandwatch.plans import scoring as plan
 from bandwatch.schemas import ELEMENT_DIMS
 from bandwatch.session import work_dir
+from bandwatch.sinks.buckets import write_bucketed
 from bandwatch.sinks.tables import append_by_day
 from bandwatch.sources.readings import rename_raw
 
@@ -146,6 +148,20 @@ def element_score(spark, sf):
     return elements(spark, sf)
 
 
+def bucketed(spark, sf):
+    """Clean readings and bands, stored by slot and element."""
+    rules, run = fx.kpi_rules(spark), uuid.uuid4().hex
+    tables = {"actual": plan.clean_actuals(fx.actual(spark, sf), rules), "banded": plan.rebanded(stored_forecasts(spark, sf), rules)}
+    return [write_bucketed(df, f"{name}_{run}", work_dir(spark, name), 8, order=["kpiId"]) for name, df in tables.items()]
+
+
+@register("co_located_element_score", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, abnScore, abnLevel,
+    '2024-02-01 00:00:00' AS trainingTime, 'fcst' AS trainingAlgo, abnRate, total IS NULL AS unweighted FROM elements"""))
+def co_located_element_score(spark, sf):
+    """Element scores from two tables stored by slot and element."""
+    return plan.co_located_scores(*bucketed(spark, sf), fx.kpi_rules(spark), fx.weights(spark), fx.RUN_TIME)[1]
+
+
 @register("window_score", query(f"""SELECT {text('minId')} AS "minId", {DIMS}, abnScore,
     CAST(windowScore AS BIGINT) AS windowScore FROM windows"""))
 def window_score(spark, sf):

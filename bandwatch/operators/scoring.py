@@ -33,6 +33,25 @@ def forecast_actual_join(forecast: DataFrame, actual: DataFrame) -> DataFrame:
     )
 
 
+def co_located_join(forecast: DataFrame, actual: DataFrame) -> DataFrame:
+    """``forecast_actual_join`` of two tables stored by ``sinks.buckets`` by slot and element.
+
+    Equal slots and elements lie in equal buckets, so neither the join nor removing
+    repeated rows, weighting or the element roll-up moves rows. The session setting that
+    lets a join use a placement by some of its keys is part of ``session.configure``.
+    ``minId`` is the slot of the reading, which its ``recordTime`` is here.
+    """
+    f = forecast.select(*JOIN_KEY, "nodeCode", "forecastValue", "forecastValueUpper", "forecastValueLower")
+    a = actual.select(*JOIN_KEY, "kpiValue", "vender", "resourceType")
+    return (
+        # a hint for the join's form only: a broadcast would read one side whole into every executor
+        f.hint("merge").join(a, JOIN_KEY)
+        .select(F.col("recordTime").alias("minId"), *[c for c in ELEMENT_DIMS if c != "minId"], "itemPara", "kpiId", "kpiValue",
+                "forecastValue", "forecastValueUpper", "forecastValueLower")
+        .distinct()
+    )
+
+
 def in_range(value: Column, lower: Column, upper: Column) -> Column:
     """1 for a missing value or one inside the band, compared at two decimals."""
     v = decimal2(value)

@@ -64,6 +64,16 @@ def score(
     return kpis, window_alarm(elements, run_time, step)
 
 
+def co_located_scores(actual: DataFrame, banded: DataFrame, kpi_rules: DataFrame, weights: DataFrame,
+                      run_time: dt.datetime) -> tuple[DataFrame, DataFrame]:
+    """KPI results and element scores of two tables stored by slot and element, without an exchange after the scans.
+
+    ``actual`` holds clean readings, ``banded`` the bands of ``rebanded``, both written by ``sinks.buckets.write_bucketed``.
+    """
+    kpis = sc.kpi_scores(sc.co_located_join(banded, actual), kpi_rules, run_time)
+    return kpis, sc.element_scores(sc.weighted_scores(kpis, weights), run_time)
+
+
 def slots_of_run(now: dt.datetime, step: int = 300, delay: int = 1500) -> list[dt.datetime]:
     """The slot a run at ``now`` scores, after the two before it."""
     since = int((now - dt.datetime(1970, 1, 1)).total_seconds())
