@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from bandwatch import fixtures as fx
@@ -12,7 +14,10 @@ from bandwatch.catalog.series import prepared
 from bandwatch.catalog.sql import query, r6, text
 from bandwatch.operators import series as ts
 from bandwatch.plans import forecasting as plan
+from bandwatch.plans.incremental import forecast_changed
 from bandwatch.rules import MODEL_DEFAULTS
+from bandwatch.session import work_dir
+from bandwatch.sinks import tables
 from bandwatch.sources.readings import history_scan
 
 
@@ -115,3 +120,53 @@ def forecast_times_offslot(spark, sf):
                     c["DEVICE_SET"].alias("deviceSet"), F.lit("T").alias("resourceType"), F.col("ts").cast("timestamp_ntz").alias("recordTime"))
     ahead = ts.future_slots(ts.element_summary(rows, fx.STEP), fx.STEP, 72)
     return ahead.select("resId", F.col("stepAhead").cast("int").alias("stepAhead"), "recordTime")
+
+
+_FIRST = f"""SELECT resId, itemPara, kpiId, m + i * INTERVAL 1 HOUR AS recordTime, TIMESTAMP '2024-01-20' AS createTime
+    FROM (SELECT resId, itemPara, max(recordTime) AS m FROM cells WHERE recordTime < {_CUT} GROUP BY ALL) e
+    JOIN (SELECT DISTINCT resId, itemPara, kpiId FROM cells WHERE recordTime < {_CUT}) k USING (resId, itemPara), generate_series(1, 72) g(i)"""
+_SECOND = f"""SELECT resId, itemPara, kpiId, m + i * INTERVAL 1 HOUR AS recordTime, TIMESTAMP '2024-02-01' AS createTime
+    FROM (SELECT resId, itemPara, max(recordTime) AS m FROM cells WHERE recordTime >= {_CUT} AND CAST(substr(resId, 3) AS BIGINT) % 2 = 0
+      GROUP BY ALL) e JOIN (SELECT DISTINCT resId, itemPara, kpiId FROM cells) k USING (resId, itemPara), generate_series(1, 72) g(i)"""
+
+
+class _Stopped(Exception):
+    pass
+
+
+@register("change_driven_forecast", query(f"""SELECT resId, itemPara, kpiId, {text('recordTime')} AS recordTime,
+    {text('max(createTime)')} AS createTime FROM (SELECT * FROM first_run UNION ALL SELECT * FROM second_run)
+    GROUP BY resId, itemPara, kpiId, recordTime""", first_run=_FIRST, second_run=_SECOND))
+def change_driven_forecast(spark, sf):
+    """Runs over stored readings: of all elements, then of every second one, which alone has new slots, then of none.
+
+    The second run stops after its history and again before its commit, and is repeated.
+    """
+    rows = cells(spark, sf)
+    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    even = F.substring("resId", 3, 20).cast("long") % 2 == 0
+    raw, history, out = (work_dir(spark, name) for name in ("readings", "history", "forecast"))
+    key, day = ["recordTime", "resId", "kpiId"], F.to_date("recordTime")
+
+    def run(when, at=lambda name: None):
+        return forecast_changed(spark, raw, history, out, fx.resource_rules(spark), fx.kpi_rules(spark), when, {"epochs": 3},
+                                fx.STEP, None, at)
+
+    def stop_at(where):
+        def at(step):
+            if step == where:
+                raise _Stopped
+        return at
+
+    tables.merge_into(rows.where(F.col("recordTime") < cut), raw, key, day)
+    run(dt.datetime(2024, 1, 20))
+    tables.merge_into(rows.where((F.col("recordTime") >= cut) & even), raw, key, day)
+    for where in ("history", "written"):
+        try:
+            run(fx.RUN_TIME, stop_at(where))
+        except _Stopped:
+            pass
+    run(fx.RUN_TIME)
+    if run(dt.datetime(2024, 2, 2)):
+        raise ValueError("a run without new slots forecast elements again")
+    return tables.open_table(spark, out).select("resId", "itemPara", "kpiId", "recordTime", "createTime")

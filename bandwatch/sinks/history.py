@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
@@ -52,10 +53,14 @@ class HistoryStore:
         finally:
             stream.close()
         self._fs.rename(draft, self._path(self._mark(version)))
-        for old in self.versions()[keep:] if keep is not None else ():
+        self.retire(self.versions()[keep:] if keep is not None else ())
+        return version
+
+    def retire(self, versions: Iterable[int]) -> None:
+        """Delete versions, their marks first."""
+        for old in versions:
             self._fs.delete(self._path(self._mark(old)), False)
             self._fs.delete(self._path(self.path(old)), True)
-        return version
 
     def _intact(self, version: int) -> DataFrame | None:
         """The rows of a version, or None where files are gone or unreadable or hold something else than was written."""
@@ -71,6 +76,11 @@ class HistoryStore:
             return None
         return rows if (found["rows"], str(found["sum"])) == (mark["rows"], mark["sum"]) else None
 
+    def read_version(self, version: int) -> DataFrame | None:
+        """Rows of one version, None where it is gone or damaged."""
+        rows = self._intact(version) if version in self.versions() else None
+        return None if rows is None else repaired(rows)
+
     def read(self) -> tuple[int, DataFrame] | None:
         """Number and rows of the newest intact version, None where there is none.
 
