@@ -86,6 +86,6 @@ def forecast_changed(
     tables.merge_into(
         tables.enforce_schema(forecasts, schemas.FORECAST), forecast_path, schemas.FORECAST_KEY, F.to_date("recordTime"),
         [F.col("createTime")], "dt", writer=WRITER, number=mark["number"] + 1, notes={"raw": state.version, "history": version}, step=at)
-    # the two versions before stay for readers; those of stopped runs lie between them and go
+    # this version and the one before stay; those that stopped runs left go
     store.retire([v for v in store.versions() if v not in (version, known)])
     return rolled.select(*ELEMENT).distinct().count()
