@@ -13,6 +13,7 @@ from bandwatch.catalog.sql import query, r6, text
 from bandwatch.operators import series as ts
 from bandwatch.plans.forecasting import model_blocks, prepare_series, with_std
 from bandwatch.session import work_dir
+from bandwatch.sinks.rolling import RollingStore
 from bandwatch.sinks.tables import write_history
 
 KEY = "resId, itemPara, kpiId"
@@ -197,3 +198,49 @@ def rolling_history(spark, sf):
     old = write_history(prepare_series(rows.where(F.col("recordTime") < cut), fx.STEP), root, 1)
     rolled = ts.roll_history(old, ts.slot_cells(rows.where(F.col("recordTime") >= cut)), fx.STEP)
     return rounded(write_history(rolled, root, 2), "kpiValue")
+
+
+_CUTS = (15, 20, 26)
+
+
+def _times(first: int | None, end: int | None) -> str:
+    return " AND ".join(["true", *([f"recordTime >= TIMESTAMP '2024-01-{first}'"] if first else []), *([f"recordTime < TIMESTAMP '2024-01-{end}'"] if end else [])])
+
+
+def _rolls() -> dict[str, str]:
+    """Every roll from the whole history before it: union, extent, grid, median over all of it, then the newest slots."""
+    out = {"rolled_0": f"""SELECT * EXCLUDE (last) FROM (SELECT s.resId, s.itemPara, k.kpiId, s.recordTime, c.kpiValue IS NULL AS imputed,
+          coalesce(c.kpiValue, median(c.kpiValue) OVER (PARTITION BY s.resId, s.itemPara, k.kpiId)) AS kpiValue, 0 AS last
+        FROM (SELECT resId, itemPara, unnest(generate_series(min(recordTime), max(recordTime), INTERVAL 1 HOUR)) AS recordTime
+          FROM cells WHERE {_times(None, _CUTS[0])} GROUP BY resId, itemPara) s
+        JOIN (SELECT DISTINCT resId, itemPara, kpiId FROM cells WHERE {_times(None, _CUTS[0])}) k ON s.resId = k.resId AND s.itemPara = k.itemPara
+        LEFT JOIN cells c ON c.resId = s.resId AND c.itemPara = s.itemPara AND c.kpiId = k.kpiId AND c.recordTime = s.recordTime)"""}
+    for i, first in enumerate(_CUTS, 1):
+        end = _CUTS[i] if i < len(_CUTS) else None
+        out[f"both_{i}"] = f"""SELECT resId, itemPara, kpiId, recordTime, kpiValue, imputed FROM rolled_{i - 1}
+            UNION ALL SELECT resId, itemPara, kpiId, recordTime, kpiValue, false FROM cells WHERE {_times(first, end)}"""
+        out[f"rolled_{i}"] = f"""SELECT g.resId, g.itemPara, g.kpiId, g.recordTime, g.imputed, g.kpiValue FROM (
+              SELECT s.resId, s.itemPara, k.kpiId, s.recordTime, coalesce(b.imputed, true) AS imputed,
+                coalesce(b.kpiValue, median(b.kpiValue) OVER (PARTITION BY s.resId, s.itemPara, k.kpiId)) AS kpiValue,
+                row_number() OVER (PARTITION BY s.resId, s.itemPara, k.kpiId ORDER BY s.recordTime DESC) AS back
+              FROM (SELECT resId, itemPara, unnest(generate_series(min(recordTime), max(recordTime), INTERVAL 1 HOUR)) AS recordTime
+                FROM both_{i} GROUP BY resId, itemPara) s
+              JOIN (SELECT DISTINCT resId, itemPara, kpiId FROM both_{i}) k ON s.resId = k.resId AND s.itemPara = k.itemPara
+              LEFT JOIN both_{i} b ON b.resId = s.resId AND b.itemPara = s.itemPara AND b.kpiId = k.kpiId AND b.recordTime = s.recordTime) g
+            LEFT JOIN (SELECT resId, itemPara, count(DISTINCT recordTime) AS keep FROM rolled_{i - 1} GROUP BY ALL) l
+              ON g.resId = l.resId AND g.itemPara = l.itemPara WHERE keep IS NULL OR back <= keep"""
+    return out
+
+
+@register("rolling_history_increments", query(f"""SELECT {KEY}, {text('recordTime')} AS recordTime, {r6('kpiValue')} AS kpiValue, imputed
+    FROM rolled_{len(_CUTS)}""", **_rolls()))
+def rolling_history_increments(spark, sf):
+    """Two weeks of history, then three rolls that append new slots and take medians from stored digests."""
+    rows = cells(spark, sf)
+    store = RollingStore(spark, work_dir(spark, "rolling"), 8)
+    day = [F.lit(dt.datetime(2024, 1, d)).cast("timestamp_ntz") for d in _CUTS]
+    t = F.col("recordTime")
+    store.roll(ts.slot_cells(rows.where(t < day[0])), fx.STEP)
+    for i, first in enumerate(day):
+        state = store.roll(ts.slot_cells(rows.where((t >= first) & (t < day[i + 1] if i + 1 < len(day) else F.lit(True)))), fx.STEP)
+    return rounded(store.read(state), "kpiValue")
