@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandwatch.llm.stage import id_and_text, per_batch
+from bandwatch.llm.stage import id_and_text, per_batch, staged
 from bandwatch.llm.tokenizing import BYTE_BPE, encoder, vocabulary
 
 BLOCK = 1024
@@ -40,10 +40,11 @@ def length_table(lengths: DataFrame) -> DataFrame:
     follow from the next longer row (``truncated_at``).
 
     Sums run in two levels: within blocks of 1,024 lengths, and over the blocks' totals, of which there are
-    (longest document / 1,024). An empty table gives no rows; null lengths do not count.
+    (longest document / 1,024). An empty table gives no rows; null lengths do not count. The histogram is written out
+    first, so that lengths are worked out once.
     """
-    histogram = lengths.where(F.col("n_tokens").isNotNull()).groupBy(F.col("n_tokens").alias("length")).agg(
-        F.count(F.lit(1)).alias("n_docs")).withColumn("_block", F.floor(F.col("length") / BLOCK))
+    histogram = staged(lengths.where(F.col("n_tokens").isNotNull()).groupBy(F.col("n_tokens").alias("length")).agg(
+        F.count(F.lit(1)).alias("n_docs")), "lengths").withColumn("_block", F.floor(F.col("length") / BLOCK))
     tokens = F.col("length") * F.col("n_docs")
     blocks = histogram.groupBy("_block").agg(F.sum("n_docs").alias("_d"), F.sum(tokens).alias("_t"))
     longer = Window.orderBy(F.desc("_block"))
