@@ -18,10 +18,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bandwatch.llm.stage import id_and_text, partitions, per_batch, staged
+from bandwatch.session import work_dir
 
 SPACE = b" \t\n\x0b\x0c\r"
 HASH = ["h1", "h2"]
@@ -42,42 +43,59 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(h1, h2, doc_id) once per document row and distinct key."""
+    """(h1, h2, doc_id, of) once per document row and distinct key; ``of`` is a hash of the row's text.
+
+    Rows with one id lose the same keys. ``of`` tells them apart all the same, so that what a row
+    is told to lose stays as short as its own text, however many rows have its id or none.
+    """
 
     def keys(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids = batch.column(0).to_pylist()
-        found, owners = [], []
-        for doc_id, text in zip(ids, _texts(batch.column(1))):
+        found, n = [], []
+        for text in _texts(batch.column(1)):
             own = {k for line in text.split(b"\n") if (k := line_key(line, min_chars))}
             found.extend(own)
-            owners.extend([doc_id] * len(own))
+            n.append(len(own))
+        rows = pa.array(np.repeat(np.arange(len(n)), n))
         halves = np.frombuffer(b"".join(found), "<i8").reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(halves[:, 0]), pa.array(halves[:, 1]), pa.array(owners, pa.int64())], ["h1", "h2", "doc_id"]
-        )
+            [pa.array(halves[:, 0]), pa.array(halves[:, 1]), batch.column(0).take(rows), batch.column(2).take(rows)],
+            ["h1", "h2", "doc_id", "of"])
 
-    return docs.mapInArrow(per_batch(keys), "h1 long, h2 long, doc_id long")
+    return docs.withColumn("of", text_hash(F.col("text"))).mapInArrow(per_batch(keys), "h1 long, h2 long, doc_id long, of long")
+
+
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(text.cast("string"))
 
 
 class LineRuns:
     """Runs of (h1, h2, n_docs, keep), by level; the key of a run is unique within it.
 
     A run is a table bucketed and sorted by hash, so joins with it and compactions
-    need no exchange on its side. ``drop`` removes the tables.
+    need no exchange on its side. Its files lie in the shared folder; ``drop`` removes
+    tables and files.
     """
 
     def __init__(self, like: DataFrame, fan_in: int = 2):
         self.spark, self.buckets, self.fan_in = like.sparkSession, partitions(like), fan_in
         self.levels: list[list[str]] = []
+        self._paths: dict[str, str] = {}
 
     def _write(self, df: DataFrame) -> str:
         name = f"line_run_{uuid.uuid4().hex}"
+        self._paths[name] = work_dir(self.spark, "line-run")
         (
             df.select(*HASH, "n_docs", "keep").repartition(self.buckets, *HASH)
-            .write.bucketBy(self.buckets, *HASH).sortBy(*HASH).saveAsTable(name)
+            .write.bucketBy(self.buckets, *HASH).sortBy(*HASH)
+            .option("path", self._paths[name]).saveAsTable(name)
         )
         return name
 
+    def _remove(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._paths.pop(name))
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def runs(self) -> list[DataFrame]:
         return [self.spark.table(name) for level in self.levels for name in level]
 
@@ -97,7 +115,7 @@ class LineRuns:
         if len(self.levels[level]) >= self.fan_in:
             merged = self._write(self._merged(self.levels[level]))
             for old in self.levels[level]:
-                self.spark.sql(f"DROP TABLE {old}")
+                self._remove(old)
             self.levels[level] = []
             self._put(merged, level + 1)
 
@@ -112,32 +130,33 @@ class LineRuns:
         return self._merged([name for level in self.levels for name in level])
 
     def drop(self) -> None:
-        for level in self.levels:
-            for name in level:
-                self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for name in list(self._paths):
+            self._remove(name)
         self.levels = []
 
 
 def repeated_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, batches: int = 4,
                    fan_in: int = 2) -> DataFrame:
-    """(doc_id, gone): the keys each document loses, for documents that lose any."""
+    """(doc_id, of, gone): the keys that document rows with this id and text hash lose, where they lose any."""
     slim = id_and_text(docs)
     cuts = slim.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)])).first()[0] or []
     places = staged(
         line_keys(slim, min_chars).withColumn("batch", sum((F.coalesce(F.col("doc_id") <= c, F.lit(True)).cast("int")
                                                             for c in cuts), F.lit(0))), "line-places")
     runs = LineRuns(places, fan_in)
-    for batch in range(len(cuts) + 1):
-        keys = places.where(F.col("batch") == batch).select(*HASH, "doc_id").distinct().groupBy(*HASH).agg(
-            F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep"))
-        runs.add(keys)
-    hot = staged(runs.totals().where(F.col("n_docs") >= min_docs).select(*HASH, "keep"), "line-hot")
-    runs.drop()
+    try:
+        for batch in range(len(cuts) + 1):
+            keys = places.where(F.col("batch") == batch).select(*HASH, "doc_id").distinct().groupBy(*HASH).agg(
+                F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keep"))
+            runs.add(keys)
+        hot = staged(runs.totals().where(F.col("n_docs") >= min_docs).select(*HASH, "keep"), "line-hot")
+    finally:
+        runs.drop()
     return (
         places.join(hot, HASH)
         .where(F.coalesce(F.col("doc_id") < F.col("keep"), F.col("keep").isNotNull()))
-        .select("doc_id", F.struct("h1", "h2").alias("key"))
-        .groupBy("doc_id").agg(F.collect_list("key").alias("gone"))
+        .select("doc_id", "of", F.struct("h1", "h2").alias("key"))
+        .groupBy("doc_id", "of").agg(F.collect_set("key").alias("gone"))
     )
 
 
@@ -160,8 +179,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_
     table gives an empty result. Columns besides id and text are not read.
     """
     slim = id_and_text(docs)
-    lost = repeated_lines(slim, min_docs, min_chars, batches, fan_in).withColumnRenamed("doc_id", "_of")
-    both = slim.join(lost, slim.doc_id.eqNullSafe(lost._of), "left").select("doc_id", "text", "gone")
+    lost = repeated_lines(slim, min_docs, min_chars, batches, fan_in).withColumnsRenamed({"doc_id": "_id", "of": "_of"})
+    both = slim.join(lost, slim.doc_id.eqNullSafe(lost._id) & (text_hash(slim.text) == lost._of), "left").select("doc_id", "text", "gone")
 
     def kept(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         n_lines, n_dropped, out = [], [], []
@@ -188,7 +207,7 @@ def without_repeated_lines(docs: DataFrame, **rule) -> DataFrame:
     Texts that lose no line stay as they are, null included.
     """
     mark = f"gone_{uuid.uuid4().hex}"  # a name no column has
-    lost = repeated_lines(docs, **rule).withColumnsRenamed({"doc_id": f"of_{mark}", "gone": mark})
+    lost = repeated_lines(docs, **rule).withColumnsRenamed({"doc_id": f"id_{mark}", "of": f"of_{mark}", "gone": mark})
     min_chars = rule.get("min_chars", MIN_CHARS)
 
     def strip(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -202,7 +221,8 @@ def without_repeated_lines(docs: DataFrame, **rule) -> DataFrame:
         arrays = [pa.array(out, pa.string()) if i == at else batch.column(i) for i in range(gone_at)]
         yield pa.RecordBatch.from_arrays(arrays, batch.schema.names[:gone_at])
 
-    both = docs.join(lost, docs["doc_id"].eqNullSafe(lost[f"of_{mark}"]), "left").select(*[docs[f"`{c}`"] for c in docs.columns], lost[mark])
+    same = docs["doc_id"].eqNullSafe(lost[f"id_{mark}"]) & (text_hash(docs["text"]) == lost[f"of_{mark}"])
+    both = docs.join(lost, same, "left").select(*[docs[f"`{c}`"] for c in docs.columns], lost[mark])
     left = both.mapInArrow(per_batch(strip), docs.schema)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -1,4 +1,8 @@
 import hashlib
+import os
+
+import pytest
+from pyspark.sql import functions as F
 
 from bandwatch.llm import lines
 from tests.llm.test_pipeline import SPACE, without_lines
@@ -63,3 +67,36 @@ def test_repeated_rows_of_a_document_count_once(spark):
     text = long_line(1)
     frame = spark.createDataFrame([(1, text)] * 4 + [(2, text)], "doc_id long, text string")
     assert {r.n_dropped for r in lines.dedup_lines(frame).collect()} == {0}
+
+
+def test_what_a_row_loses_stays_as_short_as_its_text(spark):
+    """Thousands of rows without an id, and half of all rows with one id, each with lines of its own that others hold too."""
+    rows = [(None, long_line(i) + "\n" + long_line(i + 1)) for i in range(3000)]
+    rows += [(1, long_line(i)) for i in range(3000)] + [(None, long_line(5))] * 2000
+    rows += [(10 + k, "\n".join(long_line(i) for i in range(3001))) for k in range(5)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    lost = lines.repeated_lines(frame).select("doc_id", F.size("gone").alias("n")).collect()
+    assert len(lost) > 6000 and max(r.n for r in lost if r.doc_id in (None, 1)) == 2
+    got = lines.dedup_lines(frame).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_ids(rows)
+
+
+def brute_ids(rows):
+    """Every line is held by ids 10 to 14, of which 14 keeps it."""
+    return sorted(((d, (n := t.count("\n") + 1), 0 if d == 14 else n, t if d == 14 else "") for d, t in rows), key=repr)
+
+
+def test_a_failed_run_leaves_no_runs(spark, monkeypatch):
+    frame = spark.createDataFrame([(d, long_line(d % 3)) for d in range(30)], "doc_id long, text string")
+    paths = []
+
+    def fail(self):
+        paths.extend(self._paths.values())
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(lines.LineRuns, "totals", fail)
+    with pytest.raises(RuntimeError):
+        lines.dedup_lines(frame)
+    assert paths and not any(os.path.exists(p) for p in paths)
+    assert all(p.startswith(spark.conf.get("spark.checkpoint.dir")) for p in paths)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("line_run")]
