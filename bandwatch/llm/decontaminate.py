@@ -8,14 +8,17 @@ lookup misses none. Candidates within the radius are verified with the exact wei
 Jaccard similarity of their shingles.
 
 Only windows that share a shingle with an item are fingerprinted: others have a
-similarity of zero. Benchmarks go out to the tasks in parts of bounded size, and each
-part meets all documents.
+similarity of zero. The distinct texts of a benchmark go out to the tasks in parts of
+bounded size, one after the other: what a part matches is written before the next one is
+fetched, so neither the driver nor a task holds more than one. Each part meets all documents.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -25,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bandwatch.llm.shingles import byte_word_hashes, mix, shingle_hashes
-from bandwatch.llm.stage import id_and_text, per_batch
+from bandwatch.llm.stage import id_and_text, per_batch, staged
+from bandwatch.session import work_dir
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -95,12 +99,12 @@ class BlockIndex:
 
 @dataclass
 class Items:
-    """One part of the benchmark, as tasks need it."""
+    """One part of the benchmark's texts by their key, as tasks need it."""
 
-    rows: list[tuple[int | None, str]]
+    rows: list[tuple[str, str]]
 
     def prepare(self) -> None:
-        self.by_size: dict[tuple[int, int], list[tuple[int | None, Counter, int]]] = defaultdict(list)  # (words, shingle words)
+        self.by_size: dict[tuple[int, int], list[tuple[str, Counter, int]]] = defaultdict(list)  # (words, shingle words)
         shared: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for item_id, text in self.rows:
             words = plain_words(text)
@@ -155,13 +159,49 @@ class Items:
                         best[key, item] = (s, start, width + key[1] - 1)
 
 
-def _parts(benchmark: DataFrame, item_id: str, text: str) -> list[Items]:
-    """The benchmark in parts of about PART_CHARS characters, collected one after the other as they are used."""
-    slim = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(text).cast("string").alias("text")).where("text is not null")
-    chars = slim.agg(F.sum(F.char_length("text"))).first()[0] or 0
+def text_keys(benchmark: DataFrame, text: str) -> DataFrame:
+    """(key, text) of the distinct texts, written out."""
+    rows = benchmark.select(F.col(text).cast("string").alias("text")).where("text is not null")
+    return staged(rows.select(F.md5("text").alias("key"), "text").dropDuplicates(["key"]), "benchmark-texts")
+
+
+def parts(texts: DataFrame) -> Iterator[Items]:
+    """The texts in parts of about PART_CHARS characters, each collected when it is asked for."""
+    chars = texts.agg(F.sum(F.char_length("text"))).first()[0] or 0
     n = int(chars // PART_CHARS) + 1
-    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [Items([(r.item_id, r.text) for r in slim.where(part == i).orderBy("item_id", "text").collect()]) for i in range(n)]
+    part = F.pmod(F.xxhash64("key"), F.lit(n))
+    for i in range(n):
+        yield Items([(r.key, r.text) for r in texts.where(part == i).orderBy("key").collect()])
+
+
+def _matched(docs: DataFrame, texts: DataFrame, told: Callable[[Items, pa.RecordBatch], list[tuple]], layout: str) -> DataFrame:
+    """Rows that ``told`` makes of batches of (doc_id, text) and each part, written part by part."""
+    spark, path = docs.sparkSession, work_dir(docs.sparkSession, "benchmark-matches")
+    for items in parts(texts):
+        shared = spark.sparkContext.broadcast(items)
+        names = [c.split()[0] for c in layout.split(", ")]
+        kinds = [{"string": pa.string(), "long": pa.int64(), "double": pa.float64()}[c.split()[1]] for c in layout.split(", ")]
+
+        def find(batch: pa.RecordBatch, shared=shared, names=names, kinds=kinds) -> Iterator[pa.RecordBatch]:
+            held = shared.value
+            if not hasattr(held, "index"):
+                held.prepare()
+            columns = list(zip(*told(held, batch))) or [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+        docs.mapInArrow(per_batch(find), layout).write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(layout).parquet(path)
+
+
+def _passages(held: Items, batch: pa.RecordBatch) -> list[tuple]:
+    return [(doc_id, held.by_size[key][item][0], s, start, n)
+            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+            for (key, item), (s, start, n) in sorted(held.passages(text).items())]
+
+
+def _held(held: Items, batch: pa.RecordBatch) -> list[tuple]:
+    return [(hashlib.md5(text.encode()).hexdigest(),) for text in batch.column(1).to_pylist() if held.passages(text)]
 
 
 def benchmark_passages(docs: DataFrame, benchmark: DataFrame, item_id: str = "item_id", item_text: str = "text") -> DataFrame:
@@ -172,42 +212,18 @@ def benchmark_passages(docs: DataFrame, benchmark: DataFrame, item_id: str = "it
     shingles (items with fewer words: one shingle of them all). The row has the best window, the first of equal ones.
 
     Null or empty texts match nothing, on either side. Document rows and benchmark rows with equal ids are handled
-    one by one; null ids are carried. Empty tables give an empty result. Other columns are not read.
+    one by one; null ids are carried. Benchmark rows of one text are looked for once. Empty tables give an empty
+    result. Other columns are not read.
     """
-    slim, out = id_and_text(docs), None
-    for items in _parts(benchmark, item_id, item_text):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-
-        def find(batch: pa.RecordBatch, shared=shared) -> Iterator[pa.RecordBatch]:
-            held = shared.value
-            if not hasattr(held, "index"):
-                held.prepare()
-            rows = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for (key, item), (s, start, n) in sorted(held.passages(text).items()):
-                    rows.append((doc_id, held.by_size[key][item][0], s, start, n))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], ["doc_id", "item_id", "similarity", "start_word", "n_words"])
-
-        found = slim.mapInArrow(per_batch(find), "doc_id long, item_id long, similarity double, start_word long, n_words long")
-        out = found if out is None else out.unionByName(found)
-    return out
+    found = _matched(id_and_text(docs), text_keys(benchmark, item_text), _passages,
+                     "doc_id long, key string, similarity double, start_word long, n_words long")
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.md5(F.col(item_text).cast("string")).alias("key"))
+    return found.join(items, "key").select("doc_id", "item_id", "similarity", "start_word", "n_words")
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold no benchmark passage, with all their columns. A row is judged by its own text."""
-    clean = docs.where(F.lit(True))
-    for items in _parts(benchmark, "item_id", "text"):
-        shared = docs.sparkSession.sparkContext.broadcast(items)
-        at = docs.columns.index("text")
-
-        def keep(batch: pa.RecordBatch, shared=shared, at=at) -> Iterator[pa.RecordBatch]:
-            held = shared.value
-            if not hasattr(held, "index"):
-                held.prepare()
-            yield batch.filter(pa.array([not held.passages(x) for x in batch.column(at).to_pylist()], pa.bool_()))
-
-        clean = clean.mapInArrow(per_batch(keep), docs.schema)
-    return clean
+    found = _matched(id_and_text(docs), text_keys(benchmark, "text"), _held, "key string")
+    mark = f"key_{uuid.uuid4().hex}"  # a name no column has
+    dirty = found.select(F.col("key").alias(mark)).distinct()
+    return docs.join(dirty, F.md5(docs["text"]) == dirty[mark], "left_anti")

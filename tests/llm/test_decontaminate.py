@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from bandwatch.llm import decontaminate as d
 
@@ -71,7 +72,9 @@ def test_against_brute_force(spark):
 def test_parts_of_the_benchmark_give_the_same(spark, monkeypatch):
     docs, items = cases(4)
     monkeypatch.setattr(d, "PART_CHARS", 900)
-    assert len(d._parts(spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")) > 3
+    table = spark.createDataFrame(items, "item_id long, text string")
+    texts = list(d.parts(d.text_keys(table, "text")))
+    assert len(texts) > 3 and max(sum(len(t) for _, t in p.rows) for p in texts) < 2700
     assert found(spark, docs, items) == brute(docs, items)
 
 
@@ -108,3 +111,18 @@ def test_stage_keeps_clean_documents(spark):
     assert left.columns == frame.columns and sorted(r.doc_id for r in left.collect()) == [i for i, _ in docs if i not in bad]
     nothing = d.without_benchmark(frame, spark.createDataFrame([], "item_id long, text string"))
     assert nothing.count() == len(docs) and d.benchmark_passages(frame, spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+def test_repeated_benchmark_rows_go_out_once(spark, monkeypatch):
+    docs, items = cases(6)
+    docs, items = docs[:30], items[:12]
+    monkeypatch.setattr(d, "PART_CHARS", 700)
+    table = spark.createDataFrame(items, "item_id long, text string").unionByName(
+        spark.range(10_000).select((F.col("id") + 1000).alias("item_id"), F.lit(items[-1][1]).alias("text")))
+    assert sum(len(p.rows) for p in d.parts(d.text_keys(table, "text"))) == len({t for _, t in items})
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = d.benchmark_passages(frame, table).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).collect()
+    want = Counter()
+    for r in brute(docs, items):
+        want[r[0]] += 1 + 10_000 * (r[1] == items[-1][0])
+    assert {r.doc_id: r.n for r in got} == dict(want)
