@@ -57,10 +57,14 @@ def slot_time(column: str = "slot"):
 
 
 def element_stream(cells: DataFrame, bands: DataFrame, kpi_rules: DataFrame, weights: DataFrame) -> DataFrame:
-    """Weighted element score per slot: cells joined with stored bands, rules and weights."""
+    """Weighted element score per slot: cells joined with stored bands, rules and weights.
+
+    Bands grow with elements and slots, and a stream plans by the size of their files, far below that of their rows; the
+    hint keeps them from being broadcast.
+    """
     band = bands.select(
         "resId", "itemPara", "kpiId", F.col("recordTime").alias("_slot"), "forecastValueUpper", "forecastValueLower"
-    )
+    ).hint("merge")
     points = deviation_score(
         F.col("kpiValue"), F.col("forecastValueLower"), F.col("forecastValueUpper"), F.col("direction")
     )

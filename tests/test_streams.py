@@ -109,3 +109,15 @@ def test_window_state_gives_one_row_per_slot_and_forgets(spark):
     assert sums == [40.0, 80.0, 120.0, 120.0, 130.0]
     assert sorted(v for (r, _), v in out.items() if r == "b") == [10.0, 10.0] and [v for (r, _), v in out.items() if r == "c"] == [None]
     assert len(out) == 10 and held[-1] <= 4  # only the element that still reports, and its timer
+
+
+def test_bands_are_not_broadcast(spark):
+    """Few bands would fit, but many in a small file would look the same to a stream's plan."""
+    acts = actual(spark, [("a", KPI, s, 50.0) for s in range(3)]).withColumn("ts", F.col("recordTime").cast("timestamp"))
+    banded = reband(latest_forecast(forecasts(spark, [("a", KPI, s, 95.0) for s in range(3)])), rules.kpi_rules(spark))
+    stored = work_dir(spark, "bands")
+    banded.write.parquet(stored)
+    scored = jobs.element_stream(jobs.slot_stream(acts), spark.read.parquet(stored), rules.kpi_rules(spark), rules.kpi_weights(spark))
+    assert scored.count() == 3
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [resId" in plan and "BroadcastHashJoin [resId" not in plan
