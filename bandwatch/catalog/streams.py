@@ -77,8 +77,12 @@ def stream_keyed_upsert(spark, sf):
     write = jobs.upsert_batches(f"{root}/table", KPI_SCORE_KEY, lambda df: F.to_date("minId"))
 
     def twice(batch, number):
-        write(batch, number)
-        write(batch, number)
+        held = batch.persist()  # the stream's state is gone through once
+        try:
+            write(held, number)
+            write(held, number)
+        finally:
+            held.unpersist()
 
     job = (
         slots.select(jobs.slot_time().alias("minId"), "resId", "kpiId", "kpiValue")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,6 +31,21 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def adaptive(spark: SparkSession) -> Iterator[None]:
+    """Adaptive plans inside, for work on a batch of a stateful stream: Spark turns them off in its session, and rebalance hints with them.
+
+    The batch itself is planned before its function is called, so its state keeps its partitions.
+    """
+    name = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def work_root(spark: SparkSession) -> str:
     """Folder for written tables and stream checkpoints, shared by all executors: spark.checkpoint.dir.
 

@@ -25,7 +25,7 @@ from bandwatch.operators.cleaning import cap_percentages, latest_forecast, valid
 from bandwatch.operators.scoring import deviation_score, element_scores, forecast_actual_join, kpi_scores, weighted_scores
 from bandwatch.operators.windows import flags, window_score
 from bandwatch.schemas import ELEMENT_DIMS, ELEMENT_WINDOW, WINDOW_KEY
-from bandwatch.session import work_dir
+from bandwatch.session import adaptive, work_dir
 from bandwatch.sinks.log import TableLog
 from bandwatch.sinks.tables import merge_into, open_table, upsert
 from bandwatch.streaming import state as window_state
@@ -116,7 +116,8 @@ def upsert_batches(path: str, key: list[str], partition: Callable[[DataFrame], o
     """Batch function for foreachBatch: a repeated batch leaves the same table."""
 
     def write(batch: DataFrame, _: int) -> None:
-        upsert(batch, path, key, partition(batch))
+        with adaptive(batch.sparkSession):  # files by partition, not by task and partition
+            upsert(batch, path, key, partition(batch))
 
     return write
 

@@ -2,13 +2,17 @@
 
 import datetime as dt
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from bandwatch import rules
+from bandwatch.catalog import streams
 from bandwatch.operators.cleaning import latest_forecast
 from bandwatch.operators.bands import reband
 from bandwatch.plans.scoring import score
 from bandwatch.session import work_dir
+from bandwatch.sinks.log import TableLog
 from bandwatch.sinks.tables import open_table
 from bandwatch.streaming import jobs
 from tests.helpers import actual, forecasts, rows
@@ -121,3 +125,32 @@ def test_bands_are_not_broadcast(spark):
     assert scored.count() == 3
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin [resId" in plan and "BroadcastHashJoin [resId" not in plan
+
+
+def test_upserts_of_a_stateful_stream_write_a_file_a_day(spark, monkeypatch, tmp_path):
+    """The batch is kept for its two deliveries, and its files do not multiply with shuffle partitions."""
+    seen, roots = [], []
+    real = jobs.upsert_batches
+
+    def watched(path, *more):
+        write = real(path, *more)
+        roots.append(path)
+
+        def run(batch, number):
+            seen.append((number, batch.storageLevel.useDisk))
+            write(batch, number)
+            assert batch.sparkSession.conf.get("spark.sql.adaptive.enabled") == "false"
+
+        return run
+
+    monkeypatch.setattr(streams.jobs, "upsert_batches", watched)
+    ids = range(400)
+    pq.write_table(pa.table({
+        "event_id": ids, "ts": pa.array([dt.datetime(2024, 1, 1) + dt.timedelta(hours=i % 72) for i in ids], pa.timestamp("us")),
+        "user_id": [40 * i for i in ids], "event_type": ["view"] * 400, "value": [float(i) for i in ids], "props": [""] * 400}),
+        tmp_path / "events.parquet")
+    table = streams.stream_keyed_upsert(spark, str(tmp_path))
+    assert table.count() == table.select("_id").distinct().count() == sum(i % 72 < 70 for i in range(400))
+    files = [f["part"] for f in TableLog(spark, roots[0]).snapshot().files.values()]
+    assert sorted(files) == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert len(seen) >= 2 and all(kept for _, kept in seen) and len(seen) == 2 * len({n for n, _ in seen})
