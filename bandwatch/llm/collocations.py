@@ -32,8 +32,8 @@ TOP = 2000
 SHARDS = 8
 FILTER_BITS = 26  # of the bitmap between levels: 8 MB at any size of the corpus
 BITMAP_BITS = 1 << 15  # of a row of Spark's bitmap_construct_agg
-BUFFER = 1 << 21  # words counted at a time
-MOST_WORDS = 400_000  # distinct words a task keeps ids for at a time
+BUFFER = 1 << 20  # words counted at a time, some 100 MB with the arrays made of them
+MOST_WORDS = 200_000  # distinct words a task keeps ids for at a time
 UNKNOWN = "und"
 
 # A-Z in lower case; tab a space; marks that end a piece a full stop
@@ -203,16 +203,23 @@ def possible(local: DataFrame, supports: DataFrame, support: int) -> DataFrame:
 
 
 def words_of_phrases(words: DataFrame, pairs: np.ndarray) -> DataFrame:
-    """(key) of the words that stand in a frequent phrase of two words: the only ones whose counts are asked for."""
+    """(key) of the words that stand in a frequent phrase of two words: the only ones whose counts are asked for.
+
+    A task gives a word once, not once a lot.
+    """
     shared = words.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(0, np.uint64)
         for (lang, salt), parts in _in_buffers(batches, 4):
             h = np.concatenate([y for x in parts for y in (np.frombuffer(x, np.uint32), np.zeros(1, np.uint32))]).astype(np.uint64)
             at, keys = gram_keys(h, 2, lang)
             at = at[passes(shared.value, keys ^ np.int64(salt).view(np.uint64))]
-            found = np.unique(gram_keys(np.unique(np.concatenate([h[at], h[at + 1]])), 1, lang)[1])
-            yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["key"])
+            found = np.union1d(found, gram_keys(np.unique(np.concatenate([h[at], h[at + 1]])), 1, lang)[1])
+            if len(found) >= BUFFER:
+                yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["key"])
+                found = found[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["key"])
 
     return words.select("lang", "salt", "h").mapInArrow(run, "key long").distinct()
 

@@ -90,3 +90,29 @@ def test_lots_keep_groups_apart_and_everything(monkeypatch):
     assert len(lots) > 4
     for lang in ("en", "de"):
         assert [b for (x,), some in lots if x == lang for b in some] == [b for x, b in rows if x == lang]
+
+
+def test_lots_are_small():
+    """What a task holds at a time follows from the words of a lot."""
+    import pyarrow as pa
+
+    import bandwatch.llm.collocations as c
+
+    text = b"words " * 10_000
+    batches = (pa.RecordBatch.from_arrays([pa.array(["en"] * 10), pa.array([text] * 10, pa.binary())], ["lang", "text"]) for _ in range(30))
+    lots = [sum(map(len, some)) // 6 for _, some in c._in_buffers(batches, 6)]
+    assert sum(lots) == 3_000_000 and max(lots) <= 1_100_000
+
+
+def test_words_of_phrases_come_once_a_task(spark, monkeypatch):
+    import numpy as np
+
+    import bandwatch.llm.collocations as c
+
+    monkeypatch.setattr(c, "BUFFER", 8)  # a lot a row
+    h = np.array([c._word_hash(w) for w in (b"one", b"two", b"three", b"four")] * 2, np.uint32).tobytes()
+    words = spark.createDataFrame([("en", 5, h)] * 20, "lang string, salt long, h binary").coalesce(1)
+    everything = np.full(1 << (c.FILTER_BITS - 3), 255, np.uint8)
+    made = []
+    monkeypatch.setattr(type(words), "distinct", lambda df: made.append(df.count()) or df.dropDuplicates())
+    assert c.words_of_phrases(words, everything).count() == 4 and made == [4]
