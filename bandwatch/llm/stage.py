@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bandwatch.session import work_dir
 
+BATCH_BYTES = 4 << 20
+
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write a table into the shared folder and read it back, which cuts its lineage."""
@@ -62,5 +64,14 @@ def per_batch(fn: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], rows: in
     return run
 
 
+def small_batches(spark: SparkSession) -> None:
+    """From now on Spark hands tasks Arrow batches of some ``BATCH_BYTES``, or of one row that is larger.
+
+    Its own bound of 64 MB holds for each batch in the JVM, where buffers double, and again in the Python worker.
+    Plans read the setting when they run, so it stays set in the session.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def null_safe(left: Column, right: Column) -> Column:
     return left.eqNullSafe(right)

@@ -89,3 +89,28 @@ def test_odd_documents_pass_all_stages(spark):
 
 def test_constants_of_the_stages():
     assert decontaminate.SHINGLE == 5 and decontaminate.SIMILARITY == 0.8
+
+
+def test_every_stage_gets_its_texts_in_small_batches(spark):
+    """A stage is run on texts of 20 MB in all; what a task is handed at a time is told by the task."""
+    import pyarrow as pa
+
+    import corpus_pipeline
+    from bandwatch.llm.stage import BATCH_BYTES
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [b.nbytes]})
+
+    texts = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat('x', 10000) as text")
+    held = corpus_pipeline.in_small_batches(lambda session, docs, _: docs.mapInArrow(sizes, "bytes long"))
+    for stage in [f for _, f in corpus_pipeline.STAGES]:
+        assert stage.__wrapped__ and stage.__code__ is held.__code__
+    try:
+        found = [r.bytes for r in held(spark, texts, "").collect()]
+    finally:
+        spark.conf.set(name, before)
+    assert sum(found) >= 20_000_000 and max(found) <= 1.1 * BATCH_BYTES
