@@ -34,6 +34,8 @@ FILTER_BITS = 26  # of the bitmap between levels: 8 MB at any size of the corpus
 BITMAP_BITS = 1 << 15  # of a row of Spark's bitmap_construct_agg
 BUFFER = 1 << 20  # words counted at a time, some 100 MB with the arrays made of them
 MOST_WORDS = 200_000  # distinct words a task keeps ids for at a time
+MOST_PHRASES = 1_000_000  # candidates a task keeps counts of at a time
+TASKS_A_CORE = 2  # of the final count
 UNKNOWN = "und"
 
 # A-Z in lower case; tab a space; marks that end a piece a full stop
@@ -237,40 +239,116 @@ def mined(words: DataFrame, support: int, longest: int) -> list[np.ndarray]:
     return found
 
 
+class _Counts:
+    """Counts of one language's candidates in a task, over all of its lots.
+
+    Words that are no candidates are as the end of a piece: nothing that holds one is a candidate. A phrase is told by
+    the number of its first k - 1 words' phrase and that of its last word, both kept for as long as the task runs.
+    """
+
+    def __init__(self, lang: str, found: list[np.ndarray]):
+        self.lang, self.found = lang, found
+        self.ids, self.numbers = _Ids(), np.zeros(1, np.int64)  # of all words met lately: 0, or the number of a candidate
+        self.known: dict[bytes, int] = {}
+        self.words, self.h = [b"."], np.zeros(1, np.uint64)
+        # by length from two words on: (pair, phrase) in order of the pairs, and counts in order of the phrases
+        self.pairs = [(np.zeros(0, np.int64), np.zeros(0, np.int64)) for _ in self.found[1:]]
+        self.n = [np.zeros(0, np.int64) for _ in self.found]
+
+    def __len__(self) -> int:
+        return sum(map(len, self.n))
+
+    def _number(self, new: list[bytes]) -> np.ndarray:
+        h = np.array([_word_hash(w) for w in new], np.uint64)
+        is_candidate = np.zeros(len(new), bool)
+        at, keys = gram_keys(h, 1, self.lang)
+        is_candidate[at] = passes(self.found[0], keys)
+        out = np.zeros(len(new), np.int64)
+        for i in np.flatnonzero(is_candidate).tolist():
+            if (word := new[i]) not in self.known:
+                self.known[word] = len(self.words)
+                self.words.append(word)
+            out[i] = self.known[word]
+        self.h = np.concatenate([self.h, np.array([_word_hash(w) for w in self.words[len(self.h):]], np.uint64)])
+        return out
+
+    def add(self, texts: list[bytes]) -> None:
+        parts = []
+        for text in texts:
+            if len(self.ids) > MOST_WORDS:
+                self.ids, self.numbers = _Ids(), np.zeros(1, np.int64)
+            place = self.ids.take(tokens(text))
+            if len(self.ids) > len(self.numbers):
+                self.numbers = np.concatenate([self.numbers, self._number(self.ids.words[len(self.numbers):])])
+            parts += [self.numbers[place], np.zeros(1, np.int64)]
+        number = np.concatenate(parts)
+        h = self.h[number]
+        counts = np.bincount(number, minlength=len(self.words))[1:]
+        self.n[0] = counts + np.pad(self.n[0], (0, len(counts) - len(self.n[0])))
+        rank, wanted = number, np.append(number != 0, False)
+        for k in range(2, len(self.found) + 1):
+            at, keys = gram_keys(h, k, self.lang)
+            at = at[passes(self.found[k - 1], keys)]
+            at = at[wanted[at] & wanted[at + 1]]  # parts of a candidate are candidates
+            pair, place, n = np.unique(rank[at] << np.int64(32) | number[at + k - 1], return_inverse=True, return_counts=True)
+            phrase = self._phrases(k, pair)
+            np.add.at(self.n[k - 1], phrase, n)
+            wanted = np.zeros(len(h) + 1, bool)
+            wanted[at] = True
+            rank = np.zeros(len(h), np.int64)
+            rank[at] = phrase[place]
+
+    def _phrases(self, k: int, pair: np.ndarray) -> np.ndarray:
+        """Numbers of phrases of ``k`` words; new ones get the next."""
+        known, phrase = self.pairs[k - 2]
+        new = pair[~np.isin(pair, known, assume_unique=True)]
+        if len(new):
+            known = np.concatenate([known, new])
+            order = np.argsort(known, kind="stable")
+            known, phrase = known[order], np.concatenate([phrase, np.arange(len(new)) + len(phrase)])[order]
+            self.pairs[k - 2] = known, phrase
+            self.n[k - 1] = np.concatenate([self.n[k - 1], np.zeros(len(new), np.int64)])
+        return phrase[np.searchsorted(known, pair)]
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        texts = self.words[1:]
+        for k, n in enumerate(self.n, 1):
+            if k > 1:
+                pair = np.zeros(len(n), np.int64)
+                pair[self.pairs[k - 2][1]] = self.pairs[k - 2][0]
+                first = (pair >> np.int64(32)) - (k == 2)  # words are numbered from 1
+                texts = [texts[a] + b" " + self.words[b] for a, b in zip(first.tolist(), (pair & np.int64(0xFFFFFFFF)).tolist())]
+            for start in range(0, len(n), 1 << 14):
+                some = pa.array(texts[start:start + (1 << 14)], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([self.lang] * len(some), pa.string()), pa.array([k] * len(some), pa.int32()), some,
+                     pa.array(n[start:start + (1 << 14)])], ["lang", "k", "phrase", "n"])
+
+
 def counted(docs: DataFrame, found: list[np.ndarray]) -> DataFrame:
     """(lang, k, phrase, n): exact counts over all documents of at least all candidates.
 
-    Within a lot a phrase is told by the number of its first k - 1 words' phrase and that of its last word, between
-    lots by its text.
+    A task gives a phrase once, or once each time it holds ``MOST_PHRASES``, and there are no more tasks than keep the
+    cluster busy: with a task for each part of the input, each giving nearly all phrases, rows would grow with the
+    product of both.
     """
     shared = docs.sparkSession.sparkContext.broadcast(found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, _Counts] = {}
         for (lang,), texts in _in_buffers(batches, 6):
-            ids = _Ids()
-            number = np.concatenate([x for t in texts for x in (ids.take(tokens(t)), np.zeros(1, np.int64))])
-            words = ids.words
-            h = np.array([0, *map(_word_hash, words[1:])], np.uint64)[number]
-            wanted, rank = np.zeros(len(h) + 1, bool), number
-            for k in range(1, len(shared.value) + 1):
-                at, keys = gram_keys(h, k, lang)
-                at = at[passes(shared.value[k - 1], keys)]
-                if k > 1:
-                    at = at[wanted[at] & wanted[at + 1]]  # parts of a candidate are candidates
-                pair = rank[at] * np.int64(len(words)) + number[at + k - 1] if k > 1 else number[at]
-                _, first, place, n = np.unique(pair, return_index=True, return_inverse=True, return_counts=True)
-                for start in range(0, len(first), 1 << 14):
-                    some = at[first[start:start + (1 << 14)]]
-                    phrases = [b" ".join([words[i] for i in number[a:a + k].tolist()]) for a in some.tolist()]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(some), pa.string()), pa.array([k] * len(some), pa.int32()),
-                         pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(n[start:start + (1 << 14)])], ["lang", "k", "phrase", "n"])
-                wanted = np.zeros(len(h) + 1, bool)
-                wanted[at] = True
-                rank = np.zeros(len(h), np.int64)
-                rank[at] = place
-
-    rows = docs.mapInArrow(run, "lang string, k int, phrase string, n long")
+            if lang not in held:
+                held[lang] = _Counts(lang, shared.value)
+            held[lang].add(texts)
+            if sum(map(len, held.values())) > MOST_PHRASES:
+                for counts in held.values():
+                    yield from counts.rows()
+                held = {}
+        for lang in list(held):
+            yield from held.pop(lang).rows()
+
+    tasks = TASKS_A_CORE * docs.sparkSession.sparkContext.defaultParallelism
+    rows = docs.coalesce(tasks).mapInArrow(run, "lang string, k int, phrase string, n long")
     return rows.groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
 
 

@@ -122,3 +122,29 @@ def test_words_of_phrases_come_once_a_task(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 20), pa.array([5] * 20), pa.array([h] * 20, pa.binary())], ["lang", "salt", "h"])
     keys = [k for out in run(iter([batch])) for k in out.column(0).to_pylist()]
     assert len(keys) == len(set(keys)) == 4
+
+
+def test_final_counts_come_once_a_task_in_bounded_tasks(monkeypatch):
+    """Many input partitions and a lot a row: rows of the last step follow from tasks and phrases alone."""
+    from unittest.mock import MagicMock
+
+    import numpy as np
+    import pyarrow as pa
+
+    import bandwatch.llm.collocations as c
+
+    monkeypatch.setattr(c, "BUFFER", 8)
+    found = [np.full(1 << (c.FILTER_BITS - 3), 255, np.uint8)] * 3
+    docs = MagicMock()
+    docs.sparkSession.sparkContext.defaultParallelism = 6
+    docs.sparkSession.sparkContext.broadcast.return_value.value = found
+    c.counted(docs, found)
+    assert docs.coalesce.call_args.args[0] == 12
+    run = docs.coalesce.return_value.mapInArrow.call_args.args[0]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "de"] * 20), pa.array([b"one two three. one two, four"] * 40, pa.string())], ["lang", "text"])
+    rows = [tuple(r.values()) for out in run(iter([batch, batch])) for r in out.to_pylist()]
+    one = {(1, "one"): 80, (1, "two"): 80, (1, "three"): 40, (1, "four"): 40, (2, "one two"): 80, (2, "two three"): 40, (3, "one two three"): 40}
+    assert len(rows) == 2 * len(one) and {(k, p): n for x, k, p, n in rows if x == "de"} == one == {(k, p): n for x, k, p, n in rows if x == "en"}
+    monkeypatch.setattr(c, "MOST_PHRASES", 5)  # handed on in between, nothing is lost
+    some = [tuple(r.values()) for out in run(iter([batch, batch])) for r in out.to_pylist()]
+    assert len(some) > len(rows) and all(sum(m for x, j, q, m in some if (x, j, q) == (lang, k, p)) == n for lang, k, p, n in rows)
