@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bandwatch.llm.stage import staged
+from bandwatch.llm.stage import small_batches, staged
 from bandwatch.operators.skew import top_k_per_group
 
 LONGEST = 5
@@ -32,8 +32,10 @@ TOP = 2000
 SHARDS = 8
 FILTER_BITS = 26  # of the bitmap between levels: 8 MB at any size of the corpus
 BITMAP_BITS = 1 << 15  # of a row of Spark's bitmap_construct_agg
-BUFFER = 1 << 20  # words counted at a time, some 100 MB with the arrays made of them
-MOST_WORDS = 200_000  # distinct words a task keeps ids for at a time
+BUFFER = 1 << 20  # words counted at a time, some 30 MB with the arrays made of them
+STRETCH = 1 << 16  # words hashed at a time
+LOT = 1 << 18  # words of the final count at a time, some 25 MB with the arrays made of them
+MOST_WORDS = 200_000  # distinct words a task keeps ids for at a time, in all languages
 MOST_PHRASES = 1_000_000  # candidates a task keeps counts of at a time
 TASKS_A_CORE = 2  # of the final count
 UNKNOWN = "und"
@@ -140,8 +142,9 @@ def shard_words(docs: DataFrame, shards: int) -> DataFrame:
     return docs.mapInArrow(run, "lang string, salt long, words long, h binary")
 
 
-def _in_buffers(batches: Iterator[pa.RecordBatch], bytes_a_word: int) -> Iterator[tuple[tuple, list]]:
-    """((...), values) of a task's rows, grouped by all columns but the last, in lots of some ``BUFFER`` words."""
+def _in_buffers(batches: Iterator[pa.RecordBatch], bytes_a_word: int, lot: int | None = None) -> Iterator[tuple[tuple, list]]:
+    """((...), values) of a task's rows, grouped by all columns but the last, in lots of some ``lot`` words (``BUFFER``)."""
+    lot = lot or BUFFER
     held: dict[tuple, list] = {}
     sizes: dict[tuple, int] = {}
     for batch in batches:
@@ -150,7 +153,7 @@ def _in_buffers(batches: Iterator[pa.RecordBatch], bytes_a_word: int) -> Iterato
             x = x.as_buffer()
             held.setdefault(g, []).append(x.to_pybytes())
             sizes[g] = sizes.get(g, 0) + x.size // bytes_a_word + 1
-            if sizes[g] >= BUFFER or sum(sizes.values()) >= 2 * BUFFER:
+            if sizes[g] >= lot or sum(sizes.values()) >= 2 * lot:
                 most = max(sizes, key=sizes.__getitem__)
                 sizes.pop(most)
                 yield most, held.pop(most)
@@ -158,6 +161,13 @@ def _in_buffers(batches: Iterator[pa.RecordBatch], bytes_a_word: int) -> Iterato
         yield g, held.pop(g)
 
 
+def _stretches(parts: list[bytes], k: int) -> Iterator[np.ndarray]:
+    """Word hashes of a lot, 0 between documents, some at a time; every phrase of ``k`` words is whole in exactly one."""
+    h = np.concatenate([y for x in parts for y in (np.frombuffer(x, np.uint32), np.zeros(1, np.uint32))])
+    for start in range(0, len(h), STRETCH):
+        yield h[start:start + STRETCH + k - 1].astype(np.uint64)
+
+
 def local_counts(words: DataFrame, k: int, shorter: np.ndarray | None) -> DataFrame:
     """(salt, key, n) of phrases of ``k`` words whose phrases of ``k - 1`` words both pass the filter ``shorter``; ``key`` is a
     phrase's hash in its language."""
@@ -165,14 +175,16 @@ def local_counts(words: DataFrame, k: int, shorter: np.ndarray | None) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (lang, salt), parts in _in_buffers(batches, 4):
-            h = np.concatenate([y for x in parts for y in (np.frombuffer(x, np.uint32), np.zeros(1, np.uint32))]).astype(np.uint64)
-            at, keys = gram_keys(h, k, lang)
-            if k > 1:
-                inner, known = gram_keys(h, k - 1, lang)
-                frequent = np.zeros(len(h) + 1, bool)
-                frequent[inner[passes(shared.value, known ^ np.int64(salt).view(np.uint64))]] = True
-                keys = keys[frequent[at] & frequent[at + 1]]
-            keys, n = np.unique(keys, return_counts=True)
+            some = []
+            for h in _stretches(parts, k):
+                at, keys = gram_keys(h, k, lang)
+                if k > 1:
+                    inner, known = gram_keys(h, k - 1, lang)
+                    frequent = np.zeros(len(h) + 1, bool)
+                    frequent[inner[passes(shared.value, known ^ np.int64(salt).view(np.uint64))]] = True
+                    keys = keys[frequent[at] & frequent[at + 1]]
+                some.append(keys)
+            keys, n = np.unique(np.concatenate(some), return_counts=True)
             for start in range(0, len(keys), 1 << 16):
                 some = keys[start:start + (1 << 16)].view(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -214,10 +226,12 @@ def words_of_phrases(words: DataFrame, pairs: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = np.zeros(0, np.uint64)
         for (lang, salt), parts in _in_buffers(batches, 4):
-            h = np.concatenate([y for x in parts for y in (np.frombuffer(x, np.uint32), np.zeros(1, np.uint32))]).astype(np.uint64)
-            at, keys = gram_keys(h, 2, lang)
-            at = at[passes(shared.value, keys ^ np.int64(salt).view(np.uint64))]
-            found = np.union1d(found, gram_keys(np.unique(np.concatenate([h[at], h[at + 1]])), 1, lang)[1])
+            some = []
+            for h in _stretches(parts, 2):
+                at, keys = gram_keys(h, 2, lang)
+                at = at[passes(shared.value, keys ^ np.int64(salt).view(np.uint64))]
+                some.append(np.unique(np.concatenate([h[at], h[at + 1]])))
+            found = np.union1d(found, gram_keys(np.unique(np.concatenate(some)), 1, lang)[1])
             if len(found) >= BUFFER:
                 yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["key"])
                 found = found[:0]
@@ -248,7 +262,7 @@ class _Counts:
 
     def __init__(self, lang: str, found: list[np.ndarray]):
         self.lang, self.found = lang, found
-        self.ids, self.numbers = _Ids(), np.zeros(1, np.int64)  # of all words met lately: 0, or the number of a candidate
+        self.forget_words()  # ``numbers`` of all words met lately: 0, or the number of a candidate
         self.known: dict[bytes, int] = {}
         self.words, self.h = [b"."], np.zeros(1, np.uint64)
         # by length from two words on: (pair, phrase) in order of the pairs, and counts in order of the phrases
@@ -258,6 +272,10 @@ class _Counts:
     def __len__(self) -> int:
         return sum(map(len, self.n))
 
+    def forget_words(self) -> None:
+        """Ids of all words met go; numbers of candidates stay."""
+        self.ids, self.numbers = _Ids(), np.zeros(1, np.int64)
+
     def _number(self, new: list[bytes]) -> np.ndarray:
         h = np.array([_word_hash(w) for w in new], np.uint64)
         is_candidate = np.zeros(len(new), bool)
@@ -276,7 +294,7 @@ class _Counts:
         parts = []
         for text in texts:
             if len(self.ids) > MOST_WORDS:
-                self.ids, self.numbers = _Ids(), np.zeros(1, np.int64)
+                self.forget_words()
             place = self.ids.take(tokens(text))
             if len(self.ids) > len(self.numbers):
                 self.numbers = np.concatenate([self.numbers, self._number(self.ids.words[len(self.numbers):])])
@@ -301,28 +319,37 @@ class _Counts:
     def _phrases(self, k: int, pair: np.ndarray) -> np.ndarray:
         """Numbers of phrases of ``k`` words; new ones get the next."""
         known, phrase = self.pairs[k - 2]
-        new = pair[~np.isin(pair, known, assume_unique=True)]
-        if len(new):
-            known = np.concatenate([known, new])
-            order = np.argsort(known, kind="stable")
-            known, phrase = known[order], np.concatenate([phrase, np.arange(len(new)) + len(phrase)])[order]
+        at = np.searchsorted(known, pair)
+        new = np.ones(len(pair), bool)
+        inside = at < len(known)
+        new[inside] = known[at[inside]] != pair[inside]
+        if new.any():
+            known = np.insert(known, at[new], pair[new])
+            phrase = np.insert(phrase, at[new], np.arange(len(phrase), len(known)))
             self.pairs[k - 2] = known, phrase
-            self.n[k - 1] = np.concatenate([self.n[k - 1], np.zeros(len(new), np.int64)])
-        return phrase[np.searchsorted(known, pair)]
+            self.n[k - 1] = np.pad(self.n[k - 1], (0, len(known) - len(self.n[k - 1])))
+            at = np.searchsorted(known, pair)
+        return phrase[at]
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        texts = self.words[1:]
+        """Phrases are spelled out 2**14 at a time, from their last word back to the first."""
+        pairs = []
+        for known, phrase in self.pairs:
+            pairs.append(np.zeros(len(phrase), np.int64))
+            pairs[-1][phrase] = known
         for k, n in enumerate(self.n, 1):
-            if k > 1:
-                pair = np.zeros(len(n), np.int64)
-                pair[self.pairs[k - 2][1]] = self.pairs[k - 2][0]
-                first = (pair >> np.int64(32)) - (k == 2)  # words are numbered from 1
-                texts = [texts[a] + b" " + self.words[b] for a, b in zip(first.tolist(), (pair & np.int64(0xFFFFFFFF)).tolist())]
             for start in range(0, len(n), 1 << 14):
-                some = pa.array(texts[start:start + (1 << 14)], pa.binary()).cast(pa.string())
+                some = n[start:start + (1 << 14)]
+                phrase, words = np.arange(start, start + len(some)), []
+                for longer in reversed(pairs[:k - 1]):
+                    words.append(longer[phrase] & np.int64(0xFFFFFFFF))
+                    phrase = longer[phrase] >> np.int64(32)
+                words.append(phrase + (k == 1))  # words are numbered from 1
+                spelled = [b" ".join([self.words[i] for i in of]) for of in zip(*[w.tolist() for w in reversed(words)])]
+                texts = pa.array(spelled, pa.binary()).cast(pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([self.lang] * len(some), pa.string()), pa.array([k] * len(some), pa.int32()), some,
-                     pa.array(n[start:start + (1 << 14)])], ["lang", "k", "phrase", "n"])
+                    [pa.array([self.lang] * len(some), pa.string()), pa.array([k] * len(some), pa.int32()), texts, pa.array(some)],
+                    ["lang", "k", "phrase", "n"])
 
 
 def counted(docs: DataFrame, found: list[np.ndarray]) -> DataFrame:
@@ -336,9 +363,12 @@ def counted(docs: DataFrame, found: list[np.ndarray]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, _Counts] = {}
-        for (lang,), texts in _in_buffers(batches, 6):
+        for (lang,), texts in _in_buffers(batches, 6, min(LOT, BUFFER)):
             if lang not in held:
                 held[lang] = _Counts(lang, shared.value)
+            if sum(len(x.ids) for x in held.values()) > MOST_WORDS:
+                for counts in held.values():
+                    counts.forget_words()
             held[lang].add(texts)
             if sum(map(len, held.values())) > MOST_PHRASES:
                 for counts in held.values():
@@ -391,6 +421,7 @@ def collocations(docs: DataFrame, support: int = SUPPORT, top: int = TOP, longes
     Null lang counts as ``und``, null text as empty; rows of one doc_id count one by one, and copies each time. Texts
     without words add nothing; a language without candidates has no rows, an empty table none. Other columns are not read.
     """
+    small_batches(docs.sparkSession)
     slim = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     words = staged(shard_words(slim, shards), "shard-words")

@@ -148,3 +148,55 @@ def test_final_counts_come_once_a_task_in_bounded_tasks(monkeypatch):
     monkeypatch.setattr(c, "MOST_PHRASES", 5)  # handed on in between, nothing is lost
     some = [tuple(r.values()) for out in run(iter([batch, batch])) for r in out.to_pylist()]
     assert len(some) > len(rows) and all(sum(m for x, j, q, m in some if (x, j, q) == (lang, k, p)) == n for lang, k, p, n in rows)
+
+
+def test_a_task_of_the_final_count_holds_few_words_at_a_time(monkeypatch):
+    """Lots are a quarter of those of the mining, and the bound on distinct words holds over all languages."""
+    from unittest.mock import MagicMock
+
+    import numpy as np
+    import pyarrow as pa
+
+    import bandwatch.llm.collocations as c
+
+    found = [np.full(1 << (c.FILTER_BITS - 3), 255, np.uint8)] * 2
+    docs, lots, kept, made = MagicMock(), [], [], []
+
+    class Watched(c._Counts):
+        def __init__(self, *args):
+            super().__init__(*args)
+            made.append(self)
+
+        def add(self, texts):
+            lots.append(sum(len(t.split()) for t in texts))
+            super().add(texts)
+            kept.append(sum(len(x.ids) for x in made))
+
+    monkeypatch.setattr(c, "_Counts", Watched)
+    docs.sparkSession.sparkContext.broadcast.return_value.value = found
+    c.counted(docs, found)
+    run = docs.coalesce.return_value.mapInArrow.call_args.args[0]
+    batch = pa.RecordBatch.from_arrays([pa.array(["en"] * 100), pa.array([b"words " * 10_000] * 100, pa.string())], ["lang", "text"])
+    got = {r["phrase"]: r["n"] for out in run(iter([batch])) for r in out.to_pylist()}
+    assert got == {"words": 1_000_000, "words words": 999_900} and max(lots) <= 300_000
+    made.clear(), kept.clear()
+    monkeypatch.setattr(c, "MOST_WORDS", 50)
+    monkeypatch.setattr(c, "BUFFER", 8)
+    langs = [f"l{i}" for i in range(10)] * 4
+    texts = [" ".join(f"w{j}" for j in range(30)).encode()] * len(langs)
+    rows = [r for out in run(iter([pa.RecordBatch.from_arrays([pa.array(langs), pa.array(texts, pa.string())], ["lang", "text"])])) for r in out.to_pylist()]
+    assert max(kept) <= 50 + 31 + len(made) and all(r["n"] == 4 for r in rows) and len(rows) == 10 * (30 + 29)
+
+
+def test_texts_come_to_tasks_in_small_batches(spark):
+    from bandwatch.llm.collocations import collocations
+    from bandwatch.llm.stage import BATCH_BYTES
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        collocations(spark.createDataFrame([("en", "one two")] * 3, "lang string, text string"), support=2)
+        assert spark.conf.get(name) == str(BATCH_BYTES)
+    finally:
+        spark.conf.set(name, before)
