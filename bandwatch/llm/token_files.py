@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from bandwatch.llm.stage import id_and_text, staged
 from bandwatch.llm.tokenizing import BYTE_BPE, encoder, vocabulary
+from bandwatch.llm.tokenizing import ROWS as TEXTS
 from bandwatch.session import work_dir
 
 SKIPPABLE = 0x184D2A50  # fixed values of the zstandard frame and seekable formats
@@ -110,9 +111,9 @@ def write_token_files(docs: DataFrame, path: str | None = None, tokenizer: str |
         width = 2 if max(code.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
         last = struct.pack("<I", end_id)
         for batch in batches:
-            for start in range(0, batch.num_rows, ROWS):
-                part = batch.slice(start, ROWS)
-                for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+            for start in range(0, batch.num_rows, TEXTS):
+                part = batch.slice(start, TEXTS)
+                for doc_id, ids in zip(part.column(0).to_pylist(), code.encode_all(part.column(1))):
                     if writer is None:
                         store, folder = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
                         store.create_dir(folder, recursive=True)
@@ -120,7 +121,7 @@ def write_token_files(docs: DataFrame, path: str | None = None, tokenizer: str |
                         name = f"part-{number:06d}-{uuid.uuid4().hex}.zst"
                         out = store.open_output_stream(f"{folder}/{name}", compression=None)
                         writer = TokenFileWriter(out, width)
-                    writer.add(doc_id, np.frombuffer(code.encode(text or "") + last, "<u4"))
+                    writer.add(doc_id, np.frombuffer(ids + last, "<u4"))
         code.settle()
         if writer is not None:
             writer.finish()

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bandwatch.llm.stage import id_and_text, per_batch, staged
-from bandwatch.llm.tokenizing import BYTE_BPE, encoder, vocabulary
+from bandwatch.llm.tokenizing import BYTE_BPE, ROWS, encoder, vocabulary
 
 BLOCK = 1024
 
@@ -22,10 +23,11 @@ def encoded_lengths(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
         code = encoder(tokenizer)
 
         def count(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            lengths = [len(code.encode(x)) // 4 if x else 0 for x in batch.column(1).to_pylist()]
+            texts = batch.column(1)
+            lengths = [len(ids) // 4 if n else 0 for ids, n in zip(code.encode_all(texts), pc.binary_length(texts).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.int64())], ["doc_id", "n_tokens"])
 
-        yield from per_batch(count)(batches)
+        yield from per_batch(count, ROWS)(batches)
         code.settle()
 
     return id_and_text(docs).mapInArrow(run, "doc_id long, n_tokens long")

@@ -67,6 +67,38 @@ def test_added_tokens_in_the_operators(spark):
     assert packed == {k: [*v, 2] for k, v in ids[WORD_BPE].items()}
 
 
+@pytest.mark.parametrize("name", list(CODERS))
+@settings(max_examples=200, deadline=None)
+@given(texts=st.lists(st.none() | st.text(st.sampled_from(list("abZé \n\n .,)|'s\t\r\x1c\xa0\u2003１9漢😀")), max_size=20), max_size=12))
+def test_texts_of_a_lot_keep_their_own_ids(name, texts):
+    import pyarrow as pa
+
+    for kind in (pa.string(), pa.large_string()):
+        got = CODERS[name].encode_all(pa.array([*texts, "x"], kind).slice(0, len(texts)))
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [REAL[name].encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("name", list(CODERS))
+def test_a_word_is_looked_up_once_a_lot(name, monkeypatch):
+    """The time of a text follows from its distinct words, without marks after them; large texts come alone."""
+    import pyarrow as pa
+
+    from bandwatch.llm import tokenizing
+
+    code, asked = TextEncoder(vocabulary(name)), []
+    lots, lot = [], code._lot
+    monkeypatch.setattr(code, "_lot", lambda texts: lots.append(len(texts)) or lot(texts))
+    monkeypatch.setattr(code.stems, "encode", lambda word: asked.append(word) or code._stem(word))
+    text = " ".join(["so word, word. word; word"] * 500)
+    got = code.encode_all(pa.array([text] * 5))
+    assert len(asked) == len(set(asked)) <= 3 and lots == [5]  # the first word differs
+    assert all(np.frombuffer(x, "<u4").tolist() == REAL[name].encode(text, add_special_tokens=False).ids for x in got)
+    lots.clear()
+    monkeypatch.setattr(tokenizing, "LOT_BYTES", 2 * len(text))
+    assert code.encode_all(pa.array(["a", text * 3, text, text, text])) == [code.encode(t) for t in ("a", text * 3, text, text, text)]
+    assert lots[:4] == [1, 1, 2, 1]
+
+
 def odd_documents(spark):
     rows = [(5, "one two three", "x", "y", "z"), (None, "no id", None, None, None), (2, None, "", "", ""), (3, "", "", "", ""),
             (2, "again two", "", "", ""), (5, "one two three", "x", "y", "z"), (9, "long word " * 30_000, "", "", ""),
