@@ -18,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bandwatch.llm.stage import id_and_text, per_batch, staged
-from bandwatch.llm.tokenizing import WORD_BPE, encoder, vocabulary
+from bandwatch.llm.stage import id_and_text, per_batch, small_batches, staged
+from bandwatch.llm.tokenizing import ROWS, WORD_BPE, encoder, vocabulary
 
 SIZE = 4096
 END_ID = 2
@@ -84,7 +84,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
         def some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             nonlocal row
-            ids = [np.frombuffer(code.encode(x or "") + last, "<u4") for x in batch.column(1).to_pylist()]
+            ids = [np.frombuffer(x + last, "<u4") for x in code.encode_all(batch.column(1))]
             keys = curve_key(np.array([_hashed(x) for x in ids], float))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(row, row + len(ids))), batch.column(0), pa.array(keys),
@@ -92,7 +92,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 ["row", "doc_id", "key", "n", "ids"])
             row += len(ids)
 
-        yield from per_batch(some, 500)(batches)
+        yield from per_batch(some, ROWS)(batches)
         code.settle()
 
     return id_and_text(docs).mapInArrow(encode, "row long, doc_id long, key long, n long, ids binary")
@@ -126,6 +126,7 @@ def pack(docs: DataFrame, size: int = SIZE, tokenizer: str | None = None, end_id
     Null or empty text: the end id only. Rows with one doc_id, or null ones, are packed one by one. An empty table
     gives no pieces. Columns besides id and text are not read.
     """
+    small_batches(docs.sparkSession)
     rows = staged(encoded(docs, tokenizer or vocabulary(WORD_BPE), end_id), "encoded")
     kind = pa.int64() if digest else pa.list_(pa.int64())
 

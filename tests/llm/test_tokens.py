@@ -230,3 +230,16 @@ def test_queries_equal_brute_force(spark):
     covered = sorted((r.doc_id, r.start, r.length) for r in pieces)
     assert sum(n for _, _, n in covered) == sum(map(len, ids.values())) and max(filled.values()) <= 4096
     assert [n for _, n in sorted(filled.items())][:-1] == [4096] * (len(filled) - 1)
+
+
+def test_packing_gets_its_texts_in_small_batches(spark):
+    from bandwatch.llm.stage import BATCH_BYTES
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.unset(name)
+        packing.pack(odd_documents(spark))
+        assert spark.conf.get(name) == str(BATCH_BYTES)
+    finally:
+        spark.conf.set(name, before)
