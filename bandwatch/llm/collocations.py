@@ -32,9 +32,9 @@ TOP = 2000
 SHARDS = 8
 FILTER_BITS = 26  # of the bitmap between levels: 8 MB at any size of the corpus
 BITMAP_BITS = 1 << 15  # of a row of Spark's bitmap_construct_agg
-BUFFER = 1 << 20  # words counted at a time, some 30 MB with the arrays made of them
+BUFFER = 1 << 20  # words counted at a time in the mining
 STRETCH = 1 << 16  # words hashed at a time
-LOT = 1 << 18  # words of the final count at a time, some 25 MB with the arrays made of them
+LOT = 1 << 18  # words counted at a time in the final count
 MOST_WORDS = 200_000  # distinct words a task keeps ids for at a time, in all languages
 MOST_PHRASES = 1_000_000  # candidates a task keeps counts of at a time
 TASKS_A_CORE = 2  # of the final count
